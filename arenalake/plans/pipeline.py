@@ -1,0 +1,97 @@
+"""All models over two raw tables, lazily or as tables."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from functools import cached_property
+
+from pyspark.sql import DataFrame
+
+from arenalake.config import DEFAULTS, Settings
+from arenalake.plans import core, marts, staging
+from arenalake.sources.sinks import save_model
+
+
+@dataclass(frozen=True)
+class Models:
+    """Each attribute is a lazy DataFrame; nothing runs before an action."""
+
+    raw_matches: DataFrame
+    raw_hero_stats: DataFrame
+    settings: Settings = field(default=DEFAULTS)
+
+    @cached_property
+    def stg_matches(self) -> DataFrame:
+        return staging.stg_matches(self.raw_matches)
+
+    @cached_property
+    def stg_hero_stats(self) -> DataFrame:
+        return staging.stg_hero_stats(self.raw_hero_stats)
+
+    @cached_property
+    def dim_heroes(self) -> DataFrame:
+        return core.dim_heroes(self.stg_hero_stats)
+
+    @cached_property
+    def fct_match(self) -> DataFrame:
+        return core.fct_match(self.stg_matches, self.settings)
+
+    @cached_property
+    def fct_player_match(self) -> DataFrame:
+        return core.fct_player_match(self.raw_matches, self.settings)
+
+    @cached_property
+    def mart_liveops_summary(self) -> DataFrame:
+        return marts.mart_liveops_summary(self.fct_player_match, self.fct_match, self.settings)
+
+    @cached_property
+    def mart_hero_meta_shift(self) -> DataFrame:
+        return marts.mart_hero_meta_shift(
+            self.fct_player_match, self.fct_match, self.dim_heroes, self.settings
+        )
+
+    @cached_property
+    def mart_returning_player_proxy(self) -> DataFrame:
+        return marts.mart_returning_player_proxy(
+            self.fct_player_match, self.fct_match, self.settings
+        )
+
+    def named(self) -> dict[str, DataFrame]:
+        names = (
+            "stg_matches",
+            "stg_hero_stats",
+            "dim_heroes",
+            "fct_match",
+            "fct_player_match",
+            "mart_liveops_summary",
+            "mart_hero_meta_shift",
+            "mart_returning_player_proxy",
+        )
+        return {name: getattr(self, name) for name in names}
+
+    def register_views(self) -> None:
+        """Every model as a lazy temp view for ``spark.sql``."""
+        for name, model in self.named().items():
+            model.createOrReplaceTempView(name)
+
+    def materialize_core(self, schema: str, buckets: int = 200) -> Models:
+        """Save dimension and facts as tables and return models that read them.
+
+        Both facts are bucketed by match, so the marts join them without a shuffle.
+        """
+        built = Models(self.raw_matches, self.raw_hero_stats, self.settings)
+        tables = {
+            "dim_heroes": save_model(self.dim_heroes, f"{schema}.dim_heroes"),
+            "fct_match": save_model(
+                self.fct_match, f"{schema}.fct_match", bucket_by="match_id", buckets=buckets
+            ),
+            "fct_player_match": save_model(
+                self.fct_player_match,
+                f"{schema}.fct_player_match",
+                bucket_by="match_id",
+                buckets=buckets,
+            ),
+        }
+        # cached_property reads the instance dict first.
+        built.__dict__.update(tables)
+        return built
