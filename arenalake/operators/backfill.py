@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from arenalake.config import DEFAULTS, Settings
-from arenalake.operators.manifest import manifest_rows
+from arenalake.operators.manifest import manifest_rows, page_place
 from arenalake.operators.selection import first_per_key
 from arenalake.sources.json_files import explode_pages, typed_pages
 from arenalake.sources.schemas import MANIFEST_COLUMNS
@@ -81,16 +81,19 @@ def _first_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
 
 
 def _sightings(entries: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
-    """One row per new match: first place and start time under each window."""
+    """One row per new match: first place and start time under each window.
+
+    Entries are aggregated first, so the anti-join has one row per match on both sides.
+    """
     rows = manifest_rows(entries, "pro_matches", settings=settings)
-    rows = rows.join(known.select("match_id"), "match_id", "left_anti")
-    place = F.shiftleft(F.col("page_no"), 32) + F.col("pos")
+    place = page_place()
     firsts = []
     for label in settings.labels:
         at = F.when(F.col("recency_window") == label, place)
         firsts.append(F.min(at).alias(f"at {label}"))
         firsts.append(F.min_by("start_time", at).alias(f"start {label}"))
-    return rows.groupBy("match_id").agg(*firsts)
+    seen = rows.groupBy("match_id").agg(*firsts)
+    return seen.join(known.select("match_id"), "match_id", "left_anti")
 
 
 def _label_at(settings: Settings) -> Column:
@@ -122,10 +125,8 @@ def _take_round(free: DataFrame, left: dict[str, int], settings: Settings):
         if row["n"] == left[row["label"]]
     }
     limit = min(reached.values(), default=_NEVER)
-    used = {
-        row["label"]: row["n"]
-        for row in top.where(F.col("at") <= limit).groupBy("label").agg(F.count("*").alias("n")).collect()
-    }
+    within = top.where(F.col("at") <= limit).groupBy("label").agg(F.count("*").alias("n"))
+    used = {row["label"]: row["n"] for row in within.collect()}
     taken = rows.where(F.col("at") <= limit)
     rest = free.where(~F.coalesce(at <= limit, F.lit(False)))
     return taken, rest, {w: left[w] - used.get(w, 0) for w in settings.labels}
@@ -164,7 +165,8 @@ def plan_backfill(
     sightings.write.parquet(path)
     free = spark.read.schema(sightings.schema).parquet(path)
     idle = all(n <= 0 for n in left.values())
-    parts = [free.select("*", F.lit(None).cast("bigint").alias("at"), F.lit(None).cast("string").alias("label")).limit(0)]
+    nothing = free.withColumn("at", F.lit(None).cast("bigint")).where(F.lit(False))
+    parts = [nothing.withColumn("label", F.lit(None).cast("string"))]
     for _ in settings.labels:
         if any(n > 0 for n in left.values()):
             taken, free, left = _take_round(free, left, settings)

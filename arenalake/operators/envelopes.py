@@ -26,7 +26,8 @@ def build_envelopes(manifest: DataFrame, payloads: DataFrame, ingested_at: Colum
 
 
 def missing_payloads(manifest: DataFrame, payloads: DataFrame) -> DataFrame:
-    return manifest.join(payloads, "match_id", "left_anti")
+    """Manifest rows without a payload. Ids are made distinct first, so no id is a hot key."""
+    return manifest.join(payloads.select("match_id").distinct(), "match_id", "left_anti")
 
 
 def normalize_envelopes(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from arenalake.config import DEFAULTS, Settings
 from arenalake.functions.rules import stream_rank
@@ -27,6 +27,11 @@ def manifest_rows(
     return rows.select(*MANIFEST_COLUMNS, *placed)
 
 
+def page_place() -> Column:
+    """Place of an entry in page order as one number."""
+    return F.shiftleft(F.col("page_no"), 32) + F.col("pos")
+
+
 def dedupe_matches(entries: DataFrame) -> DataFrame:
     """One row per match with its newest start time."""
     return (
@@ -43,7 +48,8 @@ def dedupe_limit(entries: DataFrame, limit: int) -> DataFrame:
         .groupBy("match_id")
         .agg(
             F.max("start_time").alias("start_time"),
-            F.min(F.struct("page_no", "pos")).alias("seen_at"),
+            # One long instead of a struct keeps the aggregation hash-based.
+            F.min(page_place()).alias("seen_at"),
         )
         .orderBy("seen_at", "match_id")
         .limit(limit)

@@ -24,11 +24,15 @@ def player_match_rows(
     columns: tuple[str, ...],
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Player columns with the window and start time of their match, target windows only."""
+    """Player columns with the window and start time of their match, target windows only.
+
+    Both facts come partitioned by match, from their ranking or from buckets, so a merge join
+    shuffles nothing. A broadcast would move a fact through the driver for no gain.
+    """
     matches = in_target_windows(fct_match, settings).select(
         "match_id", "recency_window", "start_time"
     )
-    return fct_player_match.select("match_id", *columns).join(matches, "match_id")
+    return fct_player_match.select("match_id", *columns).join(matches.hint("merge"), "match_id")
 
 
 # Hero shift
@@ -55,8 +59,8 @@ def _hero_rates(player_rows: DataFrame, settings: Settings) -> DataFrame:
     counted = []
     for label in settings.labels:
         here = F.col("recency_window") == label
-        counted.append(F.count_if(here).alias(f"picks {label}"))
-        counted.append(F.count_if(here & (F.col("win") == 1)).alias(f"wins {label}"))
+        counted.append(F.sum(flag(here)).alias(f"picks {label}"))
+        counted.append(F.sum(flag(here & (F.col("win") == 1))).alias(f"wins {label}"))
     counts = player_rows.groupBy("hero_id").agg(*counted)
     # The filter is always true. It keeps the columns of both uses equal, which lets Spark reuse
     # the exchange.
@@ -250,11 +254,11 @@ def account_window_status(player_rows: DataFrame, settings: Settings = DEFAULTS)
     """One row per window and known account: was the account first seen before the window?"""
     known = player_rows.where(F.col("account_id").isNotNull())
     seen = [
-        F.count_if(F.col("recency_window") == label).alias(f"rows {label}")
+        F.max(flag(F.col("recency_window") == label)).alias(f"seen {label}")
         for label in settings.labels
     ]
     accounts = known.groupBy("account_id").agg(F.min("start_time").alias("first_seen"), *seen)
-    present = [F.when(F.col(f"rows {label}") > 0, label) for label in settings.labels]
+    present = [F.when(F.col(f"seen {label}") == 1, label) for label in settings.labels]
     status = accounts.select(
         "account_id", "first_seen", F.explode(F.array(*present)).alias("recency_window")
     ).where(F.col("recency_window").isNotNull())

@@ -7,6 +7,7 @@ again.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -18,12 +19,12 @@ _landed: dict[tuple[str, str, str, str], str] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
-    """Only file metadata is read: the content column is pruned."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load([f"{sf_dir}/{table}.parquet" for table in tables])
-    )
+    """Only file metadata is looked at."""
+    paths = [f"{sf_dir}/{table}.parquet" for table in tables]
+    if all(os.path.isfile(path) for path in paths):
+        stats = [os.stat(path) for path in paths]
+        return "-".join(f"{stat.st_size}.{stat.st_mtime_ns}" for stat in stats)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     row = files.agg(
         F.count("*").alias("files"),
         F.sum("length").alias("bytes"),
@@ -65,11 +66,13 @@ def landed_table(
     name: str,
     tables: tuple[str, ...],
     build: Callable[[SparkSession, str], DataFrame],
+    schema: str | None = None,
 ) -> DataFrame:
     def write(path: str) -> None:
         build(spark, sf_dir).write.parquet(path)
 
-    return spark.read.parquet(landed(spark, sf_dir, name, tables, write))
+    path = landed(spark, sf_dir, name, tables, write)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def landed_lines(

@@ -681,7 +681,7 @@ UNION ALL SELECT 'incomplete', '2023_2024,2025_2026', false, '{_REPORT_ERRORS}'"
             f"""SELECT CAST(sum(match_count) AS BIGINT) AS match_count,
        CAST(sum(player_row_count) AS BIGINT) AS player_row_count,
        CAST(sum(known_account_count) AS BIGINT) AS known_account_count,
-       CAST(round(avg({_MINUTES}), 9) AS DOUBLE) AS avg_match_duration_minutes FROM summary""",
+       avg({_MINUTES}) AS avg_match_duration_minutes FROM summary""",
         ),
         "window_summary": _sql(
             ALL,

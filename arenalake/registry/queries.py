@@ -14,7 +14,7 @@ from arenalake.plans import core, dashboards, marts
 from arenalake.plans.pipeline import Models
 from arenalake.registry.landing import landed_lines, landed_table
 from arenalake.sources import csv_files, feed, json_files, sinks
-from arenalake.sources.schemas import MANIFEST_COLUMNS
+from arenalake.sources.schemas import MANIFEST_COLUMNS, RAW_TABLES
 from arenalake.sources.tables import read_table
 from arenalake.storage import fresh_path
 
@@ -50,11 +50,15 @@ def present(rows: DataFrame) -> DataFrame:
 
 
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landed_table(spark, sf_dir, "raw_matches", ORDER_TABLES, feed.raw_matches)
+    schema = RAW_TABLES["raw_matches"]
+    return landed_table(spark, sf_dir, "raw_matches", ORDER_TABLES, feed.raw_matches, schema)
 
 
 def raw_hero_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landed_table(spark, sf_dir, "raw_hero_stats", ("supplier",), feed.raw_hero_stats)
+    schema = RAW_TABLES["raw_hero_stats"]
+    return landed_table(
+        spark, sf_dir, "raw_hero_stats", ("supplier",), feed.raw_hero_stats, schema
+    )
 
 
 def models(spark: SparkSession, sf_dir: str) -> Models:
@@ -350,10 +354,18 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Exports and their contract
 
 
+def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The mart table, from which exports select."""
+
+    def build(session: SparkSession, folder: str) -> DataFrame:
+        return getattr(models(session, folder), name)
+
+    return landed_table(spark, sf_dir, name, (*ORDER_TABLES, "supplier"), build)
+
+
 def _export(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        mart = getattr(models(spark, sf_dir), name)
-        path = sinks.export_mart(mart, name, fresh_path(spark, "export"))
+        path = sinks.export_mart(_mart(spark, sf_dir, name), name, fresh_path(spark, "export"))
         return csv_files.read_export(spark, path)
 
     return query
@@ -361,23 +373,23 @@ def _export(name: str) -> Query:
 
 def _incomplete_exports(spark: SparkSession, sf_dir: str) -> str:
     """Exports with faults: no previous window, a missing column, and so no current deltas."""
-    m = models(spark, sf_dir)
+    mart = partial(_mart, spark, sf_dir)
     folder = fresh_path(spark, "incomplete")
     current = F.col("recency_window") == "2025_2026"
     previous = F.col("recency_window") == "2023_2024"
-    summary = m.mart_liveops_summary.where(current).drop("patch_count", "league_count")
+    summary = mart("mart_liveops_summary").where(current).drop("patch_count", "league_count")
     sinks.export_mart(summary, "mart_liveops_summary", folder)
-    sinks.export_mart(m.mart_returning_player_proxy, "mart_returning_player_proxy", folder)
-    heroes = m.mart_hero_meta_shift.where(previous).drop("attack_type")
+    returning = mart("mart_returning_player_proxy")
+    sinks.export_mart(returning, "mart_returning_player_proxy", folder)
+    heroes = mart("mart_hero_meta_shift").where(previous).drop("attack_type")
     sinks.export_mart(heroes, "mart_hero_meta_shift", folder)
     return folder
 
 
 def _complete_exports(spark: SparkSession, sf_dir: str) -> str:
-    m = models(spark, sf_dir)
     folder = fresh_path(spark, "complete")
     for name in sinks.EXPORT_ORDER:
-        sinks.export_mart(getattr(m, name), name, folder)
+        sinks.export_mart(_mart(spark, sf_dir, name), name, folder)
     return folder
 
 

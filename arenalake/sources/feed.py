@@ -77,8 +77,9 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelope columns, ``loaded_at`` and the payload as a struct; every seventh match twice."""
     orders = read_table(spark, sf_dir, "orders")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    # A shuffle join: the documents are built by as many tasks as there are shuffle partitions.
     joined = orders.join(
-        seats(spark, sf_dir), orders["o_orderkey"] == F.col("l_orderkey"), "left"
+        seats(spark, sf_dir).hint("merge"), orders["o_orderkey"] == F.col("l_orderkey"), "left"
     )
     copies = F.when(key % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = joined.withColumn("copy", F.explode(copies))
