@@ -1,0 +1,136 @@
+"""The distributed backfill against the sequential rule, on small random pages."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from arenalake.config import DEFAULTS
+from arenalake.operators.backfill import active_window, plan_backfill, selected_counts
+from arenalake.sources.schemas import MANIFEST
+
+ORDER = ("2025_2026", "2023_2024")
+
+
+def label(epoch):
+    if epoch >= 1735689600:
+        return "2025_2026"
+    return "2023_2024" if epoch >= 1672531200 else "outside_target_windows"
+
+
+def by_hand(pages, existing, quotas, cursor):
+    """One page and one entry after the other."""
+    chosen = {row[0]: row for row in existing}
+    counts = {w: sum(row[3] == w for row in chosen.values()) for w in quotas}
+
+    def short():
+        return [w for w in ORDER if counts[w] < quotas[w]]
+
+    requests, oldest, newest = 0, None, None
+    for page in pages:
+        if not short():
+            break
+        requests += 1
+        if not page:
+            break
+        starts = [e["start_time"] for e in page if e.get("start_time") is not None]
+        if starts:
+            oldest = min(starts)
+            newest = max(starts) if newest is None else newest
+        for e in page:
+            if e.get("match_id") is None or e.get("start_time") is None:
+                continue
+            window = label(e["start_time"])
+            if window in short() and e["match_id"] not in chosen:
+                chosen[e["match_id"]] = (e["match_id"], e["start_time"], "pro_matches", window)
+                counts[window] += 1
+        if not short():
+            break
+        cursor = min((e["match_id"] for e in page if e.get("match_id") is not None), default=None)
+        if cursor is None:
+            break
+    active = (short() or [None])[0]
+    return sorted(chosen.values()), counts, active, cursor, requests, oldest, newest, not short()
+
+
+def as_pages(spark, pages):
+    rows = [(i, json.dumps(p)) for i, p in enumerate(pages, start=1)]
+    return spark.createDataFrame(rows, "page_no bigint, t string").select(
+        "page_no", F.parse_json("t").alias("entries")
+    )
+
+
+def outcome(plan):
+    row = plan.progress.first()
+    return (
+        sorted(tuple(r) for r in plan.selected.collect()),
+        dict(row.selected_counts_by_window),
+        row.active_backfill_window,
+        row.next_less_than_match_id,
+        row.request_count,
+        row.oldest_page_start_time,
+        row.newest_page_start_time,
+        row.completed_all_targets,
+    )
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_random_pages(spark, seed):
+    """Matches come under both windows, so that rounds after the first matter."""
+    dice = random.Random(seed)
+    times = [1600000000, 1680000000, 1700000000, 1740000000, 1750000000]
+    pages = []
+    for _ in range(dice.randint(2, 6)):
+        page = []
+        for _ in range(dice.choice([0, 3, 6, 8, 8, 8])):
+            entry = {}
+            if dice.random() < 0.9:
+                entry["match_id"] = dice.randint(1, 14)
+            if dice.random() < 0.9:
+                entry["start_time"] = dice.choice(times)
+            page.append(entry)
+        pages.append(page)
+    existing = [(i, 1700000000, "pro_matches", "2023_2024") for i in range(1, dice.randint(1, 3))]
+    quotas = {"2023_2024": dice.randint(0, 4), "2025_2026": dice.randint(0, 4)}
+    plan = plan_backfill(
+        as_pages(spark, pages), spark.createDataFrame(existing, MANIFEST), quotas=quotas, cursor=77
+    )
+    assert outcome(plan) == by_hand(pages, existing, quotas, 77)
+
+
+def test_page_bound(spark):
+    pages = [[{"match_id": 10 - i, "start_time": 1740000000}] for i in range(5)]
+    empty = spark.createDataFrame([], MANIFEST)
+    plan = plan_backfill(as_pages(spark, pages), empty, max_pages=2)
+    assert sorted(r.match_id for r in plan.added.collect()) == [9, 10]
+    assert plan.progress.first().next_less_than_match_id == 9
+
+
+def test_resume_with_some_chosen(spark):
+    existing = [(i, 1740000000 + i, "pro_matches", "2025_2026") for i in range(40)]
+    pages = [[{"match_id": i, "start_time": 1740000000} for i in range(30, 60)]]
+    plan = plan_backfill(
+        as_pages(spark, pages),
+        spark.createDataFrame(existing, MANIFEST),
+        quotas={"2023_2024": 0, "2025_2026": 50},
+    )
+    assert sorted(r.match_id for r in plan.added.collect()) == list(range(40, 50))
+    assert plan.progress.first().completed_all_targets
+
+
+COUNTS = [((150, 0), "2025_2026"), ((300, 12), "2023_2024"), ((300, 300), None)]
+
+
+@pytest.mark.parametrize("counts,window", COUNTS)
+def test_active_window(spark, counts, window):
+    """Counts are for the current and the previous window, in this order."""
+    columns = {"2025_2026": F.lit(counts[0]), "2023_2024": F.lit(counts[1])}
+    active = active_window(columns, {"2025_2026": 300, "2023_2024": 300}, DEFAULTS)
+    assert spark.range(1).select(active).first()[0] == window
+
+
+def test_counts_are_zero_filled(spark):
+    rows = [(1, 5, "s", "2023_2024"), (2, 5, "s", "2023_2024"), (3, 5, "s", "outside_target_windows")]
+    counts = selected_counts(spark.createDataFrame(rows, MANIFEST))
+    assert sorted(tuple(r) for r in counts.collect()) == [("2023_2024", 2), ("2025_2026", 0)]
