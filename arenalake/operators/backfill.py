@@ -69,10 +69,15 @@ def active_window(counts: Mapping[str, Column], quotas: Mapping[str, int], setti
 
 @dataclass(frozen=True)
 class Backfill:
-    """``selected``: old and new manifest rows. ``added``: new rows. ``progress``: one row."""
+    """What a run selects and reports.
+
+    ``selected``: old and new manifest rows. ``added``: new rows. ``read_entries``: entries of the
+    pages that were read, repeated ones included, for the raw snapshot. ``progress``: one row.
+    """
 
     selected: DataFrame
     added: DataFrame
+    read_entries: DataFrame
     progress: DataFrame
 
 
@@ -188,7 +193,8 @@ def plan_backfill(
     now_selected = {w: quotas[w] - left[w] for w in settings.labels}
     progress = _progress(bounds, now_selected, quotas, until, full, cursor, settings)
     added = added.drop("place")
-    return Backfill(known.unionByName(added), added, progress)
+    read_entries = explode_pages(pages).where(F.col("page_no") <= until)
+    return Backfill(known.unionByName(added), added, read_entries, progress)
 
 
 def _progress(

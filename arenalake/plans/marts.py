@@ -209,10 +209,23 @@ def distinct_counts(player_rows: DataFrame) -> DataFrame:
 
 
 def match_metrics(matches: DataFrame) -> DataFrame:
-    return matches.groupBy("recency_window").agg(
-        F.count("*").alias("match_count"),
-        minutes(mean(F.col("duration_seconds"))).alias("avg_match_duration_minutes"),
-        mean(flag(F.col("radiant_win"))).alias("radiant_win_rate"),
+    """Match count, mean duration, radiant win rate, patches and leagues per window.
+
+    Matches are summed per patch and league first, so the distinct counts expand a few groups
+    and not every match.
+    """
+    duration = F.col("duration_seconds")
+    groups = matches.groupBy("recency_window", "patch", "league_id").agg(
+        F.count("*").alias("matches"),
+        F.sum(duration).alias("seconds"),
+        F.count(duration).alias("timed"),
+        F.sum(flag(F.col("radiant_win"))).alias("radiant"),
+    )
+    mean_seconds = ratio(F.sum("seconds"), F.sum("timed"))
+    return groups.groupBy("recency_window").agg(
+        F.sum("matches").alias("match_count"),
+        minutes(mean_seconds).alias("avg_match_duration_minutes"),
+        ratio(F.sum("radiant"), F.sum("matches")).alias("radiant_win_rate"),
         F.count_distinct("patch").alias("patch_count"),
         F.count_distinct("league_id").alias("league_count"),
     )

@@ -74,24 +74,25 @@ class Models:
         for name, model in self.named().items():
             model.createOrReplaceTempView(name)
 
+    def with_core(
+        self, dim_heroes: DataFrame, fct_match: DataFrame, fct_player_match: DataFrame
+    ) -> Models:
+        """The same models on top of a stored dimension and stored facts."""
+        built = Models(self.raw_matches, self.raw_hero_stats, self.settings)
+        # cached_property looks into the instance dict first.
+        built.__dict__.update(
+            dim_heroes=dim_heroes, fct_match=fct_match, fct_player_match=fct_player_match
+        )
+        return built
+
     def materialize_core(self, schema: str, buckets: int = 200) -> Models:
         """Save dimension and facts as tables and return models that read them.
 
         Both facts are bucketed by match, so the marts join them without a shuffle.
         """
-        built = Models(self.raw_matches, self.raw_hero_stats, self.settings)
-        tables = {
-            "dim_heroes": save_model(self.dim_heroes, f"{schema}.dim_heroes"),
-            "fct_match": save_model(
-                self.fct_match, f"{schema}.fct_match", bucket_by="match_id", buckets=buckets
-            ),
-            "fct_player_match": save_model(
-                self.fct_player_match,
-                f"{schema}.fct_player_match",
-                bucket_by="match_id",
-                buckets=buckets,
-            ),
-        }
-        # cached_property reads the instance dict first.
-        built.__dict__.update(tables)
-        return built
+        by_match = {"bucket_by": "match_id", "buckets": buckets}
+        return self.with_core(
+            save_model(self.dim_heroes, f"{schema}.dim_heroes"),
+            save_model(self.fct_match, f"{schema}.fct_match", **by_match),
+            save_model(self.fct_player_match, f"{schema}.fct_player_match", **by_match),
+        )

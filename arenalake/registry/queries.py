@@ -46,7 +46,8 @@ def present(rows: DataFrame) -> DataFrame:
     return rows.select(*columns)
 
 
-# Inputs
+# Inputs. Marts and their parts run lazily from the raw tables. Checks and exports read stored
+# models, because that is what they are about.
 
 
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,36 @@ def models(spark: SparkSession, sf_dir: str) -> Models:
     return Models(raw_matches(spark, sf_dir), raw_hero_stats(spark, sf_dir))
 
 
+MODEL_TABLES = (*ORDER_TABLES, "supplier")
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    return landed_table(spark, sf_dir, name, MODEL_TABLES, build)
+
+
+def stored_core(spark: SparkSession, sf_dir: str) -> Models:
+    """The models on top of the stored dimension and facts."""
+    names = ("dim_heroes", "fct_match", "fct_player_match")
+    return models(spark, sf_dir).with_core(
+        *[_stored(spark, sf_dir, name, _model(name)) for name in names]
+    )
+
+
+def stored_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    def build(session: SparkSession, folder: str) -> DataFrame:
+        return getattr(stored_core(session, folder), name)
+
+    return _stored(spark, sf_dir, name, build)
+
+
+def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Staging views, stored core and stored marts by name."""
+    named = stored_core(spark, sf_dir).named()
+    for name in sinks.EXPORT_ORDER:
+        named[name] = stored_mart(spark, sf_dir, name)
+    return named
+
+
 def _mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     build = partial(feed.envelope_lines, with_legacy=True)
     path = landed_lines(spark, sf_dir, "detail_lines", ORDER_TABLES, build)
@@ -333,39 +364,31 @@ def account_window_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.check_not_null(models(spark, sf_dir).named())
+    return quality.check_not_null(stored_models(spark, sf_dir))
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = {"stg_matches": "match_id", "stg_hero_stats": "hero_id", **quality.UNIQUE}
-    return quality.check_unique(models(spark, sf_dir).named(), keys)
+    return quality.check_unique(stored_models(spark, sf_dir), keys)
 
 
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.check_relationships(models(spark, sf_dir).named())
+    return quality.check_relationships(stored_models(spark, sf_dir))
 
 
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     stricter = (("fct_match", "recency_window", ("2023_2024", "2025_2026")),)
     rules = stricter + quality.accepted_values()
-    return quality.check_accepted_values(models(spark, sf_dir).named(), rules)
+    return quality.check_accepted_values(stored_models(spark, sf_dir), rules)
 
 
 # Exports and their contract
 
 
-def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The mart table, from which exports select."""
-
-    def build(session: SparkSession, folder: str) -> DataFrame:
-        return getattr(models(session, folder), name)
-
-    return landed_table(spark, sf_dir, name, (*ORDER_TABLES, "supplier"), build)
-
-
 def _export(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = sinks.export_mart(_mart(spark, sf_dir, name), name, fresh_path(spark, "export"))
+        mart = stored_mart(spark, sf_dir, name)
+        path = sinks.export_mart(mart, name, fresh_path(spark, "export"))
         return csv_files.read_export(spark, path)
 
     return query
@@ -373,7 +396,7 @@ def _export(name: str) -> Query:
 
 def _incomplete_exports(spark: SparkSession, sf_dir: str) -> str:
     """Exports with faults: no previous window, a missing column, and so no current deltas."""
-    mart = partial(_mart, spark, sf_dir)
+    mart = partial(stored_mart, spark, sf_dir)
     folder = fresh_path(spark, "incomplete")
     current = F.col("recency_window") == "2025_2026"
     previous = F.col("recency_window") == "2023_2024"
@@ -389,7 +412,7 @@ def _incomplete_exports(spark: SparkSession, sf_dir: str) -> str:
 def _complete_exports(spark: SparkSession, sf_dir: str) -> str:
     folder = fresh_path(spark, "complete")
     for name in sinks.EXPORT_ORDER:
-        sinks.export_mart(_mart(spark, sf_dir, name), name, folder)
+        sinks.export_mart(stored_mart(spark, sf_dir, name), name, folder)
     return folder
 
 

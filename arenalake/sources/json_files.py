@@ -52,6 +52,21 @@ def read_json_array(
     )
 
 
+def read_snapshot(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Records of an earlier raw snapshot, as ``write_records`` stores them; empty if missing."""
+    return _or_empty(spark, "record variant", lambda: read_json_lines(spark, path))
+
+
+def read_cursor(spark: SparkSession, progress_path: str) -> int | None:
+    """The cursor that the last progress report saved, to resume a backfill."""
+    row = _or_empty(
+        spark,
+        "next_less_than_match_id bigint",
+        lambda: spark.read.schema("next_less_than_match_id bigint").json(progress_path),
+    ).first()
+    return row and row[0]
+
+
 def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Envelope lines; a line without one of the required keys fails the query."""
     rows = spark.read.schema(ENVELOPE).option("mode", "FAILFAST").json(path)

@@ -11,6 +11,16 @@ def write_json_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
+def write_records(records: DataFrame, path: str) -> None:
+    """Raw VARIANT records as they came, one JSON line each; nothing is filtered."""
+    records.select(F.to_json("record").alias("value")).write.mode("overwrite").text(path)
+
+
+def write_progress(progress: DataFrame, path: str) -> None:
+    """The one-row backfill progress, null values included."""
+    progress.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """Manifest CSV under ``path/csv`` and the same rows as JSON lines under ``path/json``."""
     rows = manifest.select(*MANIFEST_COLUMNS)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from arenalake.config import DEFAULTS, Settings
 from arenalake.operators.backfill import plan_backfill
 from arenalake.sources.schemas import MANIFEST, MANIFEST_COLUMNS
+from arenalake.sources.sinks import write_progress
 
 _PARTS = f"{MANIFEST}, batch bigint"
 
@@ -51,7 +52,7 @@ def stream_backfill(
         )
         part = f"{manifest}/batch={batch_id}"
         plan.added.select(*MANIFEST_COLUMNS).write.mode("overwrite").parquet(part)
-        plan.progress.write.mode("overwrite").json(f"{progress}/batch={batch_id}")
+        write_progress(plan.progress, f"{progress}/batch={batch_id}")
 
     stream = (
         spark.readStream.schema("page_no bigint, entries variant")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from arenalake.config import DEFAULTS
 from arenalake.operators.backfill import active_window, plan_backfill, selected_counts
+from arenalake.sources.json_files import read_cursor
 from arenalake.sources.schemas import MANIFEST
+from arenalake.sources.sinks import write_progress
 
 ORDER = ("2025_2026", "2023_2024")
 
@@ -105,6 +107,19 @@ def test_page_bound(spark):
     plan = plan_backfill(as_pages(spark, pages), empty, max_pages=2)
     assert sorted(r.match_id for r in plan.added.collect()) == [9, 10]
     assert plan.progress.first().next_less_than_match_id == 9
+    assert plan.read_entries.count() == 2
+
+
+def test_saved_cursor(spark, tmp_path):
+    path = str(tmp_path / "progress")
+    assert read_cursor(spark, path) is None
+    empty = spark.createDataFrame([], MANIFEST)
+    pages = as_pages(spark, [[{"match_id": 8, "start_time": 1740000000}]])
+    write_progress(plan_backfill(pages, empty).progress, path)
+    assert read_cursor(spark, path) == 8
+    stored = spark.read.json(path).first()
+    assert stored.active_backfill_window == "2025_2026"
+    assert stored.selected_counts_by_window["2025_2026"] == 1
 
 
 def test_resume_with_some_chosen(spark):

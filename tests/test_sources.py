@@ -77,6 +77,18 @@ def test_hero_array_document(spark, tmp_path):
     assert [tuple(r) for r in checked.collect()] == [(1, "One", "agi", "Melee", 4, 2)]
 
 
+def test_raw_snapshot_is_not_filtered(spark, tmp_path):
+    path = write(tmp_path / "h.json", json.dumps(HEROES, indent=2))
+    records = json_files.read_json_array(spark, path)
+    snapshot = str(tmp_path / "snapshot")
+    assert json_files.read_snapshot(spark, snapshot).count() == 0
+    sinks.write_records(records, snapshot)
+    again = json_files.read_snapshot(spark, snapshot).select(F.to_json("record"))
+    key = json.dumps
+    got = [json.loads(r[0]) for r in again.collect()]
+    assert sorted(map(key, got)) == sorted(key(dict(sorted(h.items()))) for h in HEROES)
+
+
 def test_arrays_per_line(spark, tmp_path):
     path = write(tmp_path / "h.jsonl", json.dumps(HEROES) + "\n" + json.dumps([{"id": 7}]) + "\n")
     rows = json_files.load_raw_hero_stats(spark, path, one_array_per_line=True)
