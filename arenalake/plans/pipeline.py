@@ -88,9 +88,14 @@ class Models:
     def materialize_core(self, schema: str, buckets: int = 200) -> Models:
         """Save dimension and facts as tables and return models that read them.
 
-        Both facts are bucketed by match, so the marts join them without a shuffle.
+        Both facts are bucketed by match, so the marts join them without a shuffle, and
+        partitioned by window.
         """
-        by_match = {"bucket_by": "match_id", "buckets": buckets}
+        by_match = {
+            "bucket_by": "match_id",
+            "buckets": buckets,
+            "partition_by": "recency_window",
+        }
         return self.with_core(
             save_model(self.dim_heroes, f"{schema}.dim_heroes"),
             save_model(self.fct_match, f"{schema}.fct_match", **by_match),

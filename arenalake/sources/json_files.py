@@ -70,11 +70,17 @@ def read_cursor(spark: SparkSession, progress_path: str) -> int | None:
 def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Envelope lines; a line without one of the required keys fails the query."""
     rows = spark.read.schema(ENVELOPE).option("mode", "FAILFAST").json(path)
-    for name in (*MANIFEST_COLUMNS, "payload"):
+    return require_values(rows, (*MANIFEST_COLUMNS, "payload"))
+
+
+def require_values(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Rows as they are; reading a null in one of the columns fails the query."""
+    checked = {}
+    for name in names:
         missing = F.raise_error(F.lit(f"envelope without {name}"))
         kept = F.when(F.col(name).isNull(), missing.cast(rows.schema[name].dataType))
-        rows = rows.withColumn(name, kept.otherwise(F.col(name)))
-    return rows
+        checked[name] = kept.otherwise(F.col(name))
+    return rows.withColumns(checked)
 
 
 def load_raw_matches(

@@ -26,7 +26,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_root
 
 
+def _app_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/arenalake/{spark.sparkContext.applicationId}"
+
+
+def remove_app_files(spark: SparkSession) -> None:
+    """Delete what this application put into the shared folder, when its results are taken."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody else writes to, grouped by application so that it can be cleaned up later."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/arenalake/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_app_folder(spark)}/{label}-{uuid.uuid4().hex}"

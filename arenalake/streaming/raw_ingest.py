@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from arenalake.sources.json_files import load_time
+from arenalake.sources.json_files import load_time, require_values
 from arenalake.sources.schemas import ENVELOPE, MANIFEST_COLUMNS
 
 
@@ -27,7 +27,7 @@ def stream_raw_matches(
         .option("maxFilesPerTrigger", max_files_per_batch)
         .json(landing)
     )
-    rows = envelopes.select(
+    rows = require_values(envelopes, (*MANIFEST_COLUMNS, "payload")).select(
         *MANIFEST_COLUMNS,
         F.col("payload").alias("raw_payload"),
         load_time(loaded_at).alias("loaded_at"),

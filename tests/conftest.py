@@ -7,6 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from arenalake.session import build_session  # noqa: E402
+from arenalake.storage import remove_app_files  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -23,6 +24,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_app_files(session)
     session.stop()
 
 
