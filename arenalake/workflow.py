@@ -1,33 +1,107 @@
-"""The whole run in its documented order: land, load, build, export, validate."""
+"""The steps of a run in order: select matches, wrap payloads, load, export, validate."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from arenalake.config import DEFAULTS, Settings
+from arenalake.operators.backfill import backfill_order, page_bounds, plan_backfill
 from arenalake.operators.contracts import validation_report
-from arenalake.operators.envelopes import build_envelopes
-from arenalake.operators.manifest import merge_manifests, newest_manifest
+from arenalake.operators.envelopes import (
+    build_envelopes,
+    match_snapshot,
+    normalize_envelopes,
+    player_snapshot,
+)
+from arenalake.operators.manifest import merge_manifests, newest_manifest, public_manifest
 from arenalake.plans.pipeline import Models
-from arenalake.sources.csv_files import read_manifests
+from arenalake.sources.csv_files import read_manifest, read_manifests
 from arenalake.sources.json_files import (
+    explode_pages,
     load_raw_hero_stats,
     load_raw_matches,
     load_raw_pro_matches,
+    read_cursor,
+    read_json_lines,
+    read_pages,
     utc_now,
 )
+from arenalake.sources.schemas import MANIFEST
 from arenalake.sources.sinks import (
     EXPORT_ORDER,
     append_raw,
     ensure_raw_tables,
     export_mart,
     write_json_lines,
+    write_manifest,
+    write_progress,
     write_report,
+    write_snapshot_csv,
 )
 
 
+def public_slice(
+    spark: SparkSession, pages_path: str, target: str, *, limit: int = 500, settings: Settings = DEFAULTS
+) -> None:
+    """Write the manifest of the first ``limit`` public matches of the landed pages."""
+    entries = explode_pages(read_pages(spark, pages_path))
+    write_manifest(public_manifest(entries, limit, settings), f"{target}/manifest")
+
+
+def unread_pages(pages: DataFrame, cursor: int | None) -> DataFrame:
+    """Pages from the first one that reaches below the cursor. Pages run from new ids to old."""
+    if cursor is None:
+        return pages
+    below = page_bounds(pages).where(F.col("next_less_than_match_id") < cursor)
+    return pages.where(F.col("page_no") >= below.agg(F.min("page_no")).scalar())
+
+
+def pro_backfill(
+    spark: SparkSession,
+    pages_path: str,
+    target: str,
+    *,
+    previous: str | None = None,
+    cursor: int | None = None,
+    quotas: Mapping[str, int] | None = None,
+    max_pages: int | None = 60,
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """One bounded backfill run: writes manifest, raw entries and progress to ``target``.
+
+    ``previous`` is the target of the run to resume, which must be another folder. Its manifest
+    counts against the quotas, its entries stay in the raw snapshot, and its cursor tells where to
+    go on unless ``cursor`` is given. Returns the stored progress.
+    """
+    known = spark.createDataFrame([], MANIFEST)
+    if previous:
+        known = read_manifest(spark, f"{previous}/manifest/csv")
+        cursor = read_cursor(spark, f"{previous}/progress") if cursor is None else cursor
+    pages = unread_pages(read_pages(spark, pages_path), cursor)
+    plan = plan_backfill(
+        pages, known, quotas=quotas, settings=settings, max_pages=max_pages, cursor=cursor
+    )
+    write_manifest(backfill_order(plan.selected), f"{target}/manifest")
+    raw = plan.read_entries
+    if previous:
+        raw = spark.read.schema(raw.schema).json(f"{previous}/raw").unionByName(raw)
+    write_json_lines(raw, f"{target}/raw")
+    write_progress(plan.progress, f"{target}/progress")
+    return spark.read.json(f"{target}/progress")
+
+
+def normalize_details(
+    spark: SparkSession, path: str, matches: str, players: str, settings: Settings = DEFAULTS
+) -> None:
+    """Match and player snapshots as CSV from envelope or bare payload lines."""
+    rows = normalize_envelopes(read_json_lines(spark, path), settings)
+    write_snapshot_csv(match_snapshot(rows), matches)
+    write_snapshot_csv(player_snapshot(rows, settings), players)
+
+
 def detail_envelopes(
     spark: SparkSession,
     manifest_paths: str,

@@ -1,10 +1,13 @@
 """Manifests and payloads in, validated exports out."""
 
+import json
+
 from arenalake import workflow
 from arenalake.operators.envelopes import missing_payloads
 from arenalake.operators.manifest import concat_manifests, merge_manifests
 from arenalake.registry import queries
 from arenalake.sources import feed, sinks
+from arenalake.sources.csv_files import read_export, read_manifest
 from arenalake.sources.sinks import truncate_raw_tables
 from tests.conftest import SMALL
 
@@ -46,3 +49,56 @@ def test_whole_run(spark, tmp_path):
         workflow.models_of(spark, schema), str(tmp_path / "out"), str(tmp_path / "report")
     )
 
+
+
+def land(path, *pages):
+    rows = [
+        json.dumps({"page_no": n, "entries": [{"match_id": m, "start_time": t} for m, t in page]})
+        for n, page in enumerate(pages, start=1)
+    ]
+    path.write_text("\n".join(rows))
+    return str(path)
+
+
+def ids(rows):
+    return sorted(r.match_id for r in rows.collect())
+
+
+def test_backfill_runs_resume(spark, tmp_path):
+    now, before = 1740000000, 1680000000
+    pages = land(
+        tmp_path / "pages.jsonl",
+        [(9, now), (8, before)],
+        [(7, now), (6, now)],
+        [(5, before), (4, now)],
+        [(3, before), (2, before)],
+    )
+    quotas = {"2025_2026": 3, "2023_2024": 3}
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    progress = workflow.pro_backfill(spark, pages, first, quotas=quotas, max_pages=2).first()
+    assert (progress.request_count, progress.next_less_than_match_id) == (2, 6)
+    assert progress.active_backfill_window == "2023_2024"
+    progress = workflow.pro_backfill(spark, pages, second, previous=first, quotas=quotas).first()
+    assert (progress.request_count, progress.completed_all_targets) == (2, True)
+    manifest = read_manifest(spark, f"{second}/manifest/csv")
+    assert ids(manifest) == [3, 5, 6, 7, 8, 9]
+    assert spark.read.json(f"{second}/raw").count() == 8
+
+
+def test_public_slice(spark, tmp_path):
+    pages = land(tmp_path / "pages.jsonl", [(1, 5), (2, 6), (1, 9)], [(3, 7)])
+    workflow.public_slice(spark, pages, str(tmp_path / "out"), limit=2)
+    manifest = read_manifest(spark, str(tmp_path / "out" / "manifest" / "csv"))
+    assert sorted(tuple(r)[:3] for r in manifest.collect()) == [
+        (1, 9, "public_matches"),
+        (2, 6, "public_matches"),
+    ]
+
+
+def test_normalized_snapshots(spark, tmp_path):
+    lines = tmp_path / "details.jsonl"
+    lines.write_text(json.dumps({"match_id": 4, "players": [{"hero_id": 1}, {"hero_id": 2}]}))
+    matches, players = str(tmp_path / "matches"), str(tmp_path / "players")
+    workflow.normalize_details(spark, str(lines), matches, players)
+    assert read_export(spark, matches).first().match_id == "4"
+    assert read_export(spark, players).count() == 2
