@@ -1,7 +1,7 @@
 """Core: hero dimension, match fact, player fact.
 
-Rankings end in content columns so that rows loaded at the same time always rank the same way;
-the newest load comes first, an unknown load time before all.
+Rankings end in the content that is read, so that rows loaded at the same time always rank the
+same way; the newest load comes first, an unknown load time before all.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -14,11 +14,18 @@ from arenalake.sources.sinks import save_model
 
 @dataclass(frozen=True)
 class Models:
-    """Each attribute is a lazy DataFrame; nothing runs before an action."""
+    """Each attribute is a lazy DataFrame; nothing runs before an action.
+
+    Marts read the facts through ``match_fact`` and ``player_fact``; ``with_core`` puts stored
+    tables below them.
+    """
 
     raw_matches: DataFrame
     raw_hero_stats: DataFrame
     settings: Settings = field(default=DEFAULTS)
+    stored_heroes: DataFrame | None = None
+    stored_matches: DataFrame | None = None
+    stored_players: DataFrame | None = None
 
     @cached_property
     def stg_matches(self) -> DataFrame:
@@ -30,31 +37,62 @@ class Models:
 
     @cached_property
     def dim_heroes(self) -> DataFrame:
+        if self.stored_heroes is not None:
+            return self.stored_heroes
         return core.dim_heroes(self.stg_hero_stats)
 
     @cached_property
     def fct_match(self) -> DataFrame:
+        if self.stored_matches is not None:
+            return self.stored_matches
         return core.fct_match(self.stg_matches, self.settings)
 
     @cached_property
     def fct_player_match(self) -> DataFrame:
+        if self.stored_players is not None:
+            return self.stored_players
         return core.fct_player_match(self.raw_matches, self.settings)
 
+    def match_fact(self, *columns: str) -> DataFrame:
+        """The match fact for a consumer of a few attributes.
+
+        Without a stored fact, only these payload keys are read, ranked and shuffled.
+        """
+        if self.stored_matches is not None:
+            return self.stored_matches
+        keys = ("match_id", "source_stream", "recency_window")
+        narrow = self.stg_matches.select(*keys, *columns, "loaded_at")
+        return core.fct_match(narrow, self.settings)
+
+    def player_fact(self, *columns: str) -> DataFrame:
+        """The player fact for a consumer of a few attributes.
+
+        Without a stored fact, only these keys of the players are read and shuffled: a cast to an
+        array of structs is not pruned by itself.
+        """
+        if self.stored_players is not None:
+            return self.stored_players
+        return core.fct_player_match(self.raw_matches, self.settings, fields=columns)
+
     @cached_property
     def mart_liveops_summary(self) -> DataFrame:
-        return marts.mart_liveops_summary(self.fct_player_match, self.fct_match, self.settings)
+        players = self.player_fact("account_id", "hero_id")
+        matches = self.match_fact(
+            "start_time", "duration_seconds", "radiant_win", "patch", "league_id"
+        )
+        return marts.mart_liveops_summary(players, matches, self.settings)
 
     @cached_property
     def mart_hero_meta_shift(self) -> DataFrame:
-        return marts.mart_hero_meta_shift(
-            self.fct_player_match, self.fct_match, self.dim_heroes, self.settings
-        )
+        players = self.player_fact("hero_id", "win")
+        matches = self.match_fact("start_time")
+        return marts.mart_hero_meta_shift(players, matches, self.dim_heroes, self.settings)
 
     @cached_property
     def mart_returning_player_proxy(self) -> DataFrame:
-        return marts.mart_returning_player_proxy(
-            self.fct_player_match, self.fct_match, self.settings
-        )
+        players = self.player_fact("account_id")
+        matches = self.match_fact("start_time")
+        return marts.mart_returning_player_proxy(players, matches, self.settings)
 
     def named(self) -> dict[str, DataFrame]:
         names = (
@@ -78,12 +116,12 @@ class Models:
         self, dim_heroes: DataFrame, fct_match: DataFrame, fct_player_match: DataFrame
     ) -> Models:
         """The same models on top of a stored dimension and stored facts."""
-        built = Models(self.raw_matches, self.raw_hero_stats, self.settings)
-        # cached_property looks into the instance dict first.
-        built.__dict__.update(
-            dim_heroes=dim_heroes, fct_match=fct_match, fct_player_match=fct_player_match
+        return replace(
+            self,
+            stored_heroes=dim_heroes,
+            stored_matches=fct_match,
+            stored_players=fct_player_match,
         )
-        return built
 
     def materialize_core(self, schema: str, buckets: int = 200) -> Models:
         """Save dimension and facts as tables and return models that read them.

@@ -312,7 +312,7 @@ def selected_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _player_rows(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     m = models(spark, sf_dir)
-    return marts.player_match_rows(m.fct_player_match, m.fct_match, columns)
+    return marts.player_match_rows(m.player_fact(*columns), m.match_fact("start_time"), columns)
 
 
 def player_match_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +320,7 @@ def player_match_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_window_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = marts.in_target_windows(models(spark, sf_dir).fct_match)
+    rows = marts.in_target_windows(models(spark, sf_dir).match_fact("start_time"))
     return rows.select("match_id", "recency_window", "start_time")
 
 

@@ -14,6 +14,15 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# For a cluster: many small shuffle partitions, which AQE merges up to the advisory size, so one
+# setting fits small and large inputs; larger scan splits, so that fewer tasks are scheduled.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(app_name: str = "arenalake", master: str | None = None, **conf: str) -> SparkSession:
     """Extra settings use double underscores for dots: ``spark__sql__shuffle__partitions="8"``."""

@@ -83,3 +83,9 @@ def test_payload_reads_reach_the_scan(spark):
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     schema = scan.split("ReadSchema: ")[1]
     assert "array" not in schema
+
+
+def test_marts_read_few_player_keys(spark):
+    """The hero mart reads slot, hero and win of a player, and no match payload column but the id."""
+    plan = initial_plan(QUERIES["hero_win_rate"](spark, SMALL))
+    assert "win" in plan and "total_gold" not in plan and "leaver_status" not in plan
