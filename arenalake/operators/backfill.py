@@ -104,7 +104,7 @@ def _sightings(entries: DataFrame, known: DataFrame, settings: Settings) -> Data
 def _label_at(settings: Settings) -> Column:
     """The window whose first sighting is at ``at``; places are unique."""
     return F.coalesce(
-        *[F.when(F.col("at") == F.col(f"at {w}"), w) for w in settings.labels], F.lit(None)
+        *[F.when(F.col("at") == F.col(f"`at {w}`"), w) for w in settings.labels], F.lit(None)
     )
 
 
@@ -115,7 +115,7 @@ def _take_round(free: DataFrame, left: dict[str, int], settings: Settings):
     Only counts and places come to the driver, one row per window.
     """
     open_windows = [w for w in settings.labels if left[w] > 0]
-    at = F.array_min(F.array(*[F.col(f"at {w}") for w in open_windows]))
+    at = F.array_min(F.array(*[F.col(f"`at {w}`") for w in open_windows]))
     rows = free.withColumn("at", at).withColumn("label", _label_at(settings))
     tops = [
         rows.where(F.col("label") == w).orderBy("at").limit(left[w]).select("label", "at")
@@ -176,7 +176,7 @@ def plan_backfill(
         if any(n > 0 for n in left.values()):
             taken, free, left = _take_round(free, left, settings)
             parts.append(taken)
-    start = F.coalesce(*[F.when(F.col("label") == w, F.col(f"start {w}")) for w in settings.labels])
+    start = F.coalesce(*[F.when(F.col("label") == w, F.col(f"`start {w}`")) for w in settings.labels])
     added = reduce(DataFrame.unionByName, parts).select(
         "match_id",
         start.alias("start_time"),

@@ -97,7 +97,9 @@ def newest_manifest(manifest: DataFrame, limit: int) -> DataFrame:
     return newest_first(manifest).limit(limit)
 
 
-def admit_resources(resources: DataFrame, size_column: str, max_bytes: int) -> DataFrame:
+def admit_resources(
+    resources: DataFrame, size_column: str, max_bytes: int = DEFAULTS.max_resource_bytes
+) -> DataFrame:
     """Resources that may be read: of unknown size, or not above the bound."""
     size = F.col(size_column)
     return resources.where(size.isNull() | (size <= max_bytes))

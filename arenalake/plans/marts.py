@@ -64,20 +64,20 @@ def _hero_rates(player_rows: DataFrame, settings: Settings) -> DataFrame:
     counts = player_rows.groupBy("hero_id").agg(*counted)
     # The filter is always true. It keeps the columns of both uses equal, which lets Spark reuse
     # the exchange.
-    used = F.greatest(*[F.col(f"wins {label}") for label in settings.labels]) >= 0
+    used = F.greatest(*[F.col(f"`wins {label}`") for label in settings.labels]) >= 0
     totals = counts.where(used).agg(
-        F.struct(*[F.sum(f"picks {label}").alias(label) for label in settings.labels])
+        F.struct(*[F.sum(f"`picks {label}`").alias(label) for label in settings.labels])
     )
     rows = counts.withColumn("totals", totals.scalar())
     metrics = []
     for label in settings.labels:
-        picks, total = F.col(f"picks {label}"), F.col(f"totals.{label}")
+        picks, total = F.col(f"`picks {label}`"), F.col("totals")[label]
         metrics.append(
             F.when(
                 picks > 0,
                 F.struct(
                     picks.alias("hero_picks"),
-                    ratio(F.col(f"wins {label}"), picks).alias("win_rate"),
+                    ratio(F.col(f"`wins {label}`"), picks).alias("win_rate"),
                     total.alias("total_player_rows"),
                     ratio(picks, total).alias("pick_rate"),
                 ),
@@ -122,7 +122,7 @@ def _with_pivot(rates: DataFrame, settings: Settings) -> DataFrame:
 def hero_window_pivot(player_rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One row per hero, previous and current metrics side by side; null where unseen."""
     rates = _hero_rates(player_rows, settings)
-    return _with_pivot(rates, settings).drop(*settings.labels)
+    return _with_pivot(rates, settings).select("hero_id", *PIVOT_COLUMNS)
 
 
 PIVOT_COLUMNS = tuple(f"{side}_window_{m}" for m in PIVOT_MEASURES for side in ("previous", "current"))
@@ -271,7 +271,7 @@ def account_window_status(player_rows: DataFrame, settings: Settings = DEFAULTS)
         for label in settings.labels
     ]
     accounts = known.groupBy("account_id").agg(F.min("start_time").alias("first_seen"), *seen)
-    present = [F.when(F.col(f"seen {label}") == 1, label) for label in settings.labels]
+    present = [F.when(F.col(f"`seen {label}`") == 1, label) for label in settings.labels]
     status = accounts.select(
         "account_id", "first_seen", F.explode(F.array(*present)).alias("recency_window")
     ).where(F.col("recency_window").isNotNull())

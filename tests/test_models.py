@@ -256,3 +256,34 @@ def test_heroes_are_counted_once(built):
     mart.collect()
     final = mart._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange [hero_id" in final
+
+
+def test_other_windows(spark):
+    """Windows are parameters, whatever their labels look like."""
+    from arenalake.config import Settings, Window
+    from arenalake.operators.backfill import plan_backfill
+    from arenalake.sources.schemas import MANIFEST
+
+    settings = Settings(
+        windows=(Window("2021.first", 1, 9), Window("2022-second half", 10, None)),
+        previous_window="2021.first",
+        current_window="2022-second half",
+        quotas={"2021.first": 1, "2022-second half": 1},
+        fill_order=("2022-second half", "2021.first"),
+    )
+    rows = [
+        (1, "a", "2021.first", payload(1, 5, [player(0, 1, account_id=1, win=1)]), DAY1),
+        (2, "a", "2022-second half", payload(2, 15, [player(0, 1, account_id=1)]), DAY1),
+        (3, "a", "2023_2024", payload(3, OLD, [player(0, 1)]), DAY1),
+    ]
+    models = Models(raw(spark, rows), heroes(spark, [({"id": 1}, DAY1)]), settings)
+    assert models.mart_hero_meta_shift.first().win_rate_delta_vs_prior_window == -1
+    assert models.mart_liveops_summary.count() == 2
+    accounts = {r.recency_window: r.returning_account_count for r in models.mart_returning_player_proxy.collect()}
+    assert accounts == {"2021.first": 0, "2022-second half": 1}
+    pages = spark.sql(
+        """select 1L as page_no, parse_json('[{"match_id":1,"start_time":5},{"match_id":2,"start_time":6},
+        {"match_id":3,"start_time":70}]') as entries"""
+    )
+    plan = plan_backfill(pages, spark.createDataFrame([], MANIFEST), settings=settings)
+    assert sorted(r.match_id for r in plan.added.collect()) == [1, 3]
