@@ -30,7 +30,7 @@ def page_bounds(pages: DataFrame) -> DataFrame:
     starts = F.transform("entries", lambda entry: entry["start_time"].cast("bigint"))
     return typed_pages(pages).select(
         "page_no",
-        F.size("entries").cast("bigint").alias("entry_count"),
+        F.coalesce(F.array_size("entries"), F.lit(0)).cast("bigint").alias("entry_count"),
         F.array_min(ids).alias("next_less_than_match_id"),
         F.array_min(starts).alias("oldest_start_time"),
         F.array_max(starts).alias("newest_start_time"),

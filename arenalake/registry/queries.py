@@ -159,7 +159,7 @@ def load_raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_files.load_raw_matches(spark, path, LOADED_AT).select(
         *MANIFEST_COLUMNS,
         F.variant_get(payload, "$.duration", "bigint").alias("payload_duration"),
-        F.size(players(payload, ("hero_id",))).cast("bigint").alias("player_count"),
+        F.array_size(players(payload, ("hero_id",))).cast("bigint").alias("player_count"),
         "loaded_at",
     )
 
@@ -306,8 +306,8 @@ def _model(name: str) -> Query:
 
 def selected_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = core.selected_payloads(raw_matches(spark, sf_dir))
-    count = F.when(F.col("players").isNotNull(), F.size("players").cast("bigint"))
-    return rows.withColumn("player_count", F.coalesce(count, F.lit(0))).drop("players")
+    count = F.coalesce(F.array_size("players"), F.lit(0)).cast("bigint")
+    return rows.withColumn("player_count", count).drop("players")
 
 
 def _player_rows(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -1,23 +1,46 @@
-"""CSV scans: manifests (typed) and mart exports (text)."""
+"""CSV scans: manifests (typed by column name) and mart exports (text)."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from arenalake.sources.schemas import MANIFEST
+from arenalake.sources.schemas import MANIFEST, MANIFEST_COLUMNS
+
+
+def _whole_number(text: Column) -> Column:
+    """The number in the text; other text fails the query, blank is null."""
+    number = text.try_cast("bigint")
+    wrong = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("bigint")
+    return F.when(text.isNotNull() & number.isNull(), wrong).otherwise(number)
+
+
+def _manifest_columns(rows: DataFrame) -> list[Column]:
+    """The manifest columns by header name, in any order; a missing column is null."""
+    columns = []
+    for name in MANIFEST_COLUMNS:
+        text = F.col(name) if name in rows.columns else F.lit(None).cast("string")
+        number = name in ("match_id", "start_time")
+        columns.append((_whole_number(text) if number else text).alias(name))
+    return columns
+
+
+def _text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All columns as text, named by the header; only the header is read for this."""
+    return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
 def read_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Manifest rows; a missing file is an empty manifest."""
     try:
-        return spark.read.schema(MANIFEST).option("header", True).csv(path)
+        rows = _text(spark, path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], MANIFEST)
+    return rows.select(*_manifest_columns(rows))
 
 
 def split_paths(paths: str) -> list[str]:
@@ -32,21 +55,19 @@ def read_manifests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     sorted here.
     """
     listed = split_paths(paths) if isinstance(paths, str) else paths
-    parts = [
-        spark.read.schema(MANIFEST).option("header", True).csv(path).select(
-            "*",
-            F.struct(
-                F.lit(order).alias("path_no"),
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("split"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("seen_at"),
+    parts = []
+    for order, path in enumerate(listed):
+        rows = _text(spark, path)
+        place = F.struct(
+            F.lit(order).alias("path_no"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line"),
         )
-        for order, path in enumerate(listed)
-    ]
+        parts.append(rows.select(*_manifest_columns(rows), place.alias("seen_at")))
     return reduce(DataFrame.unionByName, parts)
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """A mart export as text columns, named by its header."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+    return _text(spark, path)

@@ -92,6 +92,20 @@ def test_missing_export_and_columns(spark, tmp_path):
     ]
 
 
+def test_empty_export(spark, tmp_path):
+    folder = tmp_path / "e"
+    exports(spark, folder)
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "mart_liveops_summary.csv").write_text("")
+    first = contracts.validation_report(spark, str(empty)).first().errors[:2]
+    assert first == [
+        "mart_liveops_summary.csv is missing required columns: "
+        + ", ".join(contracts.REQUIRED_COLUMNS["mart_liveops_summary"]),
+        "mart_liveops_summary.csv is missing target windows: 2023_2024, 2025_2026",
+    ]
+
+
 def test_report_is_written(spark, tmp_path):
     report = contracts.validation_report(spark, exports(spark, tmp_path / "e"))
     assert sinks.write_report(report, str(tmp_path / "r")) is True

@@ -146,6 +146,21 @@ def test_manifest_round_trip(spark, tmp_path):
     assert spark.read.schema(MANIFEST).json(f"{tmp_path}/m/json").count() == 2
 
 
+def test_a_manifest_with_text_ids_fails(spark, tmp_path):
+    path = write(tmp_path / "m.csv", ",".join(MANIFEST_COLUMNS) + "\none,5,pro_matches,x\n")
+    with pytest.raises(Exception, match="not a whole number: one"):
+        csv_files.read_manifest(spark, path).collect()
+
+
+def test_manifest_columns_go_by_name(spark, tmp_path):
+    path = write(tmp_path / "m.csv", "source_stream,extra,start_time,match_id\npro_matches,z,5,1\n")
+    assert [tuple(r) for r in csv_files.read_manifest(spark, path).collect()] == [
+        (1, 5, "pro_matches", None)
+    ]
+    empty = write(tmp_path / "e.csv", "")
+    assert csv_files.read_manifest(spark, empty).count() == 0
+
+
 def test_manifest_list_keeps_its_order(spark, tmp_path):
     from arenalake.operators.manifest import merge_manifests
 
