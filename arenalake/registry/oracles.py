@@ -71,7 +71,7 @@ docs AS (
          CASE WHEN NOT (copy = 1 OR o_orderstatus = 'O')
               THEN 'League ' || CAST(o_custkey % 50 AS VARCHAR) END AS league_name,
          o_custkey, copy
-  FROM orders JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR o_orderkey % 7 = 0
+  FROM orders JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR o_orderpriority = '1-URGENT'
 ),
 ranked AS (
   SELECT *, row_number() OVER (
@@ -122,7 +122,7 @@ hero_feed AS (
          CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey * 50 END AS turbo_wins,
          CASE WHEN snapshot = 0 THEN '2025-06-01 00:00:00' ELSE '2025-07-01 00:00:00' END
            AS loaded_at
-  FROM supplier JOIN (VALUES (0), (1)) AS c(snapshot) ON snapshot = 0 OR s_suppkey % 3 <> 0
+  FROM supplier JOIN (VALUES (0), (1)) AS c(snapshot) ON snapshot = 0 OR s_acctbal > 3000
 ),
 stg_heroes AS (SELECT * EXCLUDE (hero_key, snapshot) FROM hero_feed WHERE hero_id IS NOT NULL),
 dim AS (
@@ -192,7 +192,8 @@ returning_counts AS (
 
 _PAGES = f"""
 pro AS (
-  SELECT o_orderkey AS k, min(o_orderstatus) AS status, {epoch("min(o_orderdate)")} AS st
+  SELECT o_orderkey AS k, min(o_orderstatus) AS status, {epoch("min(o_orderdate)")} AS st,
+         min(o_orderpriority) AS priority
   FROM orders GROUP BY 1
 ),
 entries AS (
@@ -201,7 +202,7 @@ entries AS (
          CASE WHEN k % 11 <> 4 THEN st + again * 60 END AS start_time
   FROM (SELECT k, st, again,
                ((SELECT max(o_orderkey) FROM orders) - k) // 100 + 1 + again AS page_no
-        FROM pro JOIN (VALUES (0), (1)) AS c(again) ON again = 0 OR k % 9 = 2
+        FROM pro JOIN (VALUES (0), (1)) AS c(again) ON again = 0 OR priority = '1-URGENT'
         WHERE status = 'F')
 ),
 complete AS (
@@ -220,7 +221,7 @@ both_manifests AS (
          'pro_matches' AS source_stream, 1 AS p FROM orders WHERE o_orderstatus = 'F'
   UNION ALL
   SELECT o_orderkey, {epoch("o_orderdate")} + 3600, 'public_matches', 2 FROM orders
-  WHERE o_orderstatus = 'O' OR o_orderkey % 7 = 0
+  WHERE o_orderstatus = 'O' OR o_orderpriority = '1-URGENT'
 ),
 merged AS (
   SELECT match_id, start_time, source_stream, {label("start_time")} AS recency_window
@@ -426,6 +427,13 @@ _REPORT_ERRORS = " | ".join(
 
 def all_oracles() -> dict[str, str]:
     at = f"'{q.LOADED_AT}'"
+    loaded = _sql(
+        (_DOCS, _SEATS),
+        f"""SELECT match_id, start_time, source_stream, derived_window AS recency_window,
+       duration_seconds AS payload_duration, n AS player_count, {at} AS loaded_at
+FROM docs LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM seats GROUP BY 1)
+  ON l_orderkey = match_id""",
+    )
     return {
         "scan_jsonl_payloads": _sql(
             (_DOCS, _NORMALIZED),
@@ -434,12 +442,21 @@ def all_oracles() -> dict[str, str]:
        CASE WHEN NOT legacy THEN source_stream END AS source_stream,
        CASE WHEN NOT legacy THEN duration_seconds END AS payload_duration FROM lines""",
         ),
-        "load_raw_matches": _sql(
-            (_DOCS, _SEATS),
-            f"""SELECT match_id, start_time, source_stream, derived_window AS recency_window,
-       duration_seconds AS payload_duration, n AS player_count, {at} AS loaded_at
-FROM docs LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM seats GROUP BY 1)
-  ON l_orderkey = match_id""",
+        "load_raw_matches": loaded,
+        "stream_raw_ingest": loaded,
+        "stream_backfill": _sql(
+            FEED_PAGES,
+            f"""SELECT match_id, start_time, 'pro_matches' AS source_stream, w AS recency_window
+FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY place) AS rn
+      FROM (SELECT match_id, min_by(start_time, page_no * 4294967296 + pos) AS start_time,
+                   min_by(w, page_no * 4294967296 + pos) AS w,
+                   min(page_no * 4294967296 + pos) AS place
+            FROM complete
+            WHERE w IN {TARGETS} AND page_no <= (
+              SELECT coalesce(min(page_no), 9223372036854775807) FROM bounds
+              WHERE next_less_than_match_id IS NULL)
+            GROUP BY 1))
+WHERE rn <= 300""",
         ),
         "load_raw_hero_stats": _sql(
             (_HEROES,),

@@ -17,6 +17,8 @@ from arenalake.sources import csv_files, feed, json_files, sinks
 from arenalake.sources.schemas import MANIFEST_COLUMNS, RAW_TABLES
 from arenalake.sources.tables import read_table
 from arenalake.storage import fresh_path
+from arenalake.streaming import backfill as backfill_stream
+from arenalake.streaming.raw_ingest import stream_raw_matches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,9 +108,12 @@ def _hero_records(spark: SparkSession, sf_dir: str) -> str:
     return landed_lines(spark, sf_dir, "hero_arrays", ("supplier",), feed.hero_array_lines)
 
 
+def _page_files(spark: SparkSession, sf_dir: str) -> str:
+    return landed_lines(spark, sf_dir, "pages", ("orders",), feed.page_lines)
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = landed_lines(spark, sf_dir, "pages", ("orders",), feed.page_lines)
-    return json_files.read_pages(spark, path)
+    return json_files.read_pages(spark, _page_files(spark, sf_dir))
 
 
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,11 +157,19 @@ def scan_jsonl_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def load_raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _envelope_files(spark: SparkSession, sf_dir: str) -> str:
     build = partial(feed.envelope_lines, with_legacy=False)
-    path = landed_lines(spark, sf_dir, "envelopes", ORDER_TABLES, build)
+    return landed_lines(spark, sf_dir, "envelopes", ORDER_TABLES, build)
+
+
+def load_raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = json_files.load_raw_matches(spark, _envelope_files(spark, sf_dir), LOADED_AT)
+    return _loaded(rows)
+
+
+def _loaded(raw: DataFrame) -> DataFrame:
     payload = F.col("raw_payload")
-    return json_files.load_raw_matches(spark, path, LOADED_AT).select(
+    return raw.select(
         *MANIFEST_COLUMNS,
         F.variant_get(payload, "$.duration", "bigint").alias("payload_duration"),
         F.array_size(players(payload, ("hero_id",))).cast("bigint").alias("player_count"),
@@ -294,6 +307,36 @@ def backfill_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Streams over the landed files
+
+
+def stream_raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table after a stream has taken all envelope files."""
+    folder = fresh_path(spark, "raw-stream")
+    stream_raw_matches(
+        spark,
+        _envelope_files(spark, sf_dir),
+        f"{folder}/table",
+        f"{folder}/checkpoint",
+        loaded_at=LOADED_AT,
+    ).awaitTermination()
+    return _loaded(spark.read.schema(RAW_TABLES["raw_matches"]).parquet(f"{folder}/table"))
+
+
+def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest after a stream has taken all page files, in one batch."""
+    folder = fresh_path(spark, "backfill-stream")
+    backfill_stream.stream_backfill(
+        spark,
+        _page_files(spark, sf_dir),
+        f"{folder}/manifest",
+        f"{folder}/progress",
+        f"{folder}/checkpoint",
+        max_files_per_batch=1_000_000,
+    ).awaitTermination()
+    return backfill_stream.read_backfill_manifest(spark, f"{folder}/manifest").drop("batch")
+
+
 # Models
 
 
@@ -549,6 +592,8 @@ _QUERIES: dict[str, Query] = {
     "backfill_counts": backfill_counts,
     "page_bounds": page_bounds,
     "backfill_progress": backfill_progress,
+    "stream_raw_ingest": stream_raw_ingest,
+    "stream_backfill": stream_backfill,
     "stg_matches": _model("stg_matches"),
     "stg_hero_stats": _model("stg_hero_stats"),
     "dim_heroes": _model("dim_heroes"),

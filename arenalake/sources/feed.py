@@ -18,6 +18,7 @@ SHIFT_SECONDS = 9497 * 86400
 SEATS = 10
 PAGE_SIZE = 100
 INGESTED_AT = "2026-01-01T00:00:00+00:00"
+URGENT = "1-URGENT"
 
 
 def _epoch(column: Column) -> Column:
@@ -30,6 +31,11 @@ def _absent_if(condition: Column, value: Column) -> Column:
     return F.when(~F.coalesce(condition, F.lit(False)), value)
 
 
+def _once_or_twice(twice: Column) -> Column:
+    """Explodes a row to copy 0 and, where the condition holds, copy 1."""
+    return F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+
+
 def seats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One array of at most ten seats per order."""
     seat = (F.col("l_linenumber") - 1) % SEATS
@@ -74,15 +80,14 @@ def _player(seat: Column, customer: Column) -> Column:
 
 
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelope columns, ``loaded_at`` and the payload as a struct; every seventh match twice."""
+    """Envelope columns, ``loaded_at`` and the payload as a struct; urgent orders come twice."""
     orders = read_table(spark, sf_dir, "orders")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     # A shuffle join: the documents are built by as many tasks as there are shuffle partitions.
     joined = orders.join(
         seats(spark, sf_dir).hint("merge"), orders["o_orderkey"] == F.col("l_orderkey"), "left"
     )
-    copies = F.when(key % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = joined.withColumn("copy", F.explode(copies))
+    rows = joined.withColumn("copy", _once_or_twice(F.col("o_orderpriority") == URGENT))
     start = _epoch(F.col("o_orderdate"))
     stream = (
         F.when((F.col("copy") == 1) | (F.col("o_orderstatus") == "O"), "public_matches")
@@ -154,8 +159,9 @@ def envelope_lines(spark: SparkSession, sf_dir: str, *, with_legacy: bool) -> Da
 def hero_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots of the heroes; some have no id, some no name, some only the first snapshot."""
     key = F.col("s_suppkey")
-    snapshots = F.when(key % 3 == 0, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
-    rows = read_table(spark, sf_dir, "supplier").withColumn("snapshot", F.explode(snapshots))
+    rows = read_table(spark, sf_dir, "supplier").withColumn(
+        "snapshot", _once_or_twice(F.col("s_acctbal") > 3000)
+    )
     roles = (
         F.when(key % 3 == 0, F.array(F.lit("Carry")))
         .when(key % 3 == 1, F.array(F.lit("Support"), F.lit("Nuker")))
@@ -211,13 +217,14 @@ def pro_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     matches = (
         orders.groupBy("o_orderkey")
-        .agg(F.min("o_orderstatus").alias("status"), F.min("o_orderdate").alias("day"))
+        .agg(
+            F.min("o_orderstatus").alias("status"),
+            F.min("o_orderdate").alias("day"),
+            F.min("o_orderpriority").alias("priority"),
+        )
         .where(F.col("status") == "F")
     )
-    sightings = matches.withColumn(
-        "again",
-        F.explode(F.when(key % 9 == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
-    )
+    sightings = matches.withColumn("again", _once_or_twice(F.col("priority") == URGENT))
     entry = F.struct(
         _absent_if(key % 19 == 7, key).alias("match_id"),
         _absent_if(key % 11 == 4, _epoch(F.col("day")) + F.col("again") * 60).alias("start_time"),
@@ -251,7 +258,7 @@ def manifest(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
     if stream == "pro_matches":
         rows = orders.where(status == "F")
     else:
-        rows = orders.where((status == "O") | (key % 7 == 0))
+        rows = orders.where((status == "O") | (F.col("o_orderpriority") == URGENT))
         start = start + 3600
     return rows.select(
         key.alias("match_id"),
