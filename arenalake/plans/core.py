@@ -65,6 +65,20 @@ def selected_payloads(
     return first_per_key(rows, ["match_id"], order)
 
 
+def needed_fields(fields: tuple[str, ...]) -> tuple[str, ...]:
+    """The player fields to read: the wanted ones, and slot and hero, which decide validity."""
+    return tuple(f for f in PLAYER_FIELDS if f in fields or f in ("player_slot", "hero_id"))
+
+
+def explode_players(
+    payloads: DataFrame, carried: tuple[str, ...], fields: tuple[str, ...]
+) -> DataFrame:
+    """One row per player that has a slot and a hero, with the ``carried`` match columns."""
+    exploded = payloads.select(*carried, F.explode("players").alias("player"))
+    rows = exploded.select(*carried, *player_columns(F.col("player"), fields))
+    return rows.where(F.col("player_slot").isNotNull() & (F.col("hero_id") > 0))
+
+
 def fct_player_match(
     raw_matches: DataFrame,
     settings: Settings = DEFAULTS,
@@ -72,19 +86,14 @@ def fct_player_match(
 ) -> DataFrame:
     """One row per match and player slot; players without slot or hero are dropped.
 
-    ``fields`` narrows the payload reads for a consumer that needs a few attributes only; slot
-    and hero are always read, because validity depends on them.
+    ``fields`` narrows the payload reads for a consumer that needs a few attributes only.
     """
-    needed = tuple(f for f in PLAYER_FIELDS if f in fields or f in ("player_slot", "hero_id"))
-    exploded = selected_payloads(raw_matches, settings, needed).select(
-        "match_id", "source_stream", "recency_window", F.explode("players").alias("player")
+    needed = needed_fields(fields)
+    rows = explode_players(
+        selected_payloads(raw_matches, settings, needed),
+        ("match_id", "source_stream", "recency_window"),
+        needed,
     )
-    rows = exploded.select(
-        "match_id",
-        "source_stream",
-        "recency_window",
-        *player_columns(F.col("player"), needed),
-    ).where(F.col("player_slot").isNotNull() & (F.col("hero_id") > 0))
     rows = rows.withColumn(
         "player_match_key",
         F.concat(F.col("match_id").cast("string"), F.lit("-"), F.col("player_slot").cast("string")),

@@ -1,7 +1,8 @@
 """Marts: activity summary, hero shift between windows, returning players.
 
-Each mart shuffles the player rows once, on the hero or the account, after map-side partial
-sums. Both windows of a hero or an account then meet in one row, so no self-joins are needed.
+Marts take player rows: players with the window and start time of their match, target windows
+only. Each mart shuffles them once, on the hero or the account, after map-side partial sums. Both
+windows of a hero or an account then meet in one row, so no self-joins are needed.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from arenalake.config import DEFAULTS, Settings
 from arenalake.functions.numeric import flag, mean, minutes, ratio
 from arenalake.functions.rules import stability_segment
 from arenalake.functions.windows import epoch_to_ntz, is_target_window, window_start
+from arenalake.plans import core
 
 
 def in_target_windows(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -35,6 +37,32 @@ def player_match_rows(
     return fct_player_match.select("match_id", *columns).join(matches.hint("merge"), "match_id")
 
 
+def player_rows_from_raw(
+    raw_matches: DataFrame,
+    fct_match: DataFrame,
+    columns: tuple[str, ...],
+    *,
+    own_window: bool = False,
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """The rows of ``player_match_rows`` when the player fact is not stored.
+
+    Matches are joined before their players are exploded: the join sees a tenth of the rows, both
+    sides arrive sorted from their ranking, and players of other windows are never exploded.
+    ``own_window`` also asks for a target label on the player's own raw row.
+    """
+    needed = core.needed_fields(columns)
+    payloads = core.selected_payloads(raw_matches, settings, needed)
+    if own_window:
+        payloads = in_target_windows(payloads, settings)
+    matches = in_target_windows(fct_match, settings).select(
+        "match_id", "recency_window", "start_time"
+    )
+    joined = payloads.select("match_id", "players").join(matches.hint("merge"), "match_id")
+    carried = ("match_id", "recency_window", "start_time")
+    return core.explode_players(joined, carried, needed).select(*carried, *columns)
+
+
 # Hero shift
 
 
@@ -163,17 +191,13 @@ HERO_ATTRIBUTES = ("hero_name", "primary_attribute", "attack_type", "role_list")
 
 
 def mart_hero_meta_shift(
-    fct_player_match: DataFrame,
-    fct_match: DataFrame,
-    dim_heroes: DataFrame,
-    settings: Settings = DEFAULTS,
+    player_rows: DataFrame, dim_heroes: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """One row per hero and window; both rows of a hero carry the same deltas.
 
     Heroes of one window only have null pivot and delta columns, heroes outside the dimension
     null attributes.
     """
-    player_rows = player_match_rows(fct_player_match, fct_match, ("hero_id", "win"), settings)
     pivot = _with_pivot(_hero_rates(player_rows, settings), settings)
     moved = with_deltas(pivot, settings).withColumns(
         {name: F.when(_in_both_windows(), F.col(name)) for name in PIVOT_COLUMNS}
@@ -232,12 +256,12 @@ def match_metrics(matches: DataFrame) -> DataFrame:
 
 
 def mart_liveops_summary(
-    fct_player_match: DataFrame, fct_match: DataFrame, settings: Settings = DEFAULTS
+    player_rows: DataFrame, fct_match: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """One row per window that has both matches and players."""
-    player_rows = player_match_rows(
-        in_target_windows(fct_player_match, settings), fct_match, ("account_id", "hero_id"), settings
-    )
+    """One row per window that has both matches and players.
+
+    The player rows must have a target label on their own raw row, too.
+    """
     players = distinct_counts(player_rows)
     # At most one row per target window.
     matches = F.broadcast(match_metrics(in_target_windows(fct_match, settings)))
@@ -280,13 +304,12 @@ def account_window_status(player_rows: DataFrame, settings: Settings = DEFAULTS)
 
 
 def mart_returning_player_proxy(
-    fct_player_match: DataFrame, fct_match: DataFrame, settings: Settings = DEFAULTS
+    player_rows: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Known, returning and new accounts per window.
 
     A status row is already unique per window and account, so plain counts are distinct counts.
     """
-    player_rows = player_match_rows(fct_player_match, fct_match, ("account_id",), settings)
     counts = account_window_status(player_rows, settings).groupBy("recency_window").agg(
         F.count("*").alias("known_account_count"),
         F.sum("is_returning_account").alias("returning_account_count"),

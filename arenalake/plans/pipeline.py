@@ -16,8 +16,7 @@ from arenalake.sources.sinks import save_model
 class Models:
     """Each attribute is a lazy DataFrame; nothing runs before an action.
 
-    Marts read the facts through ``match_fact`` and ``player_fact``; ``with_core`` puts stored
-    tables below them.
+    Marts read ``match_fact`` and ``player_rows``; ``with_core`` puts stored tables below them.
     """
 
     raw_matches: DataFrame
@@ -64,35 +63,41 @@ class Models:
         narrow = self.stg_matches.select(*keys, *columns, "loaded_at")
         return core.fct_match(narrow, self.settings)
 
-    def player_fact(self, *columns: str) -> DataFrame:
-        """The player fact for a consumer of a few attributes.
+    def player_rows(
+        self, *columns: str, matches: DataFrame | None = None, own_window: bool = False
+    ) -> DataFrame:
+        """Player columns with window and start time of their match, target windows only.
 
-        Without a stored fact, only these keys of the players are read and shuffled: a cast to an
-        array of structs is not pruned by itself.
+        From the stored facts, or from the raw table with only these keys of the players read: a
+        cast to an array of structs is not pruned by itself.
         """
-        if self.stored_players is not None:
-            return self.stored_players
-        return core.fct_player_match(self.raw_matches, self.settings, fields=columns)
+        matches = self.match_fact("start_time") if matches is None else matches
+        if self.stored_players is None:
+            return marts.player_rows_from_raw(
+                self.raw_matches, matches, columns, own_window=own_window, settings=self.settings
+            )
+        players = self.stored_players
+        if own_window:
+            players = marts.in_target_windows(players, self.settings)
+        return marts.player_match_rows(players, matches, columns, self.settings)
 
     @cached_property
     def mart_liveops_summary(self) -> DataFrame:
-        players = self.player_fact("account_id", "hero_id")
         matches = self.match_fact(
             "start_time", "duration_seconds", "radiant_win", "patch", "league_id"
         )
-        return marts.mart_liveops_summary(players, matches, self.settings)
+        rows = self.player_rows("account_id", "hero_id", matches=matches, own_window=True)
+        return marts.mart_liveops_summary(rows, matches, self.settings)
 
     @cached_property
     def mart_hero_meta_shift(self) -> DataFrame:
-        players = self.player_fact("hero_id", "win")
-        matches = self.match_fact("start_time")
-        return marts.mart_hero_meta_shift(players, matches, self.dim_heroes, self.settings)
+        rows = self.player_rows("hero_id", "win")
+        return marts.mart_hero_meta_shift(rows, self.dim_heroes, self.settings)
 
     @cached_property
     def mart_returning_player_proxy(self) -> DataFrame:
-        players = self.player_fact("account_id")
-        matches = self.match_fact("start_time")
-        return marts.mart_returning_player_proxy(players, matches, self.settings)
+        rows = self.player_rows("account_id")
+        return marts.mart_returning_player_proxy(rows, self.settings)
 
     def named(self) -> dict[str, DataFrame]:
         names = (

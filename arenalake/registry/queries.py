@@ -354,12 +354,14 @@ def selected_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _player_rows(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    m = models(spark, sf_dir)
-    return marts.player_match_rows(m.player_fact(*columns), m.match_fact("start_time"), columns)
+    return models(spark, sf_dir).player_rows(*columns)
 
 
 def player_match_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _player_rows(spark, sf_dir, "player_match_key", "account_id", "hero_id", "win")
+    """The join of the two facts."""
+    m = models(spark, sf_dir)
+    columns = ("player_match_key", "account_id", "hero_id", "win")
+    return marts.player_match_rows(m.fct_player_match, m.fct_match, columns)
 
 
 def target_window_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,6 +250,20 @@ def test_facts_of_one_lineage_join_without_another_shuffle(built):
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
 
 
+def test_matches_join_before_players_explode(built):
+    """The rows are those of the fact join; the ranking's order serves the merge join."""
+    columns = ("hero_id", "win")
+    early = built.player_rows(*columns)
+    late = marts.player_match_rows(built.fct_player_match, built.fct_match, columns)
+    names = early.columns
+    assert sorted(map(tuple, early.collect()), key=repr) == sorted(
+        map(tuple, late.select(*names).collect()), key=repr
+    )
+    plan = initial_plan(early)
+    assert plan.index("Generate explode(players)") < plan.index("SortMergeJoin")
+    assert plan.count("Sort [") == 4  # two per ranking, none for the join
+
+
 def test_heroes_are_counted_once(built):
     """Totals and metrics read the same shuffled counts."""
     mart = built.mart_hero_meta_shift
