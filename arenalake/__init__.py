@@ -1 +1 @@
-"""Match-telemetry marts on PySpark: raw payloads -> staging -> facts -> marts -> exports."""
+"""Match-telemetry marts on PySpark: raw payloads, staging, facts, marts, exports."""

@@ -11,7 +11,7 @@ from arenalake.functions.payload import has_key, players
 from arenalake.functions.windows import epoch_to_ntz
 from arenalake.operators import backfill, contracts, envelopes, manifest, quality
 from arenalake.plans import core, dashboards, marts
-from arenalake.plans.pipeline import Models
+from arenalake.plans.models import Models
 from arenalake.registry.landing import landed_lines, landed_table
 from arenalake.sources import csv_files, feed, json_files, sinks
 from arenalake.sources.schemas import MANIFEST_COLUMNS, RAW_TABLES

@@ -17,7 +17,7 @@ from arenalake.operators.envelopes import (
     player_snapshot,
 )
 from arenalake.operators.manifest import merge_manifests, newest_manifest, public_manifest
-from arenalake.plans.pipeline import Models
+from arenalake.plans.models import Models
 from arenalake.sources.csv_files import read_manifest, read_manifests
 from arenalake.sources.json_files import (
     explode_pages,

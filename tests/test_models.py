@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arenalake.plans import core, marts
-from arenalake.plans.pipeline import Models
+from arenalake.plans.models import Models
 from arenalake.plans.staging import stg_hero_stats, stg_matches
 from tests.conftest import initial_plan, ranks_before_the_shuffle
 
