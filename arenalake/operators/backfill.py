@@ -81,6 +81,13 @@ class Backfill:
     progress: DataFrame
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    spark = rows.sparkSession
+    path = fresh_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _first_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
     return pages if max_pages is None else pages.orderBy("page_no").limit(max_pages)
 
@@ -151,12 +158,12 @@ def plan_backfill(
     ``existing`` is the manifest so far and ``cursor`` the saved one. Reading stops after the page
     that fills the last quota, at an empty page, and at a page without ids.
 
-    The sightings are written to the shared folder, so the rounds do not read the pages again.
+    Page bounds and sightings are written to the shared folder, so stop, rounds and progress do
+    not read the pages again.
     """
     quotas = {w: (settings.quotas if quotas is None else quotas).get(w, 0) for w in settings.labels}
-    spark = pages.sparkSession
     pages = _first_pages(pages, max_pages)
-    bounds = page_bounds(pages)
+    bounds = _stored(page_bounds(pages), "bounds")
     ends = (F.col("entry_count") <= 0) | F.col("next_less_than_match_id").isNull()
     stop = bounds.where(ends).agg(F.min("page_no")).first()[0]
     stop = _NEVER if stop is None else stop
@@ -165,10 +172,7 @@ def plan_backfill(
     left = {w: quotas[w] - counts[w] for w in settings.labels}
 
     entries = explode_pages(pages).where(F.col("page_no") <= stop)
-    path = fresh_path(spark, "sightings")
-    sightings = _sightings(entries, known, settings)
-    sightings.write.parquet(path)
-    free = spark.read.schema(sightings.schema).parquet(path)
+    free = _stored(_sightings(entries, known, settings), "sightings")
     idle = all(n <= 0 for n in left.values())
     nothing = free.withColumn("at", F.lit(None).cast("bigint")).where(F.lit(False))
     parts = [nothing.withColumn("label", F.lit(None).cast("string"))]

@@ -134,6 +134,7 @@ class Models:
         Both facts are bucketed by match, so the marts join them without a shuffle, and
         partitioned by window.
         """
+        self.raw_matches.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
         by_match = {
             "bucket_by": "match_id",
             "buckets": buckets,

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -76,6 +77,17 @@ def test_ratio_rounds_half_up_at_six_places(spark):
     assert got == [Decimal("0.005882"), Decimal("0.478261"), Decimal("0.000001"), None]
 
 
+def test_ratio_against_exact_rounding(spark):
+    dice = random.Random(7)
+    pairs = [(dice.randint(0, 10**k), dice.randint(1, 10**k)) for k in range(1, 12) for _ in range(40)]
+    pairs += [(2 * n + 1, 2 * 10**6) for n in range(50)]  # exactly half way
+    rows = spark.createDataFrame(pairs, "a bigint, b bigint")
+    unit = Decimal("0.000001")
+    for a, b, got in rows.select("a", "b", ratio(F.col("a"), F.col("b"))).collect():
+        exact = Decimal((2 * 10**6 * a + b) // (2 * b)) * unit
+        assert got == exact, (a, b)
+
+
 def test_mean_minutes(spark):
     rows = spark.createDataFrame([(1802,), (1802,), (1803,)], "s bigint")
     assert rows.agg(minutes(mean(F.col("s")))).first()[0] == Decimal("30.038888883333")

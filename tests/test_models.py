@@ -231,7 +231,6 @@ def test_views(spark, built):
 
 
 def test_materialized_facts_join_without_a_shuffle(spark, built):
-    spark.sql("create schema if not exists marts_test")
     saved = built.materialize_core("marts_test", buckets=4)
     rows = marts.player_match_rows(saved.fct_player_match, saved.fct_match, ("hero_id", "win"))
     plan = initial_plan(rows)

@@ -40,6 +40,12 @@ def test_whole_run(spark, tmp_path):
     expected = merged.count() - missing_payloads(merged, payloads).count()
     assert models.raw_matches.count() == expected
 
+    models = models.materialize_core("workflow_core", buckets=4)
+    models.register_views()
+    rows = spark.sql("select sum(match_count) from mart_liveops_summary").first()
+    targets = spark.table("workflow_core.fct_match").where("recency_window like '202%'")
+    assert rows[0] == targets.count()
+
     valid = workflow.export_and_validate(models, str(tmp_path / "out"), str(tmp_path / "report"))
     assert valid
     assert spark.read.json(str(tmp_path / "report")).first().is_valid
