@@ -225,6 +225,24 @@ def test_returning_players(built):
     assert tuple(new)[1:] == (2, 1, 1, Decimal("0.5"))
 
 
+def test_facts_may_pick_different_rows(spark):
+    """Without an id in the pro payload, the match comes from the public row, its players do not.
+
+    The summary asks for a target label on both rows, the hero mart on the match only.
+    """
+    nameless = {"start_time": NEW, "players": [player(0, 1, win=1)]}
+    rows = [
+        (1, "pro_matches", "outside_target_windows", nameless, DAY1),
+        (1, "public_matches", "2025_2026", payload(1, NEW, [player(0, 2), player(1, 3)]), DAY1),
+    ]
+    lazy = Models(raw(spark, rows), heroes(spark, [({"id": 1}, DAY1)]))
+    stored = lazy.with_core(lazy.dim_heroes, lazy.fct_match, lazy.fct_player_match)
+    for models in (lazy, stored):
+        assert models.mart_liveops_summary.count() == 0
+        got = [(r.hero_window_key, r.hero_picks) for r in models.mart_hero_meta_shift.collect()]
+        assert got == [("1-2025_2026", 1)]
+
+
 def test_views(spark, built):
     built.register_views()
     assert spark.sql("select count(*) from fct_player_match").first()[0] == 7
