@@ -18,7 +18,7 @@ from arenalake.operators.envelopes import (
 )
 from arenalake.operators.manifest import merge_manifests, newest_manifest, public_manifest
 from arenalake.plans.models import Models
-from arenalake.sources.csv_files import read_manifest, read_manifests
+from arenalake.sources.csv_files import read_manifests
 from arenalake.sources.json_files import (
     explode_pages,
     load_raw_hero_stats,
@@ -78,7 +78,7 @@ def pro_backfill(
     """
     known = spark.createDataFrame([], MANIFEST)
     if previous:
-        known = read_manifest(spark, f"{previous}/manifest/csv")
+        known = read_manifests(spark, [f"{previous}/manifest/csv"])
         cursor = read_cursor(spark, f"{previous}/progress") if cursor is None else cursor
     pages = unread_pages(read_pages(spark, pages_path), cursor)
     plan = plan_backfill(

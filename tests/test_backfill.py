@@ -7,7 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from arenalake.config import DEFAULTS
-from arenalake.operators.backfill import active_window, plan_backfill, selected_counts
+from arenalake.operators.backfill import (
+    active_window,
+    plan_backfill,
+    selected_counts,
+    selected_index,
+)
+from arenalake.sources.csv_files import read_manifests
 from arenalake.sources.json_files import read_cursor
 from arenalake.sources.schemas import MANIFEST
 from arenalake.sources.sinks import write_progress
@@ -145,6 +151,17 @@ def test_active_window(spark, counts, window):
     assert spark.range(1).select(active).first()[0] == window
 
 
+def test_the_later_manifest_row_wins(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    header = "match_id,start_time,source_stream,recency_window"
+    path.write_text(f"{header}\n1,9,a,2023_2024\n1,5,a,2025_2026\n2,5,a,2023_2024\n")
+    index = selected_index(read_manifests(spark, str(path)))
+    assert sorted(tuple(r) for r in index.collect()) == [
+        (1, 5, "a", "2025_2026"),
+        (2, 5, "a", "2023_2024"),
+    ]
+
+
 def test_counts_are_zero_filled(spark):
     rows = [(1, 5, "s", "2023_2024"), (2, 5, "s", "2023_2024"), (3, 5, "s", "outside_target_windows")]
     counts = selected_counts(spark.createDataFrame(rows, MANIFEST))
