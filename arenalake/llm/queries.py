@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import chat, quality_rules
+from arenalake.llm import chat, quality_rules, syncmers, token_files
 from arenalake.sources.tables import read_table
+from arenalake.storage import fresh_path
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +60,19 @@ FROM sized GROUP BY conv_id
 """
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed-syncmer fingerprints of every document and of its edited text."""
+    return syncmers.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all documents as binary token files and reports what is read back from them."""
+    folder = fresh_path(spark, "token_files")
+    docs = read_table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, folder, tokenizer_file("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_token_files(spark, folder)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and learned verdict of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,7 +91,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_chat_formatting, op9_quality_rules)}
+    return {f.__name__: f for f in (op2_chat_formatting, op5_fingerprints, op7_token_files, op9_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
