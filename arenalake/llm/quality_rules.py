@@ -167,17 +167,20 @@ def _grow(x: np.ndarray, bad: np.ndarray, tests: list[Test], longest: int) -> Ru
     inside = np.ones(len(x), bool)
     while len(rule) < longest and (inside & ~bad).any():
         p0, n0 = (inside & bad).sum(), (inside & ~bad).sum()
-        base, best = np.log2(p0 / (p0 + n0)), (0.0, None)
+        base = np.log2(p0 / (p0 + n0))
+        gains = []
         for test in tests:
             now = inside & test.holds(x)
             p, n = (now & bad).sum(), (now & ~bad).sum()
-            gain = p * (np.log2(p / (p + n)) - base) if p else 0.0
-            if gain > best[0] + 1e-9:
-                best = (gain, test)
-        if best[1] is None:
+            gains.append(p * (np.log2(p / (p + n)) - base) if p else 0.0)
+        most = max(gains, default=0.0)
+        if most <= 1e-9:
             break
-        rule += (best[1],)
-        inside &= best[1].holds(x)
+        # Of equal cuts the middle one: as far from the good rows as from the bad ones.
+        equal = [t for t, gain in zip(tests, gains) if gain >= most - 1e-9]
+        equal = [t for t in equal if (t.feature, t.above) == (equal[0].feature, equal[0].above)]
+        rule += (equal[len(equal) // 2],)
+        inside &= rule[-1].holds(x)
     return rule
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import chat, quality_rules, syncmers, token_files
+from arenalake.llm import chat, quality_rules, syncmers, token_files, toxicity
 from arenalake.sources.tables import read_table
 from arenalake.storage import fresh_path
 
@@ -90,8 +90,25 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all documents by a model that learns from the labels outside the held-out fold."""
+    def fold(doc_id):
+        return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.where(~fold("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(fold("doc_id"), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_chat_formatting, op5_fingerprints, op7_token_files, op9_quality_rules)}
+    registered = (op2_chat_formatting, op5_fingerprints, op7_token_files, op9_quality_rules, op10_toxicity)
+    return {f.__name__: f for f in registered}
 
 
 def llm_oracles() -> dict[str, str]:

@@ -2,9 +2,11 @@
 
 A k-mer of code points is an anchor when its least s-mer hash stands at its first or last place.
 That depends on the k-mer alone, so an edit moves or changes only the anchors that touch it. A
-fingerprint is the sequence of all anchors of the whole text, five base-64 letters each; a text
-without an anchor (shorter texts, mostly) has its own hash as its only one. Two fingerprints are
-compared by position: the longest sequence of equal anchors that keeps the order in both.
+fingerprint is the sequence of all anchors of the whole text, five base-64 letters each. Texts of
+256 code points and more have long anchors, texts below 1024 have short ones, and those between
+have both, so any two texts of similar length share a scale. Where a text has no anchor of a scale
+the hash of the whole text is its only one. Two fingerprints are compared by position, at the
+finest scale they share: the longest sequence of equal anchors that keeps the order in both.
 
 Defined results: a null text is the empty text, which has a fingerprint like any other; equal texts
 have equal fingerprints and likeness 1; null ids sort below all others; rows with one id are
@@ -40,11 +42,23 @@ def sliding_least(values: np.ndarray, window: int) -> np.ndarray:
     return least
 
 
-def anchors(text: str, k: int = 48, s: int = 8) -> np.ndarray:
-    """Hashes of the closed syncmers in text order, 30 bits each."""
+#: (k, s, least length, end of lengths) of each scale.
+SCALES = ((48, 8, 256, None), (12, 4, 0, 1024))
+Anchors = list[np.ndarray | None]
+
+
+def anchors(text: str) -> Anchors:
+    """For each scale that the text has: hashes of its closed syncmers in text order, 30 bits each."""
     points = code_points(text)
     sums = prefix_sums(points)
     n = len(points)
+    return [
+        syncmers(sums, n, k, s) if n >= least and (end is None or n < end) else None
+        for k, s, least, end in SCALES
+    ]
+
+
+def syncmers(sums: np.ndarray, n: int, k: int, s: int) -> np.ndarray:
     keep = np.empty(0, np.int64)
     if n >= k:
         at = np.arange(n - s + 1)
@@ -56,9 +70,12 @@ def anchors(text: str, k: int = 48, s: int = 8) -> np.ndarray:
     return (span_hashes(sums, starts, ends) >> np.uint64(34)).astype(np.uint32)
 
 
-def to_text(found: np.ndarray) -> str:
+def to_text(found: Anchors) -> str:
+    """The scales, coarse before fine, with a full stop between."""
     shifts = np.arange(6 * (WIDTH - 1), -1, -6, dtype=np.uint32)
-    return LETTERS[(found[:, None] >> shifts) & np.uint32(63)].tobytes().decode()
+    return ".".join(
+        "" if a is None else LETTERS[(a[:, None] >> shifts) & np.uint32(63)].tobytes().decode() for a in found
+    )
 
 
 def longest_rise(values: list[int]) -> int:
@@ -80,7 +97,13 @@ def occurrences(found: np.ndarray) -> dict[tuple[int, int], int]:
     return places
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: Anchors, b: Anchors) -> float:
+    """At the finest shared scale; texts of lengths too far apart to share one are unlike."""
+    shared = [(x, y) for x, y in zip(a, b) if x is not None and y is not None]
+    return matched_share(*shared[-1]) if shared else 0.0
+
+
+def matched_share(a: np.ndarray, b: np.ndarray) -> float:
     """Twice the anchors matched in order, over all anchors of both: 0 to 1."""
     total = len(a) + len(b)
     n = min(len(a), len(b))
@@ -104,7 +127,7 @@ FIELDS = (
 )
 
 
-def fingerprint_edits(docs: DataFrame, k: int = 48, s: int = 8, blocks: int | None = None) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and how alike they are.
 
     The edited text has its last third replaced by the beginning of the next document, in
@@ -140,18 +163,18 @@ def fingerprint_edits(docs: DataFrame, k: int = 48, s: int = 8, blocks: int | No
             out = []
             for doc_id, text, block, ahead in zip(frame["doc_id"], frame["text"], frame["at"], frame["ahead"]):
                 if last is not None and last[0] == block:
-                    mine = anchors(text, k, s)
+                    mine = anchors(text)
                     out.append(compared(last, text, mine))
                     last = (block, doc_id, text, mine) if not ahead else None
                 elif not ahead:
-                    last = (block, doc_id, text, anchors(text, k, s))
+                    last = (block, doc_id, text, anchors(text))
             yield pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
 
-    def compared(row: tuple, next_text: str, next_anchors: np.ndarray) -> tuple:
+    def compared(row: tuple, next_text: str, next_anchors: Anchors) -> tuple:
         _, doc_id, text, own = row
         cut = len(text) // 3
         edited = text[: len(text) - cut] + next_text[:cut]
-        changed = anchors(edited, k, s)
+        changed = anchors(edited)
         digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
         doc_id = None if pd.isna(doc_id) else int(doc_id)
         return (
