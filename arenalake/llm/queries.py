@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import chat, quality_rules, syncmers, token_files, toxicity
+from arenalake.llm import (
+    chat,
+    line_templates,
+    mixing,
+    quality_rules,
+    syncmers,
+    token_files,
+    toxicity,
+    unigram,
+)
 from arenalake.sources.tables import read_table
 from arenalake.storage import fresh_path
 
@@ -60,11 +69,55 @@ FROM sized GROUP BY conv_id
 """
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines whose template an earlier document has."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs, prefix="")
+
+
+OP4_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT doc_id, unnest(lines) AS content, generate_subscripts(lines, 1) - 1 AS line FROM docs
+), tokens AS (
+  SELECT doc_id, line, list_filter(string_split_regex(
+    regexp_replace(content, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+'), lambda t: t <> '') AS t
+  FROM lines
+), grouped AS (
+  SELECT doc_id, line, len(t) AS n, t[1:3] AS path, t[4:3 + w] AS a, t[4 + w:3 + 2 * w] AS b, t[4 + 2 * w:3 + 3 * w] AS c
+  FROM (SELECT *, CAST(greatest(ceil((len(t) - 3) / 3.0), 1) AS INTEGER) AS w FROM tokens WHERE len(t) >= 4)
+), keys AS (
+  SELECT doc_id, line, n, unnest(CASE WHEN n < 12 THEN [(n, path, 0, a, b, c)]
+    ELSE [(n, path, 0, a, b, c), (n, path, 1, [], b, c), (n, path, 2, a, [], c), (n, path, 3, a, b, [])] END) AS key
+  FROM grouped
+), recurring AS (
+  SELECT key, min(doc_id) AS first FROM keys GROUP BY key
+  HAVING min(doc_id) < max(doc_id) AND (max(n) >= 8 OR count(*) >= 10)
+), dropped AS (
+  SELECT DISTINCT doc_id, line FROM keys JOIN recurring USING (key) WHERE doc_id > first
+), kept AS (
+  SELECT doc_id, string_agg(content, chr(10) ORDER BY line) AS text FROM lines ANTI JOIN dropped USING (doc_id, line) GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+  CAST(coalesce(len(d.lines), 0) AS BIGINT) AS n_lines, (SELECT count(*) FROM dropped x WHERE x.doc_id = d.doc_id) AS n_dropped
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed-syncmer fingerprints of every document and of its edited text."""
     return syncmers.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every document, and reports the ids and what they decode to."""
+    docs = read_table(spark, sf_dir, "documents")
+    vocabulary = unigram.load_vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    done = unigram.encode_documents(docs, vocabulary, ["doc_id"])
+    return done.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as binary token files and reports what is read back from them."""
     folder = fresh_path(spark, "token_files")
@@ -73,6 +126,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in the passes of a mix that reaches 97 % of the entropy of equal sources."""
+    docs = read_table(spark, sf_dir, "documents")
+    mixed = mixing.mix_sources(docs, target_entropy=0.97, prefix="mix_")
+    return mixed.select("doc_id", "source", "mix_pass", "mix_block", "mix_order")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and learned verdict of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -107,9 +167,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict:
-    registered = (op2_chat_formatting, op5_fingerprints, op7_token_files, op9_quality_rules, op10_toxicity)
+    registered = (
+        op2_chat_formatting,
+        op4_line_dedup,
+        op5_fingerprints,
+        op6_sentencepiece,
+        op7_token_files,
+        op8_source_mix,
+        op9_quality_rules,
+        op10_toxicity,
+    )
     return {f.__name__: f for f in registered}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op4_line_dedup": OP4_SQL}
