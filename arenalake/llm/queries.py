@@ -10,6 +10,8 @@ from arenalake.llm import (
     line_templates,
     mixing,
     quality_rules,
+    secret_scan,
+    signature_join,
     syncmers,
     token_files,
     toxicity,
@@ -19,6 +21,13 @@ from arenalake.sources.tables import read_table
 from arenalake.storage import fresh_path
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 85 % similarity of their sets of 4-word shingles."""
+    return signature_join.document_components(
+        read_table(spark, sf_dir, "documents"), signature_join.Rule(words=4, percent=85)
+    )
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -69,6 +78,21 @@ FROM sized GROUP BY conv_id
 """
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known forms of secrets in every document, and random runs beside them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, *secret_scan.fit_threshold(docs))
+    counts = [
+        secret_scan.of_kind_count(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(secret_scan.FORMS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_scan.span_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("all")).alias("spans"),
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines whose template an earlier document has."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -168,7 +192,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict:
     registered = (
+        op1_ngram_jaccard,
         op2_chat_formatting,
+        op3_secret_scan,
         op4_line_dedup,
         op5_fingerprints,
         op6_sentencepiece,

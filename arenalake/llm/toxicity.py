@@ -92,29 +92,39 @@ class Vocabulary(dict):
         return numbers, (counts / len(words)).astype(np.float32)
 
 
+def bucket_shares(
+    vocabulary: Vocabulary, bags: list[tuple[np.ndarray, np.ndarray]], buckets: int, shortest: int, longest: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many buckets each document has, these buckets, and their weights in its vector."""
+    subs, begin = subwords(list(vocabulary), buckets, shortest, longest)
+    subs, many = subs.astype(np.int32), np.diff(begin)
+    columns, parts = [], []
+    for words, shares in bags:
+        found, where = np.unique(subs[_ranges(begin[words], many[words])], return_inverse=True)
+        columns.append(found)
+        parts.append(np.bincount(where, np.repeat(shares / many[words], many[words])).astype(np.float32))
+    return np.array([len(c) for c in columns], np.int64), np.concatenate(columns), np.concatenate(parts)
+
+
 def train(
     vocabulary: Vocabulary,
     bags: list[tuple[np.ndarray, np.ndarray]],
     toxic: np.ndarray,
     share: float,
     buckets: int = 1 << 17,
-    size: int = 8,
+    size: int = 4,
     shortest: int = 3,
     longest: int = 5,
-    epochs: int = 10,
+    epochs: int = 8,
     batch: int = 64,
-    rate: float = 0.03,
+    rate: float = 0.05,
     decay: float = 1e-4,
     seed: int = 7,
 ) -> Model:
     """Adam over minibatches. ``share`` is the share of toxic documents outside the balanced sample."""
     random = np.random.default_rng(seed)
-    subs, sub_begin = subwords(list(vocabulary), buckets, shortest, longest)
-    subs, sub_sizes = subs.astype(np.int32), np.diff(sub_begin)
-    doc_sizes = np.array([len(words) for words, _ in bags], np.int64)
-    doc_begin = np.concatenate([[0], np.cumsum(doc_sizes)])
-    doc_words = np.concatenate([words for words, _ in bags])
-    doc_parts = np.concatenate([parts for _, parts in bags])
+    sizes, columns, parts = bucket_shares(vocabulary, bags, buckets, shortest, longest)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
     params = {
         "e": random.normal(0, 0.1, (buckets, size)).astype(np.float32),
         "w": random.normal(0, 0.5, (size, 2)).astype(np.float32),
@@ -128,34 +138,27 @@ def train(
         order = random.permutation(len(bags))
         for at in range(0, len(order), batch):
             docs = order[at : at + batch]
-            many = doc_sizes[docs]
-            pairs = _ranges(doc_begin[docs], many)
-            owner = np.repeat(np.arange(len(docs)), many)
-            words, parts = doc_words[pairs], doc_parts[pairs]
-            inner = _ranges(sub_begin[words], sub_sizes[words])
-            buckets_hit = subs[inner]
-            part = np.repeat(parts / sub_sizes[words], sub_sizes[words]).astype(np.float32)
-            inner_owner = np.repeat(owner, sub_sizes[words])
-            vectors = np.stack(
-                [np.bincount(inner_owner, part * params["e"][buckets_hit, d], len(docs)) for d in range(size)], 1
-            )
+            many = sizes[docs]
+            inner = _ranges(begin[docs], many)
+            hit, part = columns[inner], parts[inner]
+            vectors = np.add.reduceat(params["e"][hit] * part[:, None], np.cumsum(many) - many)
             logits = vectors @ params["w"] + params["b"]
             p = np.exp(logits - logits.max(1, keepdims=True))
             off = (p / p.sum(1, keepdims=True) - target[docs]) / len(docs)
-            back = off @ params["w"].T
+            back = np.repeat(off @ params["w"].T, many, axis=0) * part[:, None]
+            of_each = [np.bincount(hit, back[:, d], buckets) for d in range(size)]
             grads = {
-                "e": np.stack(
-                    [np.bincount(buckets_hit, part * back[inner_owner, d], buckets) for d in range(size)], 1
-                ).astype(np.float32) + decay * params["e"] / len(docs),
+                "e": np.stack(of_each, 1).astype(np.float32) + np.float32(decay / len(docs)) * params["e"],
                 "w": vectors.T @ off,
                 "b": off.sum(0),
-            }
+            }
             steps += 1
             for name, g in grads.items():
                 m, v = moments[name]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                params[name] -= (pace * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.99**steps)) + 1e-8)).astype(np.float32)
+                m += np.float32(0.1) * (g - m)
+                v += np.float32(0.01) * (g * g - v)
+                root = np.sqrt(v / np.float32(1 - 0.99**steps)) + np.float32(1e-8)
+                params[name] -= np.float32(pace / (1 - 0.9**steps)) * m / root
     layer = params["w"][:, 1] - params["w"][:, 0]
     seen = float(toxic.mean())
     shift = np.log(share / (1 - share)) - np.log(seen / (1 - seen))
