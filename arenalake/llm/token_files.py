@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -48,30 +49,39 @@ class WordEncoder(dict):
     result equals that of the whole text. Kept words are bounded by ``kept``.
     """
 
-    def __init__(self, path: str, dtype: str, kept: int = 400_000) -> None:
+    def __init__(self, path: str, dtype: str, kept: int = 800_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.model = Tokenizer.from_file(path).model
-        self.dtype, self.kept = dtype, kept
+        self.kind, self.kept = np.dtype(dtype).char, kept
         self.letters = byte_letters()
         self.pieces = regex.compile(PATTERN).findall
         self.spaced = regex.compile(r"^ |\s ").search
+        self.marks = {c: self.ids_of_piece(c) for c in ".,;:!?"}
         self.breaks = regex.compile(r"(?<=\S) ").split
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.ids_of(" " + word)
+        """The key stands for the word with a space before it; a mark behind letters is a token of its own."""
+        if word[-1:] in self.marks and word[:-1].isalpha():
+            ids = self[word[:-1]] + self.marks[word[-1]]
+        else:
+            ids = self.ids_of(" " + word)
         if len(self) >= self.kept:
             self.clear()
         self[word] = ids
         return ids
 
     def ids_of(self, chunk: str) -> bytes:
-        found = []
         pieces = [chunk] if chunk[1:].isalpha() and chunk[0] == " " else self.pieces(chunk)
-        for piece in pieces:
-            found += [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]
-        return np.array(found, self.dtype).tobytes()
+        return b"".join(map(self.ids_of_piece, pieces))
+
+    def ids_of_piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            text = piece.replace(" ", self.letters[32])
+        else:
+            text = "".join(map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass")))
+        return array(self.kind, [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         words = self.breaks(text) if self.spaced(text) else text.split(" ")
