@@ -1,0 +1,77 @@
+import hashlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from arenalake.llm import quality_rules
+
+from .helpers import awkward_rows, documents, plain_components, plain_line_dedup, plain_stats, words
+
+NAMES = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def folder(spark, tmp_path, rows, labels=()):
+    path = str(tmp_path)
+    documents(spark, rows).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_stages_equal_plain_versions(spark, tmp_path):
+    near = words(500, 80)
+    shared = words(501, 60)
+    rows = awkward_rows()
+    rows += [(100 + k, near + " " + words(600 + k, k % 3), "en", "a", 1) for k in range(5)]
+    rows += [(200 + k, words(700 + k, 30) + "\n" + shared, "en", "b", 1) for k in range(6)]
+    rows += [(300 + k, words(800 + k, 10), "en", "c", 1) for k in range(3)]
+    path = folder(spark, tmp_path, rows)
+    docs = documents(spark, rows)
+
+    kept = cp.quality(spark, docs, path)
+    failed = lambda t: (s := plain_stats(t))[0] < 20 or 100 * s[4] > 30 * s[0]
+    expected = [r for r in rows if not failed(r[1])]
+    assert kept.columns == list(NAMES) and Counter(map(tuple, kept.collect())) == Counter(expected)
+
+    lines = cp.lines(spark, documents(spark, expected), path)
+    plain = plain_line_dedup([r[:2] for r in expected])
+    after = [(d, plain[d, t], a, s, n if plain[d, t] == t else len(plain[d, t])) for d, t, a, s, n in expected]
+    assert lines.columns == list(NAMES) and Counter(map(tuple, lines.collect())) == Counter(after)
+
+    single = cp.near_duplicates(spark, documents(spark, after), path)
+    component = {d for d, _, c in plain_components([r[:2] for r in after], 5, 80) if d == c}
+    assert Counter(map(tuple, single.collect())) == Counter(r for r in after if r[0] in component)
+
+    ids = cp.tokens(spark, documents(spark, after), path).collect()
+    assert Counter(r["decoded_sha256"] for r in ids) == Counter(hashlib.sha256((r[1] or "").encode()).hexdigest() for r in after)
+
+
+def test_quality_stage_learns_from_labels(spark, tmp_path):
+    good = [(k, words(k, 60), "en", "a", 1) for k in range(150)]
+    junk = [(1000 + k, " ".join(w + "$$$" for w in words(2000 + k, 60).split(" ")), "en", "a", 1) for k in range(60)]
+    path = folder(spark, tmp_path, good + junk, [(r[0], int(r[0] < 1000), 0) for r in good + junk if r[0] % 2])
+    found = {r["doc_id"] for r in cp.quality(spark, documents(spark, good + junk), path).collect()}
+    assert {r[0] for r in good} <= found and len(found) <= len(good) + 2
+    rules = quality_rules.fit_rules(documents(spark, good + junk), spark.read.parquet(f"{path}/labels.parquet"))
+    assert rules and rules[0][0].feature in ("mean_word", "symbol_rate")
+
+
+def test_whole_pipeline(spark, tmp_path):
+    assert [name for name, _ in cp.STAGES] == ["quality rules", "line dedup", "n-gram Jaccard join", "source mix", "SentencePiece"]
+    rows = [(k, words(k, 40), "en", f"s{min(k % 5, 2)}", 1) for k in range(60)]
+    out = cp.run(spark, folder(spark, tmp_path, rows)).collect()
+    assert {r["doc_id"] for r in out} == {r[0] for r in rows} and len(out) >= 60
+    whole = {hashlib.sha256(r[1].encode()).hexdigest() for r in rows}
+    assert {r["decoded_sha256"] for r in out} == whole
+
+
+def test_empty_tables_and_clashing_columns(spark, tmp_path):
+    path = folder(spark, tmp_path, [])
+    assert cp.run(spark, path).count() == 0
+    docs = documents(spark, awkward_rows(), clashing=True).drop("ids")
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, path)
+        if name != "SentencePiece":
+            assert out.columns == docs.columns
+            assert out.where(F.col("key") != "own key").count() == 0
+        out.count()
