@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, functions as F
 
 from arenalake.config import DEFAULTS, Settings
@@ -19,13 +21,13 @@ def recency_window(epoch: Column, settings: Settings = DEFAULTS) -> Column:
 
 
 def calendar_window(epoch: Column, settings: Settings = DEFAULTS) -> Column:
-    """Same labels from the calendar year alone: from 2025, from 2023, else outside."""
+    """Same labels from the calendar year alone: the latest window that starts in the year or before."""
     year = F.year(epoch_to_ntz(epoch))
-    return (
-        F.when(year >= 2025, settings.current_window)
-        .when(year >= 2023, settings.previous_window)
-        .otherwise(settings.outside_label)
-    )
+    label = F.lit(settings.outside_label)
+    for window in sorted(settings.windows, key=lambda w: w.start):
+        first_year = datetime.fromtimestamp(window.start, UTC).year
+        label = F.when(year >= first_year, window.label).otherwise(label)
+    return label
 
 
 def is_target_window(label: Column, settings: Settings = DEFAULTS) -> Column:

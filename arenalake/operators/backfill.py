@@ -92,11 +92,8 @@ def _first_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
     return pages if max_pages is None else pages.orderBy("page_no").limit(max_pages)
 
 
-def _sightings(entries: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
-    """One row per new match: first place and start time under each window.
-
-    Entries are aggregated first, so the anti-join has one row per match on both sides.
-    """
+def sightings(entries: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """One row per match: first place and start time under each window."""
     rows = manifest_rows(entries, "pro_matches", settings=settings)
     place = page_place()
     firsts = []
@@ -104,8 +101,16 @@ def _sightings(entries: DataFrame, known: DataFrame, settings: Settings) -> Data
         at = F.when(F.col("recency_window") == label, place)
         firsts.append(F.min(at).alias(f"at {label}"))
         firsts.append(F.min_by("start_time", at).alias(f"start {label}"))
-    seen = rows.groupBy("match_id").agg(*firsts)
-    return seen.join(known.select("match_id"), "match_id", "left_anti")
+    return rows.groupBy("match_id").agg(*firsts)
+
+
+def joined_sightings(parts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Sightings of several sets of pages as one."""
+    firsts = []
+    for label in settings.labels:
+        at = F.col(f"`at {label}`")
+        firsts += [F.min(at).alias(f"at {label}"), F.min_by(F.col(f"`start {label}`"), at).alias(f"start {label}")]
+    return parts.groupBy("match_id").agg(*firsts)
 
 
 def _label_at(settings: Settings) -> Column:
@@ -144,36 +149,49 @@ def _take_round(free: DataFrame, left: dict[str, int], settings: Settings):
     return taken, rest, {w: left[w] - used.get(w, 0) for w in settings.labels}
 
 
-def plan_backfill(
-    pages: DataFrame,
-    existing: DataFrame,
+def _open_quotas(
+    known: DataFrame, quotas: Mapping[str, int] | None, settings: Settings
+) -> tuple[dict[str, int], dict[str, int]]:
+    """The quota of each window, and what the known matches leave of it."""
+    full = {w: (settings.quotas if quotas is None else quotas).get(w, 0) for w in settings.labels}
+    counts = known.agg(_window_counts(known, settings).alias("counts")).first()["counts"]
+    return full, {w: full[w] - counts[w] for w in settings.labels}
+
+
+@dataclass(frozen=True)
+class Choice:
+    """New manifest rows, the progress row, the last page that counts, and whether all quotas are met."""
+
+    added: DataFrame
+    progress: DataFrame
+    until: int
+    full: bool
+
+
+def choose(
+    bounds: DataFrame,
+    seen: DataFrame,
+    known: DataFrame,
     *,
     quotas: Mapping[str, int] | None = None,
     settings: Settings = DEFAULTS,
-    max_pages: int | None = None,
     cursor: int | None = None,
-) -> Backfill:
-    """Select matches for the open quotas out of ``pages`` and report the progress.
+) -> Choice:
+    """Select matches for the open quotas out of the bounds and sightings of a run's pages.
 
-    ``existing`` is the manifest so far and ``cursor`` the saved one. Reading stops after the page
-    that fills the last quota, at an empty page, and at a page without ids.
-
-    Page bounds and sightings are written to the shared folder, so stop, rounds and progress do
-    not read the pages again.
+    ``known`` has one row per match that was selected before. Pages count up to the one that fills
+    the last quota, up to an empty page, and up to a page without ids.
     """
-    quotas = {w: (settings.quotas if quotas is None else quotas).get(w, 0) for w in settings.labels}
-    pages = _first_pages(pages, max_pages)
-    bounds = _stored(page_bounds(pages), "bounds")
+    quotas, left = _open_quotas(known, quotas, settings)
     ends = (F.col("entry_count") <= 0) | F.col("next_less_than_match_id").isNull()
     stop = bounds.where(ends).agg(F.min("page_no")).first()[0]
     stop = _NEVER if stop is None else stop
-    known = selected_index(existing)
-    counts = known.agg(_window_counts(known, settings).alias("counts")).first()["counts"]
-    left = {w: quotas[w] - counts[w] for w in settings.labels}
-
-    entries = explode_pages(pages).where(F.col("page_no") <= stop)
-    free = _stored(_sightings(entries, known, settings), "sightings")
     idle = all(n <= 0 for n in left.values())
+    last_place = _NEVER if stop >= _NEVER >> 32 else ((stop + 1) << 32) - 1
+    in_reach = {
+        f"at {w}": F.when(F.col(f"`at {w}`") <= last_place, F.col(f"`at {w}`")) for w in settings.labels
+    }
+    free = seen.withColumns(in_reach).join(known.select("match_id"), "match_id", "left_anti")
     nothing = free.withColumn("at", F.lit(None).cast("bigint")).where(F.lit(False))
     parts = [nothing.withColumn("label", F.lit(None).cast("string"))]
     for _ in settings.labels:
@@ -196,9 +214,36 @@ def plan_backfill(
         until = added.agg(F.shiftright(F.max("place"), 32)).first()[0]
     now_selected = {w: quotas[w] - left[w] for w in settings.labels}
     progress = _progress(bounds, now_selected, quotas, until, full, cursor, settings)
-    added = added.drop("place")
-    read_entries = explode_pages(pages).where(F.col("page_no") <= until)
-    return Backfill(known.unionByName(added), added, read_entries, progress)
+    return Choice(added.drop("place"), progress, until, full)
+
+
+def plan_backfill(
+    pages: DataFrame,
+    existing: DataFrame,
+    *,
+    quotas: Mapping[str, int] | None = None,
+    settings: Settings = DEFAULTS,
+    max_pages: int | None = None,
+    cursor: int | None = None,
+) -> Backfill:
+    """Select matches for the open quotas out of ``pages`` and report the progress.
+
+    ``existing`` is the manifest so far and ``cursor`` the saved one. Page bounds and sightings are
+    written to the shared folder, so stop, rounds and progress do not read the pages again; when
+    all quotas are met before, nothing is read or written.
+    """
+    known = selected_index(existing)
+    pages = _first_pages(pages, max_pages)
+    bounds, entries = page_bounds(pages), explode_pages(pages)
+    seen = sightings(entries, settings)
+    _, left = _open_quotas(known, quotas, settings)
+    if any(n > 0 for n in left.values()):
+        bounds, seen = _stored(bounds, "bounds"), _stored(seen, "sightings")
+    else:
+        bounds, seen = bounds.limit(0), seen.limit(0)
+    chosen = choose(bounds, seen, known, quotas=quotas, settings=settings, cursor=cursor)
+    read_entries = entries.where(F.col("page_no") <= chosen.until)
+    return Backfill(known.unionByName(chosen.added), chosen.added, read_entries, chosen.progress)
 
 
 def _progress(

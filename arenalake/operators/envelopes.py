@@ -15,12 +15,22 @@ from arenalake.functions.payload import (
 )
 from arenalake.functions.rules import is_radiant
 from arenalake.functions.windows import recency_window
+from arenalake.operators.selection import first_per_key
 from arenalake.sources.schemas import MANIFEST_COLUMNS
 
 
-def build_envelopes(manifest: DataFrame, payloads: DataFrame, ingested_at: Column) -> DataFrame:
-    """Manifest rows with their payload; rows whose payload is missing are skipped."""
-    return manifest.join(payloads.select("match_id", "payload"), "match_id").select(
+def build_envelopes(
+    manifest: DataFrame, payloads: DataFrame, ingested_at: Column, order: list[Column] = ()
+) -> DataFrame:
+    """One envelope per manifest row; rows whose payload is missing are skipped.
+
+    Of several payloads of a match the first by ``order`` is taken, ties by content. Payloads of
+    matches outside the manifest are left out before that, and each task keeps one payload per
+    match, so that no id is a hot key and few documents are moved.
+    """
+    wanted = payloads.join(manifest.select("match_id").distinct(), "match_id", "left_semi")
+    one = first_per_key(wanted, ["match_id"], [*order, F.xxhash64(F.to_json("payload"))])
+    return manifest.join(one.select("match_id", "payload"), "match_id").select(
         *MANIFEST_COLUMNS, ingested_at.alias("ingested_at"), "payload"
     )
 

@@ -41,8 +41,10 @@ def dedupe_matches(entries: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_limit(entries: DataFrame, limit: int) -> DataFrame:
+def dedupe_limit(entries: DataFrame, limit: int | None) -> DataFrame:
     """The first ``limit`` matches in order of first appearance, each with its newest start."""
+    if limit is None:
+        return dedupe_matches(entries)
     return (
         entries.where(F.col("match_id").isNotNull() & F.col("start_time").isNotNull())
         .groupBy("match_id")
@@ -57,8 +59,8 @@ def dedupe_limit(entries: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def public_manifest(entries: DataFrame, limit: int, settings: Settings = DEFAULTS) -> DataFrame:
-    """Bounded public slice: deduplicated, limited and labelled, outside windows included."""
+def public_manifest(entries: DataFrame, limit: int | None = None, settings: Settings = DEFAULTS) -> DataFrame:
+    """Public slice: deduplicated, limited if asked for, and labelled, outside windows included."""
     kept = dedupe_limit(entries, limit)
     return manifest_rows(kept, "public_matches", targets_only=False, settings=settings)
 

@@ -720,7 +720,7 @@ FROM shift WHERE recency_window = '2025_2026' AND primary_attribute IN ('str', '
         "volatility_ranked": _sql(
             ALL,
             f"""SELECT hero_id, hero_name, recency_window, {rate("score")} AS volatility_score,
-       segment AS stability_segment FROM shift WHERE recency_window = '2025_2026'""",
+       segment AS stability_segment FROM shift""",
         ),
         "segment_topk": _sql(
             ALL,
@@ -735,7 +735,7 @@ WHERE rn <= {q.TOP_HEROES}""",
             ALL,
             f"""SELECT hero_id, hero_name, recency_window, {rate("score")} AS volatility_score,
        {rate("c_wr")} AS current_window_win_rate, segment AS stability_segment
-FROM shift WHERE recency_window = '2025_2026'""",
+FROM shift""",
         ),
         "recommended_action": _sql(
             ALL,

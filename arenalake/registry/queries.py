@@ -8,7 +8,6 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from arenalake.functions.payload import has_key, players
-from arenalake.functions.windows import epoch_to_ntz
 from arenalake.operators import backfill, contracts, envelopes, manifest, quality
 from arenalake.plans import core, dashboards, marts
 from arenalake.plans.models import Models
@@ -137,11 +136,9 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Available details: the first load of each match that has players."""
-    first_load = F.col("loaded_at") == epoch_to_ntz(F.col("start_time"))
-    present_players = has_key(F.col("raw_payload"), "players")
-    rows = raw_matches(spark, sf_dir).where(first_load & present_players)
-    return rows.select("match_id", F.col("raw_payload").alias("payload"))
+    """Available details: all loads that have players, of which some matches have several."""
+    rows = raw_matches(spark, sf_dir).where(has_key(F.col("raw_payload"), "players"))
+    return rows.select("match_id", "loaded_at", F.col("raw_payload").alias("payload"))
 
 
 # Scans and loads
@@ -207,7 +204,10 @@ def scan_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = envelopes.build_envelopes(
-        _merged(spark, sf_dir), _details(spark, sf_dir), F.lit(feed.INGESTED_AT)
+        _merged(spark, sf_dir),
+        _details(spark, sf_dir),
+        F.lit(feed.INGESTED_AT),
+        order=[F.col("loaded_at").asc_nulls_last()],
     )
     duration = F.variant_get("payload", "$.duration", "bigint")
     return built.select(
@@ -323,8 +323,8 @@ def stream_raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark.read.schema(RAW_TABLES["raw_matches"]).parquet(f"{folder}/table"))
 
 
-def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest after a stream has taken all page files, in one batch."""
+def _backfill_stream(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a backfill stream that took the page files in several batches."""
     folder = fresh_path(spark, "backfill-stream")
     backfill_stream.stream_backfill(
         spark,
@@ -332,9 +332,22 @@ def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{folder}/manifest",
         f"{folder}/progress",
         f"{folder}/checkpoint",
-        max_files_per_batch=1_000_000,
+        state=f"{folder}/state",
+        max_files_per_batch=3,
     ).awaitTermination()
-    return backfill_stream.read_backfill_manifest(spark, f"{folder}/manifest").drop("batch")
+    return folder
+
+
+def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _backfill_stream(spark, sf_dir)
+    return backfill_stream.read_backfill_manifest(spark, f"{folder}/manifest").drop("run")
+
+
+def stream_backfill_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _backfill_stream(spark, sf_dir)
+    return spark.read.json(f"{folder}/progress").select(
+        "next_less_than_match_id", "request_count", "completed_all_targets"
+    )
 
 
 # Models
@@ -554,7 +567,7 @@ def delta_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def volatility_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboards.volatility_ranked(_heroes(spark, sf_dir), windows=["2025_2026"])
+    return dashboards.volatility_ranked(_heroes(spark, sf_dir))
 
 
 def segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -562,7 +575,7 @@ def segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def action_quadrant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboards.action_quadrant(_heroes(spark, sf_dir), windows=["2025_2026"])
+    return dashboards.action_quadrant(_heroes(spark, sf_dir))
 
 
 def recommended_action(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -596,6 +609,7 @@ _QUERIES: dict[str, Query] = {
     "backfill_progress": backfill_progress,
     "stream_raw_ingest": stream_raw_ingest,
     "stream_backfill": stream_backfill,
+    "stream_backfill_progress": stream_backfill_progress,
     "stg_matches": _model("stg_matches"),
     "stg_hero_stats": _model("stg_hero_stats"),
     "dim_heroes": _model("dim_heroes"),

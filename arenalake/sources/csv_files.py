@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,20 +28,32 @@ def _manifest_columns(rows: DataFrame) -> list[Column]:
     return columns
 
 
-def _text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns as text, named by the header; only the header is read for this."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+def _text(spark: SparkSession, path: str | list[str]) -> list[DataFrame]:
+    """All columns as text, named by the header of their own file: one frame for each header.
+
+    The header of a file is its line with the column ``match_id``; one line a file comes to the
+    driver, for the files' names.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    cells = F.split(F.regexp_replace("value", '[" \\uFEFF]', ""), ",")
+    headers = lines.where(F.array_contains(cells, "match_id")).groupBy("file").agg(F.min("value").alias("header"))
+    by_header: dict[str, list[str]] = {}
+    for row in headers.orderBy("file").collect():
+        by_header.setdefault(row["header"], []).append(unquote(row["file"]))
+    if len(by_header) < 2:
+        return [spark.read.option("header", True).option("escape", '"').csv(path)]
+    return [spark.read.option("header", True).option("escape", '"').csv(files) for files in by_header.values()]
 
 
 def read_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Manifest rows; a missing file is an empty manifest."""
+    """Manifest rows, columns by name in each file; a missing file is an empty manifest."""
     try:
-        rows = _text(spark, path)
+        parts = _text(spark, path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], MANIFEST)
-    return rows.select(*_manifest_columns(rows))
+    return reduce(DataFrame.unionByName, [rows.select(*_manifest_columns(rows)) for rows in parts])
 
 
 def split_paths(paths: str) -> list[str]:
@@ -57,17 +70,16 @@ def read_manifests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     listed = split_paths(paths) if isinstance(paths, str) else paths
     parts = []
     for order, path in enumerate(listed):
-        rows = _text(spark, path)
         place = F.struct(
             F.lit(order).alias("path_no"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("line"),
         )
-        parts.append(rows.select(*_manifest_columns(rows), place.alias("seen_at")))
+        parts += [rows.select(*_manifest_columns(rows), place.alias("seen_at")) for rows in _text(spark, path)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """A mart export as text columns, named by its header."""
-    return _text(spark, path)
+    """A mart export as text columns, named by its header; text may have line breaks."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)

@@ -21,16 +21,28 @@ def write_progress(progress: DataFrame, path: str) -> None:
     progress.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+# Text stays as it is: outer spaces, quotes and line breaks survive. Parts are bounded, because a
+# reader of text with line breaks cannot split them.
+EXACT_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "maxRecordsPerFile": 1_000_000,
+}
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """Manifest CSV under ``path/csv`` and the same rows as JSON lines under ``path/json``."""
+    """Manifest rows as JSON lines under ``path/json`` and, read back from there, as CSV under ``path/csv``."""
     rows = manifest.select(*MANIFEST_COLUMNS)
-    rows.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
     rows.write.mode("overwrite").json(f"{path}/json")
+    stored = manifest.sparkSession.read.schema(rows.schema).json(f"{path}/json")
+    stored.write.mode("overwrite").options(**EXACT_CSV).csv(f"{path}/csv")
 
 
 def write_snapshot_csv(rows: DataFrame, path: str) -> None:
     """Analytical snapshot with a header, also when there are no rows."""
-    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    rows.write.mode("overwrite").options(**EXACT_CSV).csv(path)
 
 
 # The order of each mart export.
@@ -55,7 +67,7 @@ def export_mart(mart: DataFrame, name: str, directory: str) -> str:
     """
     path = f"{directory}/{name}.csv"
     rows = export_rows(mart, EXPORT_ORDER[name])
-    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    rows.write.mode("overwrite").options(**EXACT_CSV).csv(path)
     return path
 
 

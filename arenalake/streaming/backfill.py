@@ -1,12 +1,16 @@
 """Resumable backfill over landed page files.
 
-The stream checkpoint is the cursor: a resumed run sees new pages only. Each batch adds to the
-manifest what the quotas still allow and writes its own part, so a replayed batch overwrites its
-part instead of adding to it. A batch after the quotas are met adds nothing.
+The stream checkpoint tells which files were taken. Each batch adds the bounds and first sightings
+of its pages to the run's state and selects anew over the state of the whole run, in page order,
+so the rows do not depend on how many files a batch has or in which order they come. A run is a
+checkpoint; the matches of other runs in the same manifest count as selected before. A batch
+whose pages all lie behind the page that met the last quota changes nothing and is skipped.
+Everything a batch writes is overwritten when it is replayed.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -14,21 +18,38 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from arenalake.config import DEFAULTS, Settings
-from arenalake.operators.backfill import plan_backfill
+from arenalake.operators.backfill import (
+    choose,
+    joined_sightings,
+    page_bounds,
+    selected_index,
+    sightings,
+)
+from arenalake.sources.json_files import explode_pages
 from arenalake.sources.schemas import MANIFEST, MANIFEST_COLUMNS
 from arenalake.sources.sinks import write_progress
 
-_PARTS = f"{MANIFEST}, batch bigint"
+_PARTS = f"{MANIFEST}, run string"
+_REACHED = "until bigint, full boolean"
 
 
-def read_backfill_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The manifest so far, with the batch that added each row."""
+def _read(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> DataFrame:
+    """The rows under a path; none if it is not there yet."""
     try:
-        return spark.read.schema(_PARTS).parquet(path)
+        return spark.read.schema(schema).format(kind).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _PARTS)
+        return spark.createDataFrame([], schema)
+
+
+def read_backfill_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest so far, with the run that selected each row."""
+    return _read(spark, path, _PARTS)
+
+
+def run_name(checkpoint: str) -> str:
+    return "r" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
 
 def stream_backfill(
@@ -38,21 +59,47 @@ def stream_backfill(
     progress: str,
     checkpoint: str,
     *,
+    state: str,
+    cursor: int | None = None,
     quotas: Mapping[str, int] | None = None,
     settings: Settings = DEFAULTS,
     max_files_per_batch: int = 60,
 ) -> StreamingQuery:
-    """Take all pending page files (lines of ``{page_no, entries}``) in batches, then stop."""
+    """Take all pending page files (lines of ``{page_no, entries}``) in batches, then stop.
+
+    ``state`` is a folder for the runs' pages. ``cursor`` is where the run started.
+    """
+    run = run_name(checkpoint)
+    own = f"{state}/{run}"
 
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        earlier = read_backfill_manifest(session, manifest).where(F.col("batch") < batch_id)
-        plan = plan_backfill(
-            batch, earlier.select(*MANIFEST_COLUMNS), quotas=quotas, settings=settings
+        reached = _read(session, f"{own}/reached", _REACHED, "json").first()
+        if reached and reached["full"]:
+            first_page = batch.agg(F.min("page_no")).first()[0]
+            if first_page is None or first_page > reached["until"]:
+                return
+        parts = {"bounds": page_bounds(batch), "seen": sightings(explode_pages(batch), settings)}
+        stored = {}
+        for name, rows in parts.items():
+            rows.write.mode("overwrite").parquet(f"{own}/{name}/batch={batch_id}")
+            stored[name] = session.read.schema(rows.schema).parquet(f"{own}/{name}").drop("batch")
+        # Pages of a later batch may be there when an earlier one is replayed; they count as well.
+        earlier = read_backfill_manifest(session, manifest).where(F.col("run") != run)
+        chosen = choose(
+            stored["bounds"],
+            joined_sightings(stored["seen"], settings),
+            selected_index(earlier),
+            quotas=quotas,
+            settings=settings,
+            cursor=cursor,
+        )
+        rows = chosen.added.select(*MANIFEST_COLUMNS)
+        rows.write.mode("overwrite").parquet(f"{manifest}/run={run}")
+        write_progress(chosen.progress, f"{progress}/run={run}")
+        session.createDataFrame([(chosen.until, chosen.full)], _REACHED).write.mode("overwrite").json(
+            f"{own}/reached"
         )
-        part = f"{manifest}/batch={batch_id}"
-        plan.added.select(*MANIFEST_COLUMNS).write.mode("overwrite").parquet(part)
-        write_progress(plan.progress, f"{progress}/batch={batch_id}")
 
     stream = (
         spark.readStream.schema("page_no bigint, entries variant")

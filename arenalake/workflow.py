@@ -44,9 +44,9 @@ from arenalake.sources.sinks import (
 
 
 def public_slice(
-    spark: SparkSession, pages_path: str, target: str, *, limit: int = 500, settings: Settings = DEFAULTS
+    spark: SparkSession, pages_path: str, target: str, *, limit: int | None = None, settings: Settings = DEFAULTS
 ) -> None:
-    """Write the manifest of the first ``limit`` public matches of the landed pages."""
+    """Write the manifest of the public matches of the landed pages, or of the first ``limit``."""
     entries = explode_pages(read_pages(spark, pages_path))
     write_manifest(public_manifest(entries, limit, settings), f"{target}/manifest")
 
@@ -67,7 +67,7 @@ def pro_backfill(
     previous: str | None = None,
     cursor: int | None = None,
     quotas: Mapping[str, int] | None = None,
-    max_pages: int | None = 60,
+    max_pages: int | None = None,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """One bounded backfill run: writes manifest, raw entries and progress to ``target``.
@@ -108,7 +108,7 @@ def detail_envelopes(
     payloads: DataFrame,
     path: str,
     *,
-    limit: int | None = 500,
+    limit: int | None = None,
     ingested_at: Column | None = None,
     settings: Settings = DEFAULTS,
 ) -> None:

@@ -209,3 +209,35 @@ def test_raw_tables(spark, tmp_path):
     assert spark.table(table).select(payload).first()[0] == 5
     sinks.truncate_raw_tables(spark, "raw_test")
     assert spark.table(table).count() == 0
+
+
+def test_text_survives_csv(spark, tmp_path):
+    names = [" Axe ", 'a "quoted", b', "two\nlines", "\t", None]
+    rows = spark.createDataFrame(list(enumerate(names)), "hero_id long, hero_name string")
+    path = sinks.export_mart(rows.withColumn("recency_window", F.lit("w")), "mart_hero_meta_shift", str(tmp_path))
+    back = csv_files.read_export(spark, path).select("HERO_ID", "HERO_NAME").collect()
+    assert {int(r.HERO_ID): r.HERO_NAME for r in back} == dict(enumerate(names))
+    sinks.write_snapshot_csv(rows, str(tmp_path / "snapshot"))
+    back = csv_files.read_export(spark, str(tmp_path / "snapshot")).collect()
+    assert {int(r.hero_id): r.hero_name for r in back} == dict(enumerate(names))
+
+
+def test_each_file_of_a_folder_has_its_own_header(spark, tmp_path):
+    folder = tmp_path / "manifests"
+    folder.mkdir()
+    (folder / "a.csv").write_text("match_id,start_time,source_stream,recency_window\n1,10,s,w\n")
+    (folder / "b.csv").write_text("start_time,recency_window,match_id\n20,w,2\n30,v,3\n")
+    for rows in (csv_files.read_manifest(spark, str(folder)), csv_files.read_manifests(spark, [str(folder)])):
+        found = sorted(tuple(r) for r in rows.select(*MANIFEST_COLUMNS).collect())
+        assert found == [(1, 10, "s", "w"), (2, 20, None, "w"), (3, 30, None, "v")]
+
+
+def test_one_envelope_per_manifest_row(spark):
+    manifest = spark.createDataFrame([(1, 5, "s", "w"), (2, 6, "s", "w")], MANIFEST)
+    payloads = spark.sql(
+        """SELECT id AS match_id, at, parse_json(p) AS payload FROM VALUES
+           (1L, 2, '{"d": 2}'), (1L, 1, '{"d": 1}'), (1L, 1, '{"d": 1}'), (3L, 1, '{"d": 9}') AS t(id, at, p)"""
+    )
+    built = envelopes.build_envelopes(manifest, payloads, F.lit("now"), order=[F.col("at")])
+    found = built.select("match_id", F.variant_get("payload", "$.d", "int").alias("d")).collect()
+    assert [tuple(r) for r in found] == [(1, 1)]

@@ -56,6 +56,7 @@ def test_backfill_resumes_and_stops_at_the_quotas(spark, tmp_path):
             manifest,
             progress,
             str(tmp_path / "checkpoint"),
+            state=str(tmp_path / "state"),
             quotas={"2025_2026": 2, "2023_2024": 2},
             max_files_per_batch=1,
         ).awaitTermination()
@@ -68,5 +69,59 @@ def test_backfill_resumes_and_stops_at_the_quotas(spark, tmp_path):
     (pages / "3.json").write_text(page(3, (5, before), (4, before)))
     (pages / "4.json").write_text(page(4, (3, before), (2, now)))
     assert run() == [5, 7, 8, 9]
-    last = spark.read.json(f"{progress}/batch=2").first()
+    last = spark.read.json(progress).first()
     assert last.completed_all_targets
+
+
+def backfilled(spark, root, pages, files, per_batch, run="checkpoint", **options):
+    stream_backfill(
+        spark, str(pages), f"{root}/manifest", f"{root}/progress", f"{root}/{run}", state=f"{root}/state",
+        max_files_per_batch=per_batch, **options,
+    ).awaitTermination()
+    return sorted((r.match_id, r.start_time, r.recency_window) for r in read_backfill_manifest(spark, f"{root}/manifest").collect())
+
+
+def test_backfill_does_not_depend_on_batches(spark, tmp_path):
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    now, before = 1740000000, 1680000000
+    for n in (5, 2, 7, 1, 6, 3, 4):  # files come in another order than pages
+        starts = [(100 * n + k, (now, before)[(n + k) % 3 == 0]) for k in range(6)]
+        starts.append((100 * (n % 4), now + n))  # seen on several pages
+        (pages / f"{n}.json").write_text(page(n, *starts))
+    (pages / "8.json").write_text(page(8))  # an empty page ends the paging
+    (pages / "9.json").write_text(page(9, (950, now)))
+    quotas = {"2025_2026": 17, "2023_2024": 30}
+    found, last = [], []
+    for per_batch in (1, 2, 100):
+        root = tmp_path / f"n{per_batch}"
+        found.append(backfilled(spark, root, pages, 9, per_batch, quotas=quotas, cursor=12345))
+        last.append(spark.read.json(f"{root}/progress").drop("run").first().asDict(recursive=True))
+    assert found[0] == found[1] == found[2] and last[0] == last[1] == last[2]
+    assert 950 not in {m for m, _, _ in found[0]} and sum(w == "2025_2026" for _, _, w in found[0]) == 17
+    assert last[0]["request_count"] == 8 and not last[0]["completed_all_targets"]
+
+
+def test_new_checkpoint_goes_on_with_the_old_manifest(spark, tmp_path):
+    now = 1740000000
+    first, second = tmp_path / "first", tmp_path / "second"
+    for folder in (first, second):
+        folder.mkdir()
+    (first / "1.json").write_text(page(1, (1, now), (2, now)))
+    (second / "1.json").write_text(page(1, (2, now), (3, now), (4, now)))
+    quotas = {"2025_2026": 3}
+    assert len(backfilled(spark, tmp_path, first, 1, 1, "one", quotas=quotas)) == 2
+    both = backfilled(spark, tmp_path, second, 1, 1, "two", quotas=quotas)
+    assert [m for m, _, _ in both] == [1, 2, 3]
+
+
+def test_filled_batch_writes_nothing(spark, tmp_path):
+    now = 1740000000
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "1.json").write_text(page(1, (1, now), (2, now)))
+    quotas = {"2025_2026": 1}
+    backfilled(spark, tmp_path, pages, 1, 1, quotas=quotas)
+    (pages / "2.json").write_text(page(2, (3, now)))
+    assert [m for m, _, _ in backfilled(spark, tmp_path, pages, 1, 1, quotas=quotas)] == [1]
+    assert {p.name for p in (tmp_path / "state").glob("*/seen/batch=*")} == {"batch=0"}
