@@ -650,7 +650,7 @@ _QUERIES: dict[str, Query] = {
 }
 
 
-def _presented(query: Query) -> Query:
+def presented(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(query(spark, sf_dir))
 
@@ -658,4 +658,4 @@ def _presented(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _presented(query) for name, query in _QUERIES.items()}
+    return {name: presented(query) for name, query in _QUERIES.items()}
