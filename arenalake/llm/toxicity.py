@@ -1,7 +1,8 @@
 """Toxicity scores from subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its character n-grams and itself, hashed into buckets; its vector is the mean
-of their embeddings, a document's the mean of its words', and a linear layer with a softmax follows.
+of their embeddings, a document's the mean of its words' and of a few zero vectors, and a linear layer
+with a softmax follows.
 Embeddings and layer are trained together in numpy on at most ``sample_rows`` labelled documents,
 half of them of each class where there are as many. Unseen spellings share n-grams with known ones.
 
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 
 from arenalake.llm.numeric_text import prefix_sums, span_hashes
 
+#: Words of no meaning that every document has besides its own: few words are weak evidence.
+NEUTRAL = 5
+
 # Lower-case ASCII, and white space in place of ASCII punctuation; other bytes stay.
 _FOLD = bytes(
     32 if c < 128 and not chr(c).isalnum() else ord(chr(c).lower()) if c < 128 else c for c in range(256)
@@ -89,7 +93,7 @@ class Vocabulary(dict):
     def bag(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the distinct words, and each one's share of all words."""
         numbers, counts = np.unique(np.fromiter(map(self.__getitem__, words), np.int32, len(words)), return_counts=True)
-        return numbers, (counts / len(words)).astype(np.float32)
+        return numbers, (counts / (len(words) + NEUTRAL)).astype(np.float32)
 
 
 def bucket_shares(
@@ -115,10 +119,10 @@ def train(
     size: int = 4,
     shortest: int = 3,
     longest: int = 5,
-    epochs: int = 8,
+    epochs: int = 12,
     batch: int = 64,
     rate: float = 0.05,
-    decay: float = 1e-4,
+    decay: float = 3e-4,
     seed: int = 7,
 ) -> Model:
     """Adam over minibatches. ``share`` is the share of toxic documents outside the balanced sample."""
@@ -210,7 +214,7 @@ def score(docs: DataFrame, model: Model, kept: int = 200_000, column: str = "sco
                 if len(known) + len(new) > kept:
                     known, new = {}, list(set().union(*bags))
                 known.update(zip(new, model.word_scores(new).tolist()))
-                logits += [model.bias + (sum(map(known.__getitem__, b)) / len(b) if b else 0.0) for b in bags]
+                logits += [model.bias + sum(map(known.__getitem__, b)) / (len(b) + NEUTRAL) for b in bags]
             p = 1 / (1 + np.exp(-np.clip(np.array(logits), -700, 700)))
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), column: p})
 
