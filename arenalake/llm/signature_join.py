@@ -319,13 +319,20 @@ def document_components(
     parts = default_blocks(docs)
     nodes = written(document_nodes(docs, rule), "join_nodes", "doc_id long, n_shingles long, node long")
     families = written(components(family_edges(docs, rule), "families"), "families", "node long, root long")
-    several = families.groupBy("root").agg(F.count("*").alias("size"))
+    large = written(
+        families.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") > block),
+        "large",
+        "root long, size long",
+    )
+    if large.count() <= most_broadcast:  # two numbers a row; then no family is moved for its size
+        large = F.broadcast(large)
+    blocks = F.coalesce(F.ceil(F.col("size") / block).cast("int"), F.lit(1))
     placed = written(
-        families.join(several, "root").select(
+        families.join(large, "root", "left").select(
             "node",
             F.col("root").alias("family"),
-            F.ceil(F.col("size") / block).cast("int").alias("blocks"),
-            F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / block)).cast("int").alias("block"),
+            blocks.alias("blocks"),
+            F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
         ),
         "placed",
         "node long, family long, blocks int, block int",
