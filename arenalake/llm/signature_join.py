@@ -147,10 +147,16 @@ PAIR = np.dtype([("key", "<u8"), ("node", "<i8")])
 def family_edges(docs: DataFrame, rule: Rule) -> DataFrame:
     """Edges ``a, b`` from the least node of each shared segment to the others.
 
-    Keys travel packed: a task sends each partition one array of (key, node) for each batch.
+    Each batch of a task links its own nodes per key and sends on one node per key, so a key that very
+    many nodes have costs little. Keys and edges travel packed: one array of each for each partition.
     """
     parts = default_blocks(docs)
 
+    def dealt(rows: np.ndarray, by: np.ndarray) -> list[bytes]:
+        part = (by.astype(np.uint64) % np.uint64(parts)).astype(np.int64)
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        return [x.tobytes() for x in np.split(rows[np.argsort(part, kind="stable")], ends[:-1])]
+
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             keys, nodes = [], []
@@ -164,30 +170,41 @@ def family_edges(docs: DataFrame, rule: Rule) -> DataFrame:
                 continue
             rows = np.empty(sum(map(len, keys)), PAIR)
             rows["key"], rows["node"] = np.concatenate(keys), np.concatenate(nodes)
-            rows = np.unique(rows)  # copies within the batch go once
-            part = (rows["key"] % np.uint64(parts)).astype(np.int64)
-            rows = rows[np.argsort(part, kind="stable")]
-            ends = np.cumsum(np.bincount(part, minlength=parts))
-            blobs = [x.tobytes() for x in np.split(rows, ends[:-1])]
-            yield pd.DataFrame({"part": range(parts), "pairs": blobs})
+            least, edges = stars(rows)
+            yield pd.DataFrame(
+                {"part": range(parts), "pairs": dealt(least, least["key"]), "edges": dealt(edges, edges["b"])}
+            )
 
     def share(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        blobs = [b for frame in frames for b in frame["pairs"]]
-        rows = np.frombuffer(b"".join(blobs), PAIR)
-        del blobs
-        rows = rows[np.lexsort((rows["node"], rows["key"]))]
-        if not len(rows):
-            return
-        first = np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]])
-        least = rows["node"][np.flatnonzero(first)][np.cumsum(first) - 1]
-        other = least != rows["node"]
-        edges = pd.DataFrame({"a": least[other], "b": rows["node"][other]}).drop_duplicates()
-        yield edges
-
-    packed = docs.select("text").mapInPandas(pack, "part int, pairs binary")
+        pairs, edges = [], []
+        for frame in frames:
+            pairs.extend(frame["pairs"])
+            edges.extend(frame["edges"])
+        _, own = stars(np.frombuffer(b"".join(pairs), PAIR))
+        every = np.unique(np.concatenate([own, np.frombuffer(b"".join(edges), EDGES)]))
+        if len(every):
+            yield pd.DataFrame({"a": every["a"], "b": every["b"]})
+
+    packed = docs.select("text").mapInPandas(pack, "part int, pairs binary, edges binary")
     return packed.repartition(parts, "part").mapInPandas(share, EDGE).distinct()
 
 
+EDGES = np.dtype([("a", "<i8"), ("b", "<i8")])
+
+
+def stars(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of (key, node) rows: the least node of each key, and distinct edges from it to the key's others."""
+    rows = rows[np.lexsort((rows["node"], rows["key"]))]
+    first = np.ones(len(rows), bool)
+    first[1:] = rows["key"][1:] != rows["key"][:-1]
+    least = rows[first]
+    of_each = np.repeat(least["node"], np.diff(np.append(np.flatnonzero(first), len(rows))))
+    other = of_each != rows["node"]
+    edges = np.empty(int(other.sum()), EDGES)
+    edges["a"], edges["b"] = of_each[other], rows["node"][other]
+    return least, np.unique(edges)
+
+
 class Members:
     """Sets of one block, or of two, with the labels of the components known so far."""
 
