@@ -7,11 +7,11 @@ again.
 
 from __future__ import annotations
 
-import os
+import hashlib
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from arenalake.storage import fresh_path
 
@@ -19,18 +19,17 @@ _landed: dict[tuple[str, str, str, str], str] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
-    """Only file metadata is looked at."""
-    paths = [f"{sf_dir}/{table}.parquet" for table in tables]
-    if all(os.path.isfile(path) for path in paths):
-        stats = [os.stat(path) for path in paths]
-        return "-".join(f"{stat.st_size}.{stat.st_mtime_ns}" for stat in stats)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    row = files.agg(
-        F.count("*").alias("files"),
-        F.sum("length").alias("bytes"),
-        F.sum(F.hash("path", "length", "modificationTime").cast("bigint")).alias("digest"),
-    ).first()
-    return f"{row['files']}-{row['bytes']}-{row['digest']}"
+    """Only file metadata is looked at, through the file system that Spark reads from."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    marks = []
+    for table in tables:
+        path = hadoop.Path(f"{sf_dir}/{table}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            file = files.next()
+            marks.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(marks)).encode()).hexdigest()
 
 
 def landed(
