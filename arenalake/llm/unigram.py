@@ -224,22 +224,25 @@ def encode_together(words: list[bytes], v: Vocabulary) -> list[bytes]:
         best[target], back[target], taken[target] = score[better], start[lo:hi][better], piece[lo:hi][better]
     begin = first + np.arange(len(words))
     slot = ends + np.arange(len(words))
-    found, owner, through_bytes = [], [], np.zeros(len(words), bool)
+    steps_back = []  # (word, piece, its start and end in the text), last pieces first
     moving = np.flatnonzero(slot > begin)
     while len(moving):
-        found.append(taken[slot[moving]])
-        owner.append(moving)
-        through_bytes[moving] |= found[-1] < 0
-        slot[moving] = back[slot[moving]]
-        moving = moving[slot[moving] > begin[moving]]
-    owners, pieces = np.concatenate(owner)[::-1], np.concatenate(found)[::-1]
-    order = np.argsort(owners, kind="stable")
-    ids = pieces[order].astype(np.int32)
-    cuts = np.searchsorted(owners[order], np.arange(len(words) + 1)).tolist()
-    raw = ids.tobytes()
-    out = [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
-    for k in np.flatnonzero(through_bytes).tolist():
-        out[k] = np.array(encode_word(words[k], v), np.int32).tobytes()
+        here, before = slot[moving], back[slot[moving]]
+        steps_back.append((moving, taken[here], before - moving, here - moving))
+        slot[moving] = before
+        moving = moving[before > begin[moving]]
+    owner, piece, a, b = (np.concatenate(x)[::-1] for x in zip(*steps_back))
+    order = np.argsort(owner, kind="stable")
+    owner, piece = owner[order], piece[order].astype(np.int32)
+    cuts = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
+    raw = piece.tobytes()
+    out = [raw[4 * x : 4 * y] for x, y in zip(cuts, cuts[1:])]
+    a, b = a[order], b[order]
+    for k in np.unique(owner[piece < 0]).tolist():
+        ids = []
+        for at in range(cuts[k], cuts[k + 1]):
+            ids += [piece[at]] if piece[at] >= 0 else v.byte_ids[text[a[at] : b[at]]].tolist()
+        out[k] = np.array(ids, np.int32).tobytes()
     return out
 
 
@@ -274,9 +277,10 @@ def encode_texts(texts: list[str], v: Vocabulary, known: dict[str, bytes], kept:
     cut = [words_of(t) for t in texts]
     every = set().union(*cut)
     new = every - known.keys()
-    if len(known) + len(new) > kept:
+    if len(known) + len(new) > kept:  # go on with the words of this call
+        stay = {w: known[w] for w in every - new}
         known.clear()
-        new = every
+        known.update(stay)
     pieces = {w: v.forced(w) for w in new}
     parts = list(set().union(*pieces.values()) - known.keys())
     known.update(zip(parts, encode_words(parts, v)))
@@ -285,7 +289,7 @@ def encode_texts(texts: list[str], v: Vocabulary, known: dict[str, bytes], kept:
 
 
 def encode_documents(
-    docs: DataFrame, v: Vocabulary, columns: list[str], kept: int = 200_000, at_once: int = 1024
+    docs: DataFrame, v: Vocabulary, columns: list[str], kept: int = 500_000, at_once: int = 512
 ) -> DataFrame:
     """The named columns with ``ids`` (array of int), ``n_tokens`` and ``decoded`` (text read back from ids)."""
     fields = [docs.schema[c] for c in columns]
