@@ -310,10 +310,10 @@ def tree_links(m: Members) -> Iterator[tuple[int, int]]:
 
 
 def grouped(frames: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[list[tuple]]:
-    """Rows of sorted frames, by group; one group is held at a time."""
+    """Rows of frames sorted by the keys and node, by group: one row for each node, one group at a time."""
     rows = (row for frame in frames for row in frame.itertuples(index=False))
     for _, group in groupby(rows, key=lambda r: tuple(getattr(r, k) for k in keys)):
-        yield list(group)
+        yield [next(same) for _, same in groupby(group, key=lambda r: r.node)]
 
 
 def block_links(rows: DataFrame, keys: list[str], rule: Rule, parts: int) -> DataFrame:
@@ -382,10 +382,11 @@ def member_texts(docs: DataFrame, nodes: DataFrame, placed: DataFrame, most_broa
     )
 
     def of_node(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Of rows with one id, the one whose set the node stands for."""
+        """Of rows with one id, those whose set the node stands for; of repeated rows one a batch."""
         for frame in frames:
+            frame = frame.drop_duplicates(["node", "text"])
             right = [identity(shingles(t, rule)) == n for t, n in zip(frame["text"], frame["node"])]
-            yield frame[right]
+            yield frame[right].drop_duplicates("node")
 
     return both.select("node", "family", "blocks", "block", "text").mapInPandas(
         of_node, "node long, family long, blocks int, block int, text string"
