@@ -146,7 +146,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as binary token files and reports what is read back from them."""
     folder = fresh_path(spark, "token_files")
     docs = read_table(spark, sf_dir, "documents")
-    token_files.write_token_files(docs, folder, tokenizer_file("byte_bpe_50k.json"), end_id=2)
+    path = tokenizer_file("byte_bpe_50k.json")
+    token_files.write_token_files(docs, folder, path, end_id=2, encode_special_tokens=False)
     return token_files.read_token_files(spark, folder)
 
 

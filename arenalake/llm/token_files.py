@@ -46,20 +46,33 @@ class WordEncoder(dict):
     """Ids of a text as bytes, with the ids of recent words kept.
 
     A token never spans from a non-space to a following space, so words can be encoded alone: the
-    result equals that of the whole text. Kept words are bounded by ``kept``.
+    result equals that of the whole text. Kept words are bounded by ``kept``. The file's added tokens
+    are cut out of the text first; as in the library, ``encode_special_tokens`` takes the special ones
+    among them as text instead.
     """
 
-    def __init__(self, path: str, dtype: str, kept: int = 800_000) -> None:
+    def __init__(self, path: str, dtype: str, kept: int = 800_000, encode_special_tokens: bool = True) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.model = Tokenizer.from_file(path).model
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = encode_special_tokens
+        self.model = self.library.model
         self.kind, self.kept = np.dtype(dtype).char, kept
         self.letters = byte_letters()
         self.pieces = regex.compile(PATTERN).findall
         self.spaced = regex.compile(r"^ |\s ").search
         self.marks = {c: self.ids_of_piece(c) for c in ".,;:!?"}
         self.breaks = regex.compile(r"(?<=\S) ").split
+        added = {
+            t.content: (k, t.normalized or t.single_word or t.lstrip or t.rstrip)
+            for k, t in self.library.get_added_tokens_decoder().items()
+            if t.content and not (t.special and encode_special_tokens)
+        }
+        self.added = {c: array(self.kind, [k]).tobytes() for c, (k, _) in added.items()}
+        self.bare = not any(depends for _, depends in added.values())  # matched whatever is around them
+        longest_first = sorted(map(regex.escape, self.added), key=len, reverse=True)
+        self.at_added = regex.compile(f"({'|'.join(longest_first)})").split
 
     def __missing__(self, word: str) -> bytes:
         """The key stands for the word with a space before it; a mark behind letters is a token of its own."""
@@ -84,6 +97,14 @@ class WordEncoder(dict):
         return array(self.kind, [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if not any(c in text for c in self.added):
+            return self.encode_plain(text)
+        if not self.bare:
+            return array(self.kind, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        parts = self.at_added(text)  # plain text and added tokens in turn
+        return b"".join(self.added[p] if k % 2 else self.encode_plain(p) for k, p in enumerate(parts))
+
+    def encode_plain(self, text: str) -> bytes:
         words = self.breaks(text) if self.spaced(text) else text.split(" ")
         return self.ids_of(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
@@ -91,11 +112,12 @@ class WordEncoder(dict):
 _encoders: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str, dtype: str) -> WordEncoder:
+def encoder(path: str, dtype: str, encode_special_tokens: bool) -> WordEncoder:
     """One for each Python worker, so that its kept words serve the next task."""
-    if (path, dtype) not in _encoders:
-        _encoders[path, dtype] = WordEncoder(path, dtype)
-    return _encoders[path, dtype]
+    key = (path, dtype, encode_special_tokens)
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(path, dtype, encode_special_tokens=encode_special_tokens)
+    return _encoders[key]
 
 
 def vocabulary_dtype(path: str) -> str:
@@ -140,7 +162,12 @@ class BlockWriter:
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, blocks: int | None = None
+    docs: DataFrame,
+    folder: str,
+    tokenizer: str,
+    end_id: int,
+    blocks: int | None = None,
+    encode_special_tokens: bool = True,
 ) -> dict:
     """Encode all texts, write them in ascending order of ids, and return the manifest."""
     blocks = blocks or default_blocks(docs)
@@ -149,7 +176,7 @@ def write_token_files(
     bounds = block_bounds(rows, blocks)
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer, dtype).encode
+        encode = encoder(tokenizer, dtype, encode_special_tokens).encode
         end = np.array([end_id], dtype).tobytes()
         writer, done = None, []
         for frame in frames:

@@ -2,10 +2,10 @@ import zlib
 
 import numpy as np
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from arenalake.llm import token_files
-from arenalake.llm.queries import tokenizer_file
+from arenalake.llm.queries import op7_token_files, tokenizer_file
 
 from .helpers import awkward_rows, documents, words
 
@@ -73,3 +73,41 @@ def test_task_that_runs_again_leaves_the_same_files(tmp_path):
 def test_empty_table(spark, tmp_path):
     manifest = token_files.write_token_files(documents(spark, []), str(tmp_path / "x"), PATH, end_id=2)
     assert manifest["parts"] == [] and token_files.read_token_files(spark, str(tmp_path / "x")).count() == 0
+
+
+MARKED = [
+    "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "end.<|endoftext|>\n\nNext  <|endoftext|>x",
+    "<|endoftext", "<|<|endoftext|>|> é<|endoftext|> ",
+]
+
+
+def test_added_tokens_equal_the_unaltered_library():
+    library = Tokenizer.from_file(PATH)
+    encoder = token_files.WordEncoder(PATH, "<u2", encode_special_tokens=False)
+    for text in TEXTS + MARKED:
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == expected, text
+
+
+def test_added_tokens_that_depend_on_their_surroundings(tmp_path):
+    library = Tokenizer.from_file(PATH)
+    library.add_tokens([AddedToken("<cut>", lstrip=True, normalized=False), AddedToken("lone", single_word=True)])
+    path = str(tmp_path / "more.json")
+    library.save(path)
+    encoder = token_files.WordEncoder(path, "<u4", encode_special_tokens=False)
+    for text in [*MARKED, "a  <cut> b", "alone lone, lone<cut><|endoftext|>"]:
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected, text
+
+
+def test_query_matches_added_tokens(spark, tmp_path):
+    library = Tokenizer.from_file(PATH)
+    rows = [(k, t, None, None, None) for k, t in enumerate(TEXTS + MARKED)]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in op7_token_files(spark, str(tmp_path)).collect()}
+    start = 0
+    for k, text, *_ in rows:
+        ids = library.encode(text, add_special_tokens=False).ids + [2]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert tuple(found[k]) == (k, start, len(ids), crc), text
+        start += len(ids)
