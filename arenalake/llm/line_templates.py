@@ -3,11 +3,13 @@
 A line's path in the tree has fixed depth: its number of tokens, then its leading tokens. Tokens
 with a digit are variable fields everywhere. In a leaf, the other tokens form three groups of
 neighbours, and a template leaves at most one group variable: two lines share a template if they
-agree in path and in all groups, or in all but one. Lines of few tokens must agree in all.
+agree in path and in all groups, or in all but one. Lines of few tokens must agree in all. Lines of
+fewer than ``least_tokens`` tokens are no templates: they must agree in every token, digits included.
 
 A template recurs when lines of at least two documents have it (and, for short lines, at least
-``least_short_lines`` lines); its lines stay in the document of the lowest id and are dropped from
-all others. Lines without a token, and lines of fewer than ``least_tokens`` tokens, always stay.
+``least_short_lines`` lines), a line of fewer than ``least_tokens`` tokens when at least
+``least_documents`` different documents have it; its lines stay in the document of the lowest id and
+are dropped from all others. Lines without a token always stay.
 
 Keys are counted before they are shuffled, and a line is shuffled as a few numbers. A frequent
 template is one row on one side of a join, so the other side can be split.
@@ -26,12 +28,22 @@ from arenalake.llm.quality_rules import WORD_BREAK, let
 from arenalake.storage import fresh_path
 
 FIELD = "<*>"
-WITH_DIGIT = "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*"
+NO_BREAK = "[^\\x20\\x09-\\x0D]"
+WITH_DIGIT = "[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+"
 HIGHEST = 2**63 - 1
 
 
+def words_of(line: Column) -> Column:
+    return F.filter(F.split(line, WORD_BREAK), lambda t: t != "")
+
+
 def tokens_of(line: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(line, WITH_DIGIT, FIELD), WORD_BREAK), lambda t: t != "")
+    return words_of(F.when(line.rlike("[0-9]"), F.regexp_replace(line, WITH_DIGIT, FIELD)).otherwise(line))
+
+
+def line_key(line: Column) -> Column:
+    """Hash of all tokens as they are."""
+    return F.xxhash64(F.lit("line"), F.array_join(words_of(line), " "))
 
 
 def template_keys(tokens: Column, depth: int, groups: int, least_grouped: int) -> Column:
@@ -64,27 +76,33 @@ def dropped_lines(
     least_grouped: int = 12,
     least_short_lines: int = 10,
     short: int = 8,
+    least_documents: int = 10,
 ) -> DataFrame:
     """``doc_id, text_hash, dropped``: the numbers (from 0) of the lines to drop, for rows that have some."""
     lines = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(HIGHEST)).alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
         F.posexplode(F.split("text", "\n", -1)).alias("line", "content"),
-    )
-    numbered = lines.select("doc_id", "text_hash", "line", tokens_of(F.col("content")).alias("tokens")).where(
-        F.size("tokens") >= least_tokens
-    )
+    ).where(F.col("content").rlike(NO_BREAK))  # lines with a token
+    numbered = lines.select("doc_id", "text_hash", "line", "content", tokens_of(F.col("content")).alias("tokens"))
+    whole = F.size("tokens") < least_tokens
     path = fresh_path(docs.sparkSession, "line_keys")
     numbered.select(
         "doc_id",
         "text_hash",
         "line",
         (F.size("tokens") < short).alias("is_short"),
-        F.explode(template_keys(F.col("tokens"), depth, groups, least_grouped)).alias("key"),
+        whole.alias("is_whole"),
+        F.explode(
+            F.when(whole, F.array(line_key(F.col("content")))).otherwise(
+                template_keys(F.col("tokens"), depth, groups, least_grouped)
+            )
+        ).alias("key"),
     ).write.parquet(path)
     keys = docs.sparkSession.read.parquet(path)
-    recurring = (
-        keys.groupBy("key")
+    templates = (
+        keys.where(~F.col("is_whole"))
+        .groupBy("key")
         .agg(
             F.min("doc_id").alias("first"),
             F.max("doc_id").alias("last"),
@@ -94,6 +112,16 @@ def dropped_lines(
         .where((F.col("first") < F.col("last")) & (~F.col("is_short") | (F.col("n") >= least_short_lines)))
         .select("key", "first")
     )
+    whole_lines = (  # one row for each line and document, and partial counts of these, so no key is in one task
+        keys.where("is_whole")
+        .select("key", "doc_id")
+        .distinct()
+        .groupBy("key")
+        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+        .where(F.col("n") >= F.greatest(F.lit(least_documents), F.lit(2)))
+        .select("key", "first")
+    )
+    recurring = templates.union(whole_lines)
     return (
         keys.join(recurring, "key")
         .where(F.col("doc_id") > F.col("first"))

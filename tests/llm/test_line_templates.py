@@ -48,3 +48,21 @@ def test_awkward_rows_and_empty_table(spark):
     rows += [(10, rows[8][1], None, None, None), (None, rows[8][1], None, None, None)]  # a copy of the long text
     check(spark, rows)
     assert deduped(spark, []).count() == 0
+
+
+def test_lines_of_few_tokens_recur_by_documents(spark):
+    def lines_of(k):
+        return [words(200 + k, 12), "All rights reserved.", " All  rights reserved. ", f"page {k}", "3 4", "Les." if k < 9 else "les.", ""]
+
+    rows = [(k, "\n".join(lines_of(k)), None, None, None) for k in range(12)]
+    rows += [(20, "Les.\nLes.\nLes.", None, None, None), (20, "3 4\nLes.", None, None, None)]
+    rows += [(30 + k, "only two\n" * 10, None, None, None) for k in range(2)]
+    left = {(r["doc_id"], r["__n_lines"]): r["text"] for r in deduped(spark, rows).collect()}
+    assert left[0, 7] == rows[0][1]  # the document of the lowest id keeps all
+    for k in range(1, 12):
+        kept = [words(200 + k, 12), f"page {k}", *(["les."] if k >= 9 else []), ""]
+        assert left[k, 7] == "\n".join(kept), k
+    assert left[20, 3] == "" and left[20, 2] == ""  # the tenth document with "Les."
+    assert left[30, 11] == left[31, 11] == "only two\n" * 10  # many lines of two documents
+    fewer = deduped(spark, rows, least_documents=11).where("doc_id = 20").collect()
+    assert sorted(r["text"] for r in fewer) == ["Les.", "Les.\nLes.\nLes."]
