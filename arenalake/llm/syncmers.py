@@ -2,11 +2,10 @@
 
 A k-mer of code points is an anchor when its least s-mer hash stands at its first or last place.
 That depends on the k-mer alone, so an edit moves or changes only the anchors that touch it. A
-fingerprint is the sequence of all anchors of the whole text, five base-64 letters each. Texts of
-256 code points and more have long anchors, texts below 1024 have short ones, and those between
-have both, so any two texts of similar length share a scale. Where a text has no anchor of a scale
-the hash of the whole text is its only one. Two fingerprints are compared by position, at the
-finest scale they share: the longest sequence of equal anchors that keeps the order in both.
+fingerprint is the sequence of all anchors of the whole text, five base-64 letters each, of one k and
+s at every length, so any two fingerprints are comparable. Where a text has no anchor the hash of the
+whole text is its only one. Two fingerprints are compared by position: the longest sequence of equal
+anchors that keeps the order in both.
 
 Defined results: a null text is the empty text, which has a fingerprint like any other; equal texts
 have equal fingerprints and likeness 1; null ids sort below all others; rows with one id are
@@ -42,20 +41,17 @@ def sliding_least(values: np.ndarray, window: int) -> np.ndarray:
     return least
 
 
-#: (k, s, least length, end of lengths) of each scale.
-SCALES = ((48, 8, 256, None), (12, 4, 0, 1024))
-Anchors = list[np.ndarray | None]
+#: (k, s) of each scale; all texts have all scales.
+SCALES = ((12, 4),)
+Anchors = list[np.ndarray]
 
 
 def anchors(text: str) -> Anchors:
-    """For each scale that the text has: hashes of its closed syncmers in text order, 30 bits each."""
+    """For each scale: hashes of the closed syncmers in text order, 30 bits each."""
     points = code_points(text)
     sums = prefix_sums(points)
     n = len(points)
-    return [
-        syncmers(sums, n, k, s) if n >= least and (end is None or n < end) else None
-        for k, s, least, end in SCALES
-    ]
+    return [syncmers(sums, n, k, s) for k, s in SCALES]
 
 
 def syncmers(sums: np.ndarray, n: int, k: int, s: int) -> np.ndarray:
@@ -73,9 +69,7 @@ def syncmers(sums: np.ndarray, n: int, k: int, s: int) -> np.ndarray:
 def to_text(found: Anchors) -> str:
     """The scales, coarse before fine, with a full stop between."""
     shifts = np.arange(6 * (WIDTH - 1), -1, -6, dtype=np.uint32)
-    return ".".join(
-        "" if a is None else LETTERS[(a[:, None] >> shifts) & np.uint32(63)].tobytes().decode() for a in found
-    )
+    return ".".join(LETTERS[(a[:, None] >> shifts) & np.uint32(63)].tobytes().decode() for a in found)
 
 
 def longest_rise(values: list[int]) -> int:
@@ -98,9 +92,8 @@ def occurrences(found: np.ndarray) -> dict[tuple[int, int], int]:
 
 
 def likeness(a: Anchors, b: Anchors) -> float:
-    """At the finest shared scale; texts of lengths too far apart to share one are unlike."""
-    shared = [(x, y) for x, y in zip(a, b) if x is not None and y is not None]
-    return matched_share(*shared[-1]) if shared else 0.0
+    """At the finest scale."""
+    return matched_share(a[-1], b[-1])
 
 
 def matched_share(a: np.ndarray, b: np.ndarray) -> float:

@@ -75,3 +75,21 @@ def test_awkward_rows_and_empty_table(spark):
     assert syncmers.fingerprint_edits(documents(spark, [])).count() == 0
     one = syncmers.fingerprint_edits(documents(spark, [(5, "alone", None, None, None)])).first()
     assert one["near_next"] == 1 and one["edited_sha256"] == hashlib.sha256(b"alona"[:4] + b"a").hexdigest()
+
+
+def test_likeness_does_not_depend_on_the_length():
+    like = lambda x, y: syncmers.likeness(syncmers.anchors(x), syncmers.anchors(y))
+
+    def after_edits(n, share):
+        found = []
+        for seed in range(12):
+            x = words(900 + seed, 400)[:n].split(" ")
+            y = [words(5000 + 1000 * seed + i, 1) if (i * 7919 + seed) % 100 < share else w for i, w in enumerate(x)]
+            found.append(like(" ".join(x), " ".join(y)))
+        return np.mean(found)
+
+    for share in (5, 10, 20):
+        assert abs(after_edits(1023, share) - after_edits(1100, share)) < 0.05
+    whole = words(8, 400)[:1400]
+    assert like(whole[:250], whole) > 0.25  # the whole beginning; at most 500 / 1650 by this measure
+    assert like(whole[:1000], whole) > 0.75
