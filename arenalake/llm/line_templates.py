@@ -1,7 +1,8 @@
 """Line dedup by a log-template tree.
 
 A line's path in the tree has fixed depth: its number of tokens, then its leading tokens. Tokens
-with a digit are variable fields everywhere. In a leaf, the other tokens form three groups of
+with a digit are variable fields, but at least half of the tokens a template fixes are constant: a
+line with more variable fields has no template and must agree in every token. In a leaf, the other tokens form three groups of
 neighbours, and a template leaves at most one group variable: two lines share a template if they
 agree in path and in all groups, or in all but one. Lines of few tokens must agree in all. Lines of
 fewer than ``least_tokens`` tokens are no templates: they must agree in every token, digits included.
@@ -46,22 +47,42 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.lit("line"), F.array_join(words_of(line), " "))
 
 
-def template_keys(tokens: Column, depth: int, groups: int, least_grouped: int) -> Column:
-    """Hashes of the templates a line has: with no group variable, then with each one variable."""
+def fields(tokens: Column) -> Column:
+    return F.size(F.filter(tokens, lambda t: t == FIELD))
+
+
+def template_keys(line: Column, tokens: Column, depth: int, groups: int, least_grouped: int) -> Column:
+    """Hashes of the templates a line has: with no group variable, then with each one variable.
+
+    A line of mostly variable fields has the hash of all its tokens as they are.
+    """
     def keys(ts: Column) -> Column:
         n = F.size(ts)
         width = F.greatest(F.ceil((n - depth) / groups).cast("int"), F.lit(1))
         path = F.xxhash64(n, F.array_join(F.slice(ts, 1, depth), " "))
 
+        def slice_of(k: int) -> Column:
+            return F.slice(ts, F.lit(depth + 1) + k * width, width)
+
         def group(k: int) -> Column:
-            return F.xxhash64(F.array_join(F.slice(ts, F.lit(depth + 1) + k * width, width), " "))
+            return F.xxhash64(F.array_join(slice_of(k), " "))
+
+        def constant_beside(k: int) -> Column:
+            return 2 * (fields(ts) - fields(slice_of(k))) <= n - F.size(slice_of(k))
 
         def combined(parts: Column) -> Column:
             whole = F.xxhash64(path, *(parts[k] for k in range(groups)))
             open_ones = [
                 F.xxhash64(path, F.lit(g), *(parts[k] for k in range(groups) if k != g)) for g in range(groups)
             ]
-            return F.when(n >= least_grouped, F.array(whole, *open_ones)).otherwise(F.array(whole))
+            steady = F.array(whole, *open_ones)
+            checked = F.array_compact(F.array(whole, *(F.when(constant_beside(g), k) for g, k in enumerate(open_ones))))
+            grouped = F.when(F.array_contains(ts, FIELD), checked).otherwise(steady)
+            return (
+                F.when(F.array_contains(ts, FIELD) & (2 * fields(ts) > n), F.array(line_key(line)))
+                .when(n >= least_grouped, grouped)
+                .otherwise(F.array(whole))
+            )
 
         return let(F.array(*(group(k) for k in range(groups))), combined)
 
@@ -95,7 +116,7 @@ def dropped_lines(
         whole.alias("is_whole"),
         F.explode(
             F.when(whole, F.array(line_key(F.col("content")))).otherwise(
-                template_keys(F.col("tokens"), depth, groups, least_grouped)
+                template_keys(F.col("content"), F.col("tokens"), depth, groups, least_grouped)
             )
         ).alias("key"),
     ).write.parquet(path)

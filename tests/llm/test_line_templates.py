@@ -66,3 +66,23 @@ def test_lines_of_few_tokens_recur_by_documents(spark):
     assert left[30, 11] == left[31, 11] == "only two\n" * 10  # many lines of two documents
     fewer = deduped(spark, rows, least_documents=11).where("doc_id = 20").collect()
     assert sorted(r["text"] for r in fewer) == ["Les.", "Les.\nLes.\nLes."]
+
+
+def test_rows_of_numbers_are_no_template(spark):
+    def row(k, n):
+        return " ".join(str(1000 * k + i) for i in range(n))
+
+    same = row(77, 9)
+    half = "one {} two {} three {} four {}"
+    mixed = f"a b c {words(300, 3)} {{}} {words(301, 3)}"  # 12 or more tokens, the fields in one group
+    texts = [
+        "\n".join([row(k, 9), same, row(k, 30), half.format(*[k] * 4), f"total {row(k, 12)}", mixed.format(row(k, 3))])
+        for k in range(4)
+    ]
+    # Half constant as a whole, but not beside the group that would be open.
+    texts += [" ".join([*row(k, 6).split(" "), *words(310 + k, 6).split(" ")]) for k in range(10, 12)]
+    rows = [(k, t, None, None, None) for k, t in enumerate(texts)]
+    left = {r["doc_id"]: r["text"] for r in deduped(spark, rows).collect()}
+    assert left[0] == texts[0] and left[4] == texts[4] and left[5] == texts[5]
+    for k in range(1, 4):
+        assert left[k] == "\n".join([row(k, 9), row(k, 30), f"total {row(k, 12)}"]), k
