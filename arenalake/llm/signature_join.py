@@ -49,6 +49,10 @@ class Rule:
     words: int = 5
     percent: int = 80
 
+    def __post_init__(self) -> None:
+        if not 1 <= self.percent <= 100:
+            raise ValueError(f"percent must be from 1 to 100, not {self.percent}")
+
     def links(self, shared: int, a: int, b: int) -> bool:
         return 100 * shared >= self.percent * (a + b - shared)
 
@@ -80,11 +84,11 @@ def identity(found: np.ndarray) -> int:
     return int(mix(total + np.uint64(len(found))).view(np.int64)[0])
 
 
-def size_class(n: int) -> tuple[int, int, int]:
-    """Number, first size, and end of the class of a size; classes grow by 1.3, past any link's ratio."""
+def size_class(n: int, percent: int) -> tuple[int, int, int]:
+    """Number, first size, and end of the class of a size; classes grow by 1.3 or a link's ratio, if that is more."""
     k, low = 0, 1
     while True:
-        end = max(low + 1, low * 13 // 10 + 1)
+        end = max(low + 1, low * 13 // 10 + 1, low * 100 // percent + 1)
         if n < end:
             return k, low, end
         k, low = k + 1, end
@@ -115,7 +119,7 @@ def routing_keys(found: np.ndarray, rule: Rule) -> np.ndarray:
     n = len(found)
     if not n:
         return np.empty(0, np.uint64)
-    k, low, end = size_class(n)
+    k, low, end = size_class(n, rule.percent)
     out = _segment_keys(found, rule, k, end)
     if k and n * rule.percent <= 100 * (low - 1):
         out += _segment_keys(found, rule, k - 1, low)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from arenalake.llm import signature_join as sj
 from arenalake.llm.components import components
@@ -106,3 +107,26 @@ def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (7, 7)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100}
+
+
+def test_low_percents_lose_no_link(spark):
+    r = np.random.default_rng(3)
+    for percent in (30, 50, 60, 70, 76, 77, 85):
+        rule = sj.Rule(4, percent)
+        for n in [*range(1, 40), 100, 333]:
+            more = 100 * n // percent  # the largest set that a part of it can be linked with
+            for m in {more, (n + more) // 2}:
+                b = np.unique(r.integers(0, 2**64, m, np.uint64))
+                if m > n and rule.links(n, n, m):
+                    assert len(np.intersect1d(sj.routing_keys(b[:n], rule), sj.routing_keys(b, rule))), (percent, n, m)
+    text = words(70, 30)  # 27 shingles of 4 words, and 19 of them
+    rows = [(1, text, None, None, None), (2, " ".join(text.split(" ")[:22]), None, None, None)]
+    assert joined(spark, rows, sj.Rule(4, 70)) == keys_of([(1, 27, 1), (2, 19, 1)])
+    more = [(k, " ".join(words(80 + k // 9, 60).split(" ")[: 60 - 5 * (k % 9)]), None, None, None) for k in range(36)]
+    assert joined(spark, more, sj.Rule(4, 60)) == keys_of(plain_components([x[:2] for x in more], 4, 60))
+
+
+def test_percents_without_a_meaning_are_rejected():
+    for percent in (-1, 0, 101):
+        with pytest.raises(ValueError):
+            sj.Rule(4, percent)
