@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from arenalake.llm import (
     chat,
+    html_blocks,
     line_templates,
     mixing,
+    multi_index,
     quality_rules,
     secret_scan,
     signature_join,
@@ -16,6 +18,8 @@ from arenalake.llm import (
     token_files,
     toxicity,
     unigram,
+    vectors,
+    whitening,
 )
 from arenalake.sources.tables import read_table
 from arenalake.storage import fresh_path
@@ -191,6 +195,52 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    pages = read_table(spark, sf_dir, "pages")
+    done = pages.select("page_id", "url", html_blocks.main_text(F.col("html")).alias("text"))
+    return done.select("*", F.length("text").cast("long").alias("n_chars"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding; a seventh of the labels are moved first."""
+    rows = read_table(spark, sf_dir, "embeddings").where(vectors.finite(F.col("embedding")) & F.col("label").isNotNull())
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = rows.select("vec_id", moved.alias("label"), vectors.scaled_floor(F.col("embedding"), 256).alias("x"))
+    return multi_index.mine(whole, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = r"""
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM sound a JOIN sound b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS place
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 10
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of every embedding."""
+    rows = read_table(spark, sf_dir, "embeddings").where(vectors.finite(F.col("embedding")))
+    fixed = rows.select("vec_id", vectors.scaled_floor(F.col("embedding"), 1024, 100_000).alias("x"))
+    return whitening.whiten(fixed, "x", "vec_id", components=8)
+
+
 def llm_queries() -> dict:
     registered = (
         op1_ngram_jaccard,
@@ -203,9 +253,12 @@ def llm_queries() -> dict:
         op8_source_mix,
         op9_quality_rules,
         op10_toxicity,
+        op11_html_extraction,
+        op12_hard_negatives,
+        op13_whitening,
     )
     return {f.__name__: f for f in registered}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL, "op4_line_dedup": OP4_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op4_line_dedup": OP4_SQL, "op12_hard_negatives": OP12_SQL}

@@ -13,4 +13,4 @@ def test_matches_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in llm_queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in llm_queries()] == list(range(1, 14))
