@@ -1,18 +1,17 @@
 """Line dedup by a log-template tree.
 
-A line's path in the tree has fixed depth: its number of tokens, then its leading tokens. Tokens
-with a digit are variable fields, but at least half of the tokens a template fixes are constant: a
-line with more variable fields has no template and must agree in every token. In a leaf, the other tokens form three groups of
-neighbours, and a template leaves at most one group variable: two lines share a template if they
-agree in path and in all groups, or in all but one. Lines of few tokens must agree in all. Lines of
-fewer than ``least_tokens`` tokens are no templates: they must agree in every token, digits included.
-
-A template recurs when lines of at least two documents have it (and, for short lines, at least
-``least_short_lines`` lines), a line of fewer than ``least_tokens`` tokens when at least
-``least_documents`` different documents have it; its lines stay in the document of the lowest id and
-are dropped from all others. Lines without a token always stay.
-
-Keys are counted before they are shuffled, and a line is shuffled as a few numbers. A frequent
+A line's path in the tree has fixed depth: its number of tokens, then its leading tokens. In a leaf, a
+template fixes all other tokens but for its variable fields. A token with a digit is a field, if there are at most
+``most_fields`` of them and at least half of the tokens that the template fixes are constant; if there are more, they must
+agree as they are. A line of ``least_open`` tokens or more has three more templates, each with one open field of
+``field`` tokens: behind the leading tokens, in the middle, or at the end. Lines of fewer than ``least_tokens`` tokens must
+agree in every token, digits included. Two lines share a template if they agree in all that it fixes.
+
+A template recurs when lines of at least two different documents have it, whatever its length; its lines stay in
+the document of the lowest id and are dropped from all others. Lines without a token always stay.
+
+Lines leave their document before anything else happens, so a row never holds a text beside its lines. Keys are
+counted before they are shuffled, and a line is shuffled as a few numbers. A frequent
 template is one row on one side of a join, so the other side can be split.
 
 Defined results: a null text stays null and has no lines; null ids count as the highest id; rows
@@ -51,40 +50,36 @@ def fields(tokens: Column) -> Column:
     return F.size(F.filter(tokens, lambda t: t == FIELD))
 
 
-def template_keys(line: Column, tokens: Column, depth: int, groups: int, least_grouped: int) -> Column:
-    """Hashes of the templates a line has: with no group variable, then with each one variable.
+def template_keys(
+    line: Column, tokens: Column, depth: int, field: int, most_fields: int, least_tokens: int, least_open: int
+) -> Column:
+    """Hashes of the templates a line has: without an open field, then with each."""
+    def steady(count: Column, of: Column) -> Column:
+        return (count <= most_fields) & (2 * count <= of)
 
-    A line of mostly variable fields has the hash of all its tokens as they are.
-    """
     def keys(ts: Column) -> Column:
         n = F.size(ts)
-        width = F.greatest(F.ceil((n - depth) / groups).cast("int"), F.lit(1))
-        path = F.xxhash64(n, F.array_join(F.slice(ts, 1, depth), " "))
-
-        def slice_of(k: int) -> Column:
-            return F.slice(ts, F.lit(depth + 1) + k * width, width)
-
-        def group(k: int) -> Column:
-            return F.xxhash64(F.array_join(slice_of(k), " "))
-
-        def constant_beside(k: int) -> Column:
-            return 2 * (fields(ts) - fields(slice_of(k))) <= n - F.size(slice_of(k))
-
-        def combined(parts: Column) -> Column:
-            whole = F.xxhash64(path, *(parts[k] for k in range(groups)))
-            open_ones = [
-                F.xxhash64(path, F.lit(g), *(parts[k] for k in range(groups) if k != g)) for g in range(groups)
-            ]
-            steady = F.array(whole, *open_ones)
-            checked = F.array_compact(F.array(whole, *(F.when(constant_beside(g), k) for g, k in enumerate(open_ones))))
-            grouped = F.when(F.array_contains(ts, FIELD), checked).otherwise(steady)
-            return (
-                F.when(F.array_contains(ts, FIELD) & (2 * fields(ts) > n), F.array(line_key(line)))
-                .when(n >= least_grouped, grouped)
-                .otherwise(F.array(whole))
-            )
-
-        return let(F.array(*(group(k) for k in range(groups))), combined)
+        has_field = F.array_contains(ts, FIELD)
+        middle = F.lit(depth) + F.floor((n - depth - field) / 2).cast("int")
+        opened = (F.lit(depth), middle, n - field)  # where open fields begin
+
+        def part(begin: Column, end: Column) -> Column:
+            return F.xxhash64(F.array_join(F.slice(ts, begin + 1, end - begin), " "))
+
+        edges = [F.lit(0), opened[0], opened[0] + field, opened[1], opened[1] + field, opened[2], n]
+        parts = F.array(*(part(b, e) for b, e in zip(edges, edges[1:])))
+
+        def without(k: int) -> Column:
+            own = F.slice(ts, opened[k] + 1, field)
+            sound = ~has_field | steady(fields(ts) - fields(own), n - field)
+            key = let(parts, lambda ps: F.xxhash64(n, F.lit(k), *(ps[i] for i in range(6) if i != 2 * k + 1)))
+            return F.when(sound, key)
+
+        by_line = (n < least_tokens) | (has_field & ~steady(fields(ts), n))
+        whole = F.when(by_line, line_key(line)).otherwise(F.xxhash64(n, F.array_join(ts, " ")))
+        return F.when(n < least_open, F.array(whole)).otherwise(
+            F.array_compact(F.array(whole, *(without(k) for k in range(3))))
+        )
 
     return let(tokens, keys)
 
@@ -92,57 +87,38 @@ def template_keys(line: Column, tokens: Column, depth: int, groups: int, least_g
 def dropped_lines(
     docs: DataFrame,
     depth: int = 3,
-    groups: int = 3,
+    field: int = 3,
+    most_fields: int = 3,
     least_tokens: int = 4,
-    least_grouped: int = 12,
-    least_short_lines: int = 10,
-    short: int = 8,
-    least_documents: int = 10,
+    least_open: int = 12,
 ) -> DataFrame:
     """``doc_id, text_hash, dropped``: the numbers (from 0) of the lines to drop, for rows that have some."""
-    lines = docs.select(
+    if least_open < depth + 3 * field:
+        raise ValueError("open fields must not overlap")
+    # The hash and the lines are made one step before the lines are exploded: the text does not go with each line.
+    cut = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(HIGHEST)).alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.split("text", "\n", -1)).alias("line", "content"),
-    ).where(F.col("content").rlike(NO_BREAK))  # lines with a token
-    numbered = lines.select("doc_id", "text_hash", "line", "content", tokens_of(F.col("content")).alias("tokens"))
-    whole = F.size("tokens") < least_tokens
+        F.split("text", "\n", -1).alias("lines"),
+    )
+    lines = cut.select("doc_id", "text_hash", F.posexplode("lines").alias("line", "content"))
     path = fresh_path(docs.sparkSession, "line_keys")
-    numbered.select(
+    content = F.col("content")
+    lines.where(content.rlike(NO_BREAK)).select(  # lines with a token
         "doc_id",
         "text_hash",
         "line",
-        (F.size("tokens") < short).alias("is_short"),
-        whole.alias("is_whole"),
         F.explode(
-            F.when(whole, F.array(line_key(F.col("content")))).otherwise(
-                template_keys(F.col("content"), F.col("tokens"), depth, groups, least_grouped)
-            )
+            template_keys(content, tokens_of(content), depth, field, most_fields, least_tokens, least_open)
         ).alias("key"),
     ).write.parquet(path)
     keys = docs.sparkSession.read.parquet(path)
-    templates = (
-        keys.where(~F.col("is_whole"))
-        .groupBy("key")
-        .agg(
-            F.min("doc_id").alias("first"),
-            F.max("doc_id").alias("last"),
-            F.count("*").alias("n"),
-            F.max("is_short").alias("is_short"),
-        )
-        .where((F.col("first") < F.col("last")) & (~F.col("is_short") | (F.col("n") >= least_short_lines)))
-        .select("key", "first")
-    )
-    whole_lines = (  # one row for each line and document, and partial counts of these, so no key is in one task
-        keys.where("is_whole")
-        .select("key", "doc_id")
-        .distinct()
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-        .where(F.col("n") >= F.greatest(F.lit(least_documents), F.lit(2)))
+    recurring = (
+        keys.groupBy("key")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where(F.col("first") < F.col("last"))
         .select("key", "first")
     )
-    recurring = templates.union(whole_lines)
     return (
         keys.join(recurring, "key")
         .where(F.col("doc_id") > F.col("first"))
@@ -158,9 +134,12 @@ def drop_recurring_lines(docs: DataFrame, prefix: str = "__", **options) -> Data
     )
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(HIGHEST))
     both = docs.join(gone, (key == F.col("__line_doc")) & (F.xxhash64("text") == F.col("__line_hash")), "left")
-    left = F.array_join(
-        F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("__dropped", i)), "\n"
-    )
+
+    def rest(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__dropped")  # by a hash set, in order
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    left = let(F.split("text", "\n", -1), rest)
     return both.select(
         *(F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias(f"{prefix}n_lines"),

@@ -109,19 +109,22 @@ WITH docs AS (
 ), lines AS (
   SELECT doc_id, unnest(lines) AS content, generate_subscripts(lines, 1) - 1 AS line FROM docs
 ), tokens AS (
-  SELECT doc_id, line, list_filter(string_split_regex(
-    regexp_replace(content, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+'), lambda t: t <> '') AS t
-  FROM lines
-), grouped AS (
-  SELECT doc_id, line, len(t) AS n, t[1:3] AS path, t[4:3 + w] AS a, t[4 + w:3 + 2 * w] AS b, t[4 + 2 * w:3 + 3 * w] AS c
-  FROM (SELECT *, CAST(greatest(ceil((len(t) - 3) / 3.0), 1) AS INTEGER) AS w FROM tokens WHERE len(t) >= 4)
+  SELECT doc_id, line, list_filter(string_split_regex(content, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS r FROM lines
+), masked AS (
+  SELECT *, len(r) AS n, list_transform(r, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS t
+  FROM tokens WHERE len(r) > 0
+), counted AS (
+  SELECT *, len(list_filter(t, lambda w: w = '<*>')) AS f FROM masked
+), opened AS (
+  SELECT *, unnest([3, 3 + (n - 6) // 2, n - 3]) AS gap FROM counted WHERE n >= 12
 ), keys AS (
-  SELECT doc_id, line, n, unnest(CASE WHEN n < 12 THEN [(n, path, 0, a, b, c)]
-    ELSE [(n, path, 0, a, b, c), (n, path, 1, [], b, c), (n, path, 2, a, [], c), (n, path, 3, a, b, [])] END) AS key
-  FROM grouped
+  SELECT doc_id, line, CASE WHEN n < 4 OR f > 3 OR 2 * f > n THEN (0, 0, r, r) ELSE (1, n, t, t) END AS key FROM counted
+  UNION ALL
+  SELECT doc_id, line, (2, gap, t[1:gap], t[gap + 4:len(t)]) FROM (
+    SELECT *, f - len(list_filter(t[gap + 1:gap + 3], lambda w: w = '<*>')) AS fixed FROM opened
+  ) WHERE fixed <= 3 AND 2 * fixed <= n - 3
 ), recurring AS (
-  SELECT key, min(doc_id) AS first FROM keys GROUP BY key
-  HAVING min(doc_id) < max(doc_id) AND (max(n) >= 8 OR count(*) >= 10)
+  SELECT key, min(doc_id) AS first FROM keys GROUP BY key HAVING min(doc_id) < max(doc_id)
 ), dropped AS (
   SELECT DISTINCT doc_id, line FROM keys JOIN recurring USING (key) WHERE doc_id > first
 ), kept AS (

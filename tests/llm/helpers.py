@@ -92,32 +92,38 @@ def plain_stats(text):
     return len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
 
 
+def plain_templates(line):
+    """All templates of a line."""
+    raw = WORD.findall(line)
+    ts = ["<*>" if re.search("[0-9]", w) else w for w in raw]
+    n = len(ts)
+
+    def steady(fixed):
+        fields = fixed.count("<*>")
+        return fields <= 3 and 2 * fields <= len(fixed)
+
+    if not n:
+        return []
+    found = [("template", *ts) if n >= 4 and steady(ts) else ("line", *raw)]
+    if n >= 12:
+        for k, at in enumerate((3, 3 + (n - 6) // 2, n - 3)):
+            fixed = ts[:at] + ts[at + 3 :]
+            if steady(fixed):
+                found.append((k, *fixed))
+    return found
+
+
 def plain_line_dedup(rows):
     """{(doc_id, text): text left} by the rules of the template tree."""
-    highest = 2**63 - 1
-    templates = defaultdict(list)
+    owners = defaultdict(set)
     keyed = []
     for doc_id, text in rows:
+        own = 2**63 - 1 if doc_id is None else doc_id
         for at, line in enumerate(text.split("\n") if text is not None else []):
-            ts = WORD.findall(re.sub(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>", line))
-            n = len(ts)
-            if n < 4:
-                continue
-            width = max(-(-(n - 3) // 3), 1)
-            groups = [tuple(ts[3 + g * width : 3 + (g + 1) * width]) for g in range(3)]
-            path = (n, tuple(ts[:3]))
-            keys = [(path, None, *groups)]
-            if n >= 12:
-                keys += [(path, g, *(x for i, x in enumerate(groups) if i != g)) for g in range(3)]
-            for key in keys:
-                own = highest if doc_id is None else doc_id
-                templates[key].append(own)
-                keyed.append((key, n, own, doc_id, text, at))
-    gone = set()
-    for key, n, own, doc_id, text, at in keyed:
-        ids = templates[key]
-        if own > min(ids) and (n >= 8 or len(ids) >= 10):
-            gone.add((doc_id, text, at))
+            for key in plain_templates(line):
+                owners[key].add(own)
+                keyed.append((key, own, doc_id, text, at))
+    gone = {(doc_id, text, at) for key, own, doc_id, text, at in keyed if own > min(owners[key])}
     return {
         (d, t): None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, t, i) not in gone)
         for d, t in rows

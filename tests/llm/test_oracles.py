@@ -8,8 +8,9 @@ from tests.conftest import SMALL
 
 
 @pytest.mark.parametrize("name", list(llm_oracles()))
-def test_matches_sql(spark, name):
-    assert_same(llm_queries()[name](spark, SMALL), duck(SMALL), llm_oracles()[name])
+@pytest.mark.parametrize("folder", [SMALL, SMALL.replace("0.001", "0.01")])
+def test_matches_sql(spark, name, folder):
+    assert_same(llm_queries()[name](spark, folder), duck(folder), llm_oracles()[name])
 
 
 def test_one_query_for_each_operator():
