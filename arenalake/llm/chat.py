@@ -1,7 +1,12 @@
 """Chat formatting: a state machine over roles, and text segments with loss flags from a template.
 
+The machine reads the roles of a conversation in order and writes one symbol a turn: the state it is in
+now, and whether the turn's text bears loss. Segments and loss flags are made from these symbols. From the first turn
+without a transition on, the state is ``out_of_order``; texts of loss roles bear loss there as well.
+
 Everything is a Spark expression. A conversation becomes one string, so its turns meet in one row;
-that is the result asked for, and no other grouping happens.
+that is the result asked for, and no other grouping happens. Symbols are gathered in blocks of turns, so long
+conversations cost no more a turn than short ones.
 
 Defined results: a null text is empty; a null role is the role named by the empty string; a null
 ``conv_id`` is a conversation of its own; turns sort by number (nulls first), then role, then text,
@@ -17,6 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+OUT_OF_ORDER = "out_of_order"
+BLOCK = 512
+
+
 @dataclass(frozen=True)
 class ChatTemplate:
     """A declarative template.
@@ -44,6 +53,15 @@ class ChatTemplate:
     )
     final: tuple[str, ...] = ("answered",)
 
+    @property
+    def states(self) -> list[str]:
+        named = [self.start, *(to for _, to in self.transitions.items()), *(state for state, _ in self.transitions)]
+        return list(dict.fromkeys([*named, OUT_OF_ORDER]))
+
+    def symbol(self, state: str, loss: bool) -> str:
+        """One character for a state and a loss flag."""
+        return chr(ord("0") + 2 * self.states.index(state) + loss)
+
     def __post_init__(self) -> None:
         if self.escape not in self.letters or len(set(self.letters.values())) != len(self.letters):
             raise ValueError("the escape character needs a letter, and letters must differ")
@@ -67,22 +85,52 @@ def unescaped(text: Column, template: ChatTemplate) -> Column:
     return text
 
 
-def role_order(roles: Column, template: ChatTemplate) -> Column:
-    """The state after all turns; ``out_of_order`` from the first turn that has no transition."""
-    step = F.create_map(
-        *(F.lit(x) for (state, role), to in template.transitions.items() for x in (f"{state}\n{role}", to))
-    )
+def run_machine(roles: Column, template: ChatTemplate) -> Column:
+    """The symbols that the machine writes for the turns: an array of one for each."""
+    writes = {}
+    for state in template.states:
+        for (known, role), to in template.transitions.items():
+            if known == state:
+                symbol = template.symbol(to, role in template.loss_roles)
+                for loss in (False, True):  # the machine reads only the state of the last symbol
+                    writes[template.symbol(state, loss) + role] = symbol
+    table = F.create_map(*(F.lit(x) for pair in writes.items() for x in pair)) if writes else F.lit(None).cast("map<string,string>")
+    astray = F.lit(template.symbol(OUT_OF_ORDER, False))
+    astray_loss = F.lit(template.symbol(OUT_OF_ORDER, True))
+
+    def step(a: Column, role: Column) -> Column:
+        other = F.when(role.isin(*template.loss_roles), astray_loss).otherwise(astray)
+        now = F.coalesce(F.try_element_at(table, F.concat(a["last"], role)), other)
+        return F.struct(now.alias("last"), F.concat(a["written"], now).alias("written"))
+
+    def block(a: Column, begin: Column) -> Column:
+        """Runs over so many turns, and adds what it wrote at once."""
+        empty = F.struct(a["last"].alias("last"), F.lit("").alias("written"))
+        done = F.aggregate(F.slice(roles, begin, BLOCK), empty, step)
+        return F.transform(
+            F.array(done), lambda d: F.struct(d["last"].alias("last"), F.concat(a["written"], d["written"]).alias("written"))
+        )[0]
+
+    start = F.struct(F.lit(template.symbol(template.start, False)).alias("last"), F.lit("").alias("written"))
+    begins = F.when(F.size(roles) > 0, F.sequence(F.lit(1), F.size(roles), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    written = F.aggregate(begins, start, block)["written"]
+    return F.filter(F.split(written, ""), lambda c: c != "")
+
+
+def state_of(symbol: Column, template: ChatTemplate) -> Column:
+    names = {template.symbol(state, loss): state for state in template.states for loss in (False, True)}
+    return F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), symbol)
 
-    def follow(state: Column, role: Column) -> Column:
-        return F.coalesce(F.try_element_at(step, F.concat(state, F.lit("\n"), role)), F.lit("out_of_order"))
 
-    return F.aggregate(roles, F.lit(template.start), follow)
+def bears_loss(symbol: Column, template: ChatTemplate) -> Column:
+    return symbol.isin(*(template.symbol(state, True) for state in template.states))
 
 
 def format_conversations(turns: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
     """One row per conversation: ``conv_id, segments, formatted, state, valid``.
 
-    ``segments`` is an array of (text, loss) whose texts concatenate to ``formatted``.
+    ``segments`` is an array of (text, loss) whose texts concatenate to ``formatted``; ``state`` is the machine's after
+    the last turn, and a conversation is valid if it is a final one.
     """
     rows = turns.select(
         "conv_id",
@@ -96,19 +144,20 @@ def format_conversations(turns: DataFrame, template: ChatTemplate = ChatTemplate
     def segment(text: Column, loss: Column) -> Column:
         return F.struct(text.alias("text"), loss.alias("loss"))
 
-    def of_turn(t: Column) -> Column:
+    def of_turn(t: Column, symbol: Column) -> Column:
         head = F.concat(F.lit(template.head), escaped(t["role"], template), F.lit(template.sep))
         return F.array(
             segment(head, F.lit(False)),
-            segment(escaped(t["text"], template), t["role"].isin(*template.loss_roles)),
+            segment(escaped(t["text"], template), bears_loss(symbol, template)),
             segment(F.lit(template.tail), F.lit(False)),
         )
 
     joined = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    states = joined.select(
+    run = joined.withColumn("symbols", run_machine(F.transform("turns", lambda t: t["role"]), template))
+    states = run.select(
         "conv_id",
-        F.flatten(F.transform("turns", of_turn)).alias("segments"),
-        role_order(F.transform("turns", lambda t: t["role"]), template).alias("state"),
+        F.flatten(F.zip_with("turns", "symbols", of_turn)).alias("segments"),
+        state_of(F.element_at("symbols", -1), template).alias("state"),
     )
     return states.select(
         "conv_id",

@@ -49,6 +49,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = chat.format_conversations(turns)
     back = done.select(
         "conv_id",
+        "state",
         "valid",
         chat.read_turns(F.col("formatted")).alias("turns"),
         chat.loss_text(F.col("segments")).alias("loss"),
@@ -62,6 +63,8 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
+        "state",
+        "valid",
     )
 
 
@@ -71,13 +74,17 @@ WITH turns AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), sized AS (
-  SELECT *, length(role || text) + length(regexp_replace(role || text, '[^\\#<:]', '', 'g')) + 15 AS formatted FROM turns
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before, length(role || text) + length(regexp_replace(role || text, '[^\\#<:]', '', 'g')) + 15 AS formatted FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(formatted) AS BIGINT) AS formatted_chars
+  CAST(sum(formatted) AS BIGINT) AS formatted_chars,
+  CASE WHEN NOT bool_and(coalesce(before, 'start') || ' ' || role IN
+      ('start system', 'start user', 'system user', 'user assistant', 'assistant user')) THEN 'out_of_order'
+    ELSE CASE arg_max(role, turn) WHEN 'user' THEN 'asked' WHEN 'assistant' THEN 'answered' ELSE 'system' END END AS state,
+  state = 'answered' AS valid
 FROM sized GROUP BY conv_id
 """
 

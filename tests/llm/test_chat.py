@@ -76,3 +76,39 @@ def test_query_equals_plain_digest(spark):
     assert rows[-7]["loss_sha256"] == hashlib.sha256(hard.encode()).hexdigest()
     source = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     assert len(rows) == 1 + source.select("conv_id").distinct().count()
+
+
+def test_machine_runs_in_the_plan_of_the_query(spark):
+    from arenalake.llm.queries import op2_chat_formatting
+
+    plan = op2_chat_formatting(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "written" in plan and "out_of_order" in plan
+
+
+def plain_machine(roles, template):
+    state, out = template.start, []
+    for role in roles:
+        state = template.transitions.get((state, role), chat.OUT_OF_ORDER)
+        out.append((state, role in template.loss_roles))
+    return out
+
+
+def test_symbols_equal_a_plain_machine(spark):
+    import random
+
+    r = random.Random(3)
+    template = chat.ChatTemplate()
+    rows = [[r.choice(["user", "assistant", "assistant", "system", ""]) for _ in range(n)] for n in (0, 1, 2, 3, 5, 40)]
+    rows += [["user", "assistant"] * n for n in (1, chat.BLOCK // 2, 2 * chat.BLOCK + 7)]
+    rows += [["system", *["user", "assistant"] * 600, "system", "user", "assistant"]]
+    frame = spark.createDataFrame([(k, x) for k, x in enumerate(rows)], "k long, roles array<string>")
+    found = frame.select("k", chat.run_machine(F.col("roles"), template).alias("s")).collect()
+    names = {template.symbol(s, loss): (s, loss) for s in template.states for loss in (False, True)}
+    for row in found:
+        assert [names[c] for c in row["s"]] == plain_machine(rows[row["k"]], template)
+
+
+def test_long_conversation(spark):
+    turns = spark.range(100_000).selectExpr("1L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('t', id) text")
+    row = chat.format_conversations(turns).select("state", "valid", F.size("segments").alias("n"), F.length(chat.loss_text(F.col("segments"))).alias("l")).first()
+    assert tuple(row) == ("answered", True, 300_000, sum(len(f"t{k}") for k in range(1, 100_000, 2)))
