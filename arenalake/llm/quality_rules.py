@@ -237,17 +237,22 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 8_000, **op
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample_rows)
     )
-    # At most sample_rows pairs of numbers: a bounded broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # At most sample_rows pairs of numbers: a bounded broadcast. The statistics come after the grouping, so
+    # that they are of these documents alone; of several texts of an id one counts, by its hash.
+    chosen = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id", "__quality")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
     by_name = features()
     found = (
-        with_stats(rows)
-        .where("n_words > 0")
-        .groupBy("doc_id")
-        .agg(F.min("__quality").alias("q"), *(F.min(by_name[n]).alias(n) for n in FEATURES))
+        with_stats(chosen)
+        .select("doc_id", "n_words", F.col("__quality").alias("q"), *(by_name[n].alias(n) for n in FEATURES))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .collect()
     )
+    found = [r for r in found if r["n_words"]]
     if not found:
         return []
     x = np.array([[r[n] for n in FEATURES] for r in found], float)
@@ -273,6 +278,12 @@ def base_failed(prefix: str = "") -> Column:
     return (words < 20) | (100 * repeats > 30 * words)
 
 
+def passes_base_rule(text: Column) -> Column:
+    """Whether a text by itself passes the base rule."""
+    counts = text_stats(text)["words"]
+    return let(counts, lambda c: (c["n_words"] >= 20) & (100 * c["n_repeat_words"] <= 30 * c["n_words"]))
+
+
 def judge(docs: DataFrame, rules: list[Rule], prefix: str = "") -> DataFrame:
     """``docs`` with its statistics, ``base_failed``, ``rejected_by`` and ``kept``."""
     known = with_stats(docs, prefix)
