@@ -127,7 +127,7 @@ def routing_keys(found: np.ndarray, rule: Rule) -> np.ndarray:
 
 
 def document_nodes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, n_shingles, node`` for each document; node is null for an empty set."""
+    """``doc_id, text_hash, n_shingles, node`` for each document; node is null for an empty set."""
 
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -135,16 +135,17 @@ def document_nodes(docs: DataFrame, rule: Rule) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"].astype("Int64"),
+                    "text_hash": frame["text_hash"],
                     "n_shingles": [len(s) for s in sets],
                     "node": pd.array([identity(s) if len(s) else None for s in sets], "Int64"),
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        describe, "doc_id long, n_shingles long, node long"
-    )
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return named.mapInPandas(describe, NODE)
 
 
+NODE = "doc_id long, text_hash long, n_shingles long, node long"
 PAIR = np.dtype([("key", "<u8"), ("node", "<i8")])
 
 
@@ -333,12 +334,31 @@ def block_links(rows: DataFrame, keys: list[str], rule: Rule, parts: int) -> Dat
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys, "node").mapInPandas(find, EDGE)
 
 
-def document_components(
+def document_components(docs: DataFrame, rule: Rule = Rule(), **options) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for each document: the least id of the documents linked with it."""
+    groups = document_groups(docs, rule, **options)
+    ids = groups.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return groups.join(ids, "root", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def representatives(groups: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, n``: one text of each group, of the lowest id and hash, and how many rows have it.
+
+    Documents without words are in no group and not among these.
+    """
+    rows = groups.where("root IS NOT NULL").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("d")
+    return rows.groupBy("root").agg(least).select("d.doc_id", "d.text_hash", "d.n")
+
+
+def document_groups(
     docs: DataFrame, rule: Rule = Rule(), block: int = 2_048, most_broadcast: int = 1_000_000
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for each document."""
+    """``doc_id, text_hash, n_shingles, root`` for each document; the root names its group, null without words."""
     parts = default_blocks(docs)
-    nodes = written(document_nodes(docs, rule), "join_nodes", "doc_id long, n_shingles long, node long")
+    nodes = written(document_nodes(docs, rule), "join_nodes", NODE)
     families = written(components(family_edges(docs, rule), "families"), "families", "node long, root long")
     large = written(
         families.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") > block),
@@ -367,7 +387,9 @@ def document_components(
     if not placed.where("blocks > 1").isEmpty():
         links = links.unionByName(between_blocks(texts, placed, links, rule, parts))
     joined = components(links, "linked")
-    return labelled(nodes, joined)
+    return nodes.join(joined, "node", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("root", "node").alias("root")
+    )
 
 
 def member_texts(docs: DataFrame, nodes: DataFrame, placed: DataFrame, most_broadcast: int, rule: Rule) -> DataFrame:
@@ -411,14 +433,3 @@ def between_blocks(texts: DataFrame, placed: DataFrame, links: DataFrame, rule:
         "node", "family", "text", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     return block_links(pairs, ["family", "i", "j"], rule, parts)
-
-
-def labelled(nodes: DataFrame, joined: DataFrame) -> DataFrame:
-    """Component ids for all documents: the least id of the component's documents."""
-    of_node = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    rooted = of_node.join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_each = rooted.join(ids, "root").select("node", "component_id")
-    return nodes.join(of_each, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
