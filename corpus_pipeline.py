@@ -7,10 +7,11 @@ stage takes five words and 80 percent. Rows with an equal id and text share ever
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arenalake.llm import line_templates, mixing, quality_rules, signature_join, unigram
+from arenalake.llm.components import written
 from arenalake.llm.queries import tokenizer_file
 from arenalake.sources.tables import read_table
 from arenalake.storage import fresh_path
@@ -26,21 +27,40 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines whose template an earlier document has; ``n_chars`` follows the text."""
+    """Documents without the lines whose template an earlier document has; ``n_chars`` follows the text.
+
+    Documents that lost lines are judged by the base rule of stage one again: what is left of a copy, or
+    nothing, goes. Documents that lost none stay.
+    """
     done = line_templates.drop_recurring_lines(docs)
+    lost = F.col("__n_dropped") > 0
     size = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return done.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, size).otherwise(F.col("n_chars"))).select(*docs.columns)
+    sound = quality_rules.passes_base_rule(F.when(lost, F.col("text")))
+    kept = done.where(~lost | sound)
+    return kept.withColumn("n_chars", F.when(lost, size).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one of the lowest id.
+    """One row of each group of near-duplicates: the text of the lowest id (null ids last) and, of several
+    texts of that id, of the lowest hash.
 
-    Documents without words are in no group, and stay. Of several rows with the id that stays, all
-    stay; a row without an id stays only if its group has no id.
+    Rows without words are in no group, and stay.
     """
-    found = signature_join.document_components(docs, signature_join.Rule(words=5, percent=80))
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(keep.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    groups = written(
+        signature_join.document_groups(docs, signature_join.Rule(words=5, percent=80)),
+        "groups",
+        "doc_id long, text_hash long, n_shingles long, root long",
+    )
+    chosen = signature_join.representatives(groups).select(
+        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("n").alias("__n")
+    )
+    own = F.xxhash64("text")
+    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__doc")) & (own == F.col("__hash")))
+    # Only texts that come in several equal rows are shuffled for it.
+    again = Window.partitionBy("__doc", "__hash").orderBy(F.xxhash64(*(c for c in docs.columns if c != "text")))
+    first = kept.where("__n > 1").withColumn("__rank", F.row_number().over(again)).where("__rank = 1")
+    wordless = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(line_templates.NO_BREAK))
+    return kept.where("__n = 1").select(*docs.columns).unionByName(first.select(*docs.columns)).unionByName(wordless)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
