@@ -42,26 +42,38 @@ def stamp(seconds: str) -> str:
 TARGETS = "('2023_2024', '2025_2026')"
 
 _SEATS = """
+numbered AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY l_orderkey
+    ORDER BY (l_partkey * 31 + l_suppkey * 7 + l_linenumber) % 4096 NULLS FIRST, l_partkey NULLS FIRST,
+             l_suppkey NULLS FIRST, l_linenumber NULLS FIRST, l_quantity NULLS FIRST,
+             l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+             l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) - 1 AS number
+  FROM lineitem
+),
 seats AS (
-  SELECT l_orderkey, CAST((l_linenumber - 1) % 10 AS BIGINT) AS seat, min(l_suppkey) AS hero,
-         min(l_partkey) AS part, CAST(sum(l_quantity) AS BIGINT) % 30 AS kills,
-         count(*) AS deaths, CAST(round(max(l_tax) * 100) AS BIGINT) AS assists,
-         max(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS won,
-         max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS gone,
-         CAST(floor(max(l_extendedprice)) AS BIGINT) AS gold,
-         CAST(sum(l_quantity) AS BIGINT) * 100 AS xp
-  FROM lineitem GROUP BY ALL
+  SELECT l_orderkey + (number // 10) * 1099511627776 AS doc_id, number % 10 AS seat, l_suppkey AS hero,
+         l_partkey AS part, CAST(l_quantity AS BIGINT) % 30 AS kills, CAST(l_linenumber AS BIGINT) AS deaths,
+         CAST(round(l_tax * 100) AS BIGINT) AS assists,
+         CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS won,
+         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS gone,
+         CAST(floor(l_extendedprice) AS BIGINT) AS gold, CAST(l_quantity AS BIGINT) * 100 AS xp
+  FROM numbered
 )"""
 
 _DOCS = f"""
+placed AS (
+  SELECT *, unnest(range(coalesce((lines + 9) // 10, 1))) AS document
+  FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS lines FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
+),
 docs AS (
-  SELECT o_orderkey AS match_id, {epoch("o_orderdate")} AS start_time,
+  SELECT o_orderkey + document * 1099511627776 AS match_id, {epoch("o_orderdate")} AS start_time,
          {epoch("o_orderdate")} + copy * 86400 AS loaded,
          CASE WHEN copy = 1 OR o_orderstatus = 'O' THEN 'public_matches'
               WHEN o_orderstatus = 'F' THEN 'pro_matches' ELSE 'unknown' END AS source_stream,
          CASE WHEN o_orderkey % 101 <> 7 THEN {label(epoch("o_orderdate"))} END AS recency_window,
          {label(epoch("o_orderdate"))} AS derived_window,
-         CASE WHEN o_orderkey % 97 <> 5 THEN o_orderkey END AS payload_id,
+         CASE WHEN o_orderkey % 97 <> 5 THEN o_orderkey + document * 1099511627776 END AS payload_id,
          CAST(900 + CAST(floor(o_totalprice) AS BIGINT) % 3600 AS BIGINT) AS duration_seconds,
          (o_orderkey % 2 = 0) <> (copy = 1) AS radiant_win,
          o_orderkey % 8 AS lobby_type, o_orderkey % 23 AS game_mode,
@@ -71,7 +83,7 @@ docs AS (
          CASE WHEN NOT (copy = 1 OR o_orderstatus = 'O')
               THEN 'League ' || CAST(o_custkey % 50 AS VARCHAR) END AS league_name,
          o_custkey, copy
-  FROM orders JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR o_orderpriority = '1-URGENT'
+  FROM placed JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR o_orderpriority = '1-URGENT'
 ),
 ranked AS (
   SELECT *, row_number() OVER (
@@ -97,7 +109,7 @@ fct_player AS (
   SELECT CAST(match_id AS VARCHAR) || '-' || CAST(player_slot AS VARCHAR) AS player_match_key,
          *, player_slot < 128 AS is_radiant
   FROM (SELECT match_id, source_stream, recency_window, {_PLAYER}
-        FROM ranked JOIN seats ON l_orderkey = match_id WHERE rn = 1)
+        FROM ranked JOIN seats ON doc_id = match_id WHERE rn = 1)
   WHERE player_slot IS NOT NULL AND hero_id > 0
 ),
 joined AS (
@@ -431,8 +443,8 @@ def all_oracles() -> dict[str, str]:
         (_DOCS, _SEATS),
         f"""SELECT match_id, start_time, source_stream, derived_window AS recency_window,
        duration_seconds AS payload_duration, n AS player_count, {at} AS loaded_at
-FROM docs LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM seats GROUP BY 1)
-  ON l_orderkey = match_id""",
+FROM docs LEFT JOIN (SELECT doc_id, count(*) AS n FROM seats GROUP BY 1)
+  ON doc_id = match_id""",
     )
     return {
         "scan_jsonl_payloads": _sql(
@@ -502,7 +514,7 @@ WHERE m.match_id IN (SELECT l_orderkey FROM lineitem)""",
             (_DOCS, _NORMALIZED, _SEATS),
             f"""SELECT *, coalesce(player_slot, 0) < 128 AS is_radiant FROM (
   SELECT stream AS source_stream, w AS recency_window, payload_id AS match_id, {_PLAYER}
-  FROM lines JOIN seats ON l_orderkey = match_id)""",
+  FROM lines JOIN seats ON doc_id = match_id)""",
         ),
         "hero_rows": _sql(
             (_HEROES,),
@@ -569,8 +581,8 @@ FROM ends""",
             (_DOCS, _SEATS),
             f"""SELECT match_id, source_stream, recency_window, start_time,
        {stamp("loaded")} AS loaded_at, CAST(coalesce(n, 0) AS BIGINT) AS player_count
-FROM ranked LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM seats GROUP BY 1)
-  ON l_orderkey = match_id WHERE rn = 1""",
+FROM ranked LEFT JOIN (SELECT doc_id, count(*) AS n FROM seats GROUP BY 1)
+  ON doc_id = match_id WHERE rn = 1""",
         ),
         "fct_player_match": _sql(CORE, "SELECT * FROM fct_player"),
         "player_match_join": _sql(CORE, "SELECT * FROM joined"),

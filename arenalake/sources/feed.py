@@ -1,21 +1,24 @@
 """A telemetry feed derived from the order tables, in the shapes that the API and the loader use.
 
-An order is a match, a line of it a seat. Repeated line numbers of an order are one seat with
-accumulated stats, and there are ten seats, so a match document is bounded however many lines an
-order has; lines are pre-aggregated before the shuffle. Dates move forward by 9,497 days so that
-all windows occur. Some keys are absent, some labels null and some matches come twice: the
+Each line of an order is a player. Ten lines make a match, so an order of many lines becomes several
+documents, which differ in their id and their players; an order without lines is a match without players. Dates move
+forward by 9,497 days so that all windows occur. Some keys are absent, some labels null and some matches come twice: the
 pipeline has to cope with such records.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from arenalake.functions.windows import epoch_to_ntz, recency_window
 from arenalake.sources.tables import read_table
 
 SHIFT_SECONDS = 9497 * 86400
 SEATS = 10
+#: Ids of an order's second, third, ... document are this far apart.
+DOCUMENT_STEP = 1 << 40
+#: Lines of an order are numbered in so many parts, so that no task has all lines of an order.
+LINE_PARTS = 4096
 PAGE_SIZE = 100
 INGESTED_AT = "2026-01-01T00:00:00+00:00"
 URGENT = "1-URGENT"
@@ -36,27 +39,60 @@ def _once_or_twice(twice: Column) -> Column:
     return F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
 
 
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their number within the order, from 0, by part and then by all columns.
+
+    Equal lines are counted first. A line's number is its place within its part of the order plus the
+    sizes of the parts before, so neither a window nor a join has all lines of an order in one task.
+    """
+    table = read_table(spark, sf_dir, "lineitem")
+    order = [c for c in table.columns if c != "l_orderkey"]
+    mixed = F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
+    lines = table.groupBy(*table.columns).agg(F.count("*").alias("copies")).withColumn("part", F.pmod(mixed, F.lit(LINE_PARTS)))
+    sizes = lines.groupBy("l_orderkey", "part").agg(F.sum("copies").alias("size"))
+    so_far = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = sizes.select(
+        "l_orderkey",
+        "part",
+        F.coalesce(F.sum("size").over(so_far.partitionBy("l_orderkey").orderBy("part")), F.lit(0)).alias("offset"),
+    )
+    inside = F.coalesce(F.sum("copies").over(so_far.partitionBy("l_orderkey", "part").orderBy(*order)), F.lit(0))
+    first = F.col("inside") + F.col("offset")
+    return (
+        lines.withColumn("inside", inside)
+        .join(parts, ["l_orderkey", "part"])
+        .withColumn("number", F.explode(F.sequence(first, first + F.col("copies") - 1)))
+        .drop("part", "offset", "inside", "copies")
+    )
+
+
 def seats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One array of at most ten seats per order."""
-    seat = (F.col("l_linenumber") - 1) % SEATS
-    per_seat = (
-        read_table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", seat.cast("int").alias("seat"))
-        .agg(
-            F.min("l_suppkey").alias("hero"),
-            F.min("l_partkey").alias("part"),
-            (F.sum("l_quantity").cast("bigint") % 30).alias("kills"),
-            F.count("*").alias("deaths"),
-            F.round(F.max("l_tax") * 100).cast("bigint").alias("assists"),
-            F.max(F.when(F.col("l_linestatus") == "F", 1).otherwise(0)).alias("won"),
-            F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("left"),
-            F.floor(F.max("l_extendedprice")).alias("gold"),
-            (F.sum("l_quantity").cast("bigint") * 100).alias("xp"),
-        )
+    """``l_orderkey, document, seats``: arrays of at most ten; document 0 of each order, also without lines."""
+    number = F.col("number")
+    seat = F.struct(
+        (number % SEATS).cast("int").alias("seat"),
+        F.col("l_suppkey").alias("hero"),
+        F.col("l_partkey").alias("part"),
+        (F.col("l_quantity").cast("bigint") % 30).alias("kills"),
+        F.col("l_linenumber").cast("bigint").alias("deaths"),
+        F.round(F.col("l_tax") * 100).cast("bigint").alias("assists"),
+        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("won"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("left"),
+        F.floor("l_extendedprice").alias("gold"),
+        (F.col("l_quantity").cast("bigint") * 100).alias("xp"),
+    )
+    of_lines = numbered_lines(spark, sf_dir).select(
+        "l_orderkey", F.floor(number / SEATS).alias("document"), seat.alias("seat")
     )
-    members = F.struct(*[c for c in per_seat.columns if c != "l_orderkey"])
-    return per_seat.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(members)).alias("seats")
+    at_least_one = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("bigint").alias("document")
+    )
+    players = F.sort_array(F.collect_list("seat"))
+    return (
+        of_lines.unionByName(at_least_one, allowMissingColumns=True)
+        .groupBy("l_orderkey", "document")
+        .agg(players.alias("seats"))
+        .withColumn("seats", F.when(F.size("seats") > 0, F.col("seats")))
     )
 
 
@@ -83,10 +119,9 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelope columns, ``loaded_at`` and the payload as a struct; urgent orders come twice."""
     orders = read_table(spark, sf_dir, "orders")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    match_id = key + F.col("document") * DOCUMENT_STEP
     # A shuffle join: the documents are built by as many tasks as there are shuffle partitions.
-    joined = orders.join(
-        seats(spark, sf_dir).hint("merge"), orders["o_orderkey"] == F.col("l_orderkey"), "left"
-    )
+    joined = orders.join(seats(spark, sf_dir).hint("merge"), orders["o_orderkey"] == F.col("l_orderkey"))
     rows = joined.withColumn("copy", _once_or_twice(F.col("o_orderpriority") == URGENT))
     start = _epoch(F.col("o_orderdate"))
     stream = (
@@ -96,7 +131,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     league = _absent_if(stream == "public_matches", customer % 50)
     payload = F.struct(
-        _absent_if(key % 97 == 5, key).alias("match_id"),
+        _absent_if(key % 97 == 5, match_id).alias("match_id"),
         start.alias("start_time"),
         (900 + F.floor("o_totalprice") % 3600).alias("duration"),
         ((key % 2 == 0) != (F.col("copy") == 1)).alias("radiant_win"),
@@ -111,7 +146,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("seats", lambda seat: _player(seat, customer)).alias("players"),
     )
     return rows.select(
-        key.alias("match_id"),
+        match_id.alias("match_id"),
         start.alias("start_time"),
         stream.alias("source_stream"),
         _absent_if(key % 101 == 7, recency_window(start)).alias("recency_window"),
