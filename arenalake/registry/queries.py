@@ -192,7 +192,7 @@ def load_raw_pro_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         return feed.pro_pages(session, folder).select(F.to_json("entries").alias("value"))
 
     path = landed_lines(spark, sf_dir, "pro_arrays", ("orders",), arrays)
-    rows = json_files.load_raw_pro_matches(spark, path, LOADED_AT, one_array_per_line=True)
+    rows = json_files.load_raw_pro_matches(spark, path, LOADED_AT)
     return rows.drop("raw_payload")
 
 

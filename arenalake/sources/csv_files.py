@@ -8,6 +8,7 @@ from urllib.parse import unquote
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from arenalake.sources.csv_records import read_split_csv
 from arenalake.sources.schemas import MANIFEST, MANIFEST_COLUMNS
 
 
@@ -82,4 +83,4 @@ def read_manifests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """A mart export as text columns, named by its header; text may have line breaks."""
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return read_split_csv(spark, path)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from arenalake.config import DEFAULTS, Settings
 from arenalake.functions.windows import calendar_window
+from arenalake.sources.json_arrays import read_split_arrays
 from arenalake.sources.schemas import ENTRY, ENVELOPE, MANIFEST_COLUMNS, RAW_TABLES
 
 
@@ -42,8 +43,8 @@ def read_json_array(
 ) -> DataFrame:
     """One VARIANT column ``record`` per array element.
 
-    A whole-file array is read by one task per file, so keep such files within the size
-    bound of ``admit_resources``; large inputs should land with one array per line.
+    Here a whole-file array is read by one task per file; ``json_arrays.read_split_arrays`` reads
+    files of any size.
     """
     reader = spark.read.option("singleVariantColumn", "doc").option("mode", "FAILFAST")
     documents = reader.option("multiLine", not one_array_per_line).json(path)
@@ -52,6 +53,13 @@ def read_json_array(
     )
 
 
+def read_records(spark: SparkSession, path: str | list[str], one_array_per_line: bool) -> DataFrame:
+    """Elements of arrays; lines of arrays split at line ends, other files anywhere."""
+    if one_array_per_line:
+        return read_json_array(spark, path, one_array_per_line=True)
+    return read_split_arrays(spark, path)
+
+
 def read_snapshot(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Records of an earlier raw snapshot, as ``write_records`` stores them; empty if missing."""
     return _or_empty(spark, "record variant", lambda: read_json_lines(spark, path))
@@ -108,7 +116,7 @@ def load_raw_hero_stats(
     """Hero snapshot arrays as rows of ``raw_hero_stats``; heroes without an id are dropped."""
 
     def read() -> DataFrame:
-        heroes = read_json_array(spark, path, one_array_per_line=one_array_per_line)
+        heroes = read_records(spark, path, one_array_per_line)
         return heroes.select(
             F.variant_get("record", "$.id", "bigint").alias("hero_id"),
             F.col("record").alias("raw_payload"),
@@ -129,7 +137,7 @@ def load_raw_pro_matches(
     """Pro match arrays as rows of ``raw_pro_matches``; the label comes from the calendar year."""
 
     def read() -> DataFrame:
-        matches = read_json_array(spark, path, one_array_per_line=one_array_per_line)
+        matches = read_records(spark, path, one_array_per_line)
         typed = matches.select(
             F.variant_get("record", "$.match_id", "bigint").alias("match_id"),
             F.variant_get("record", "$.start_time", "bigint").alias("start_time"),

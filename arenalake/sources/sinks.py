@@ -21,14 +21,12 @@ def write_progress(progress: DataFrame, path: str) -> None:
     progress.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-# Text stays as it is: outer spaces, quotes and line breaks survive. Parts are bounded, because a
-# reader of text with line breaks cannot split them.
+# Text stays as it is: outer spaces, quotes and line breaks survive.
 EXACT_CSV = {
     "header": True,
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
-    "maxRecordsPerFile": 1_000_000,
 }
 
 
