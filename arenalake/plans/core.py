@@ -46,7 +46,11 @@ def selected_payloads(
     The players are read before the ranking: the shuffle carries a few numbers per player
     instead of whole documents.
     """
-    rows = raw_matches.where(F.col("match_id").isNotNull()).select(
+    return preferred_payloads(typed_payloads(raw_matches, fields), settings)
+
+
+def typed_payloads(raw_matches: DataFrame, fields: tuple[str, ...] = PLAYER_FIELDS) -> DataFrame:
+    return raw_matches.where(F.col("match_id").isNotNull()).select(
         "match_id",
         "source_stream",
         "recency_window",
@@ -54,6 +58,10 @@ def selected_payloads(
         "loaded_at",
         players(F.col("raw_payload"), fields).alias("players"),
     )
+
+
+def preferred_payloads(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The preferred one of typed rows; also of winners of earlier rankings and new rows."""
     order = [
         stream_rank(F.col("source_stream"), settings).asc(),
         F.col("loaded_at").desc_nulls_first(),
@@ -89,11 +97,12 @@ def fct_player_match(
     ``fields`` narrows the payload reads for a consumer that needs a few attributes only.
     """
     needed = needed_fields(fields)
-    rows = explode_players(
-        selected_payloads(raw_matches, settings, needed),
-        ("match_id", "source_stream", "recency_window"),
-        needed,
-    )
+    return player_fact(selected_payloads(raw_matches, settings, needed), needed, settings)
+
+
+def player_fact(payloads: DataFrame, needed: tuple[str, ...] = PLAYER_FIELDS, settings: Settings = DEFAULTS) -> DataFrame:
+    """The player fact from preferred payloads."""
+    rows = explode_players(payloads, ("match_id", "source_stream", "recency_window"), needed)
     rows = rows.withColumn(
         "player_match_key",
         F.concat(F.col("match_id").cast("string"), F.lit("-"), F.col("player_slot").cast("string")),

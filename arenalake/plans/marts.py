@@ -77,19 +77,27 @@ def hero_window_metrics(player_rows: DataFrame) -> DataFrame:
     )
 
 
+def hero_counts(player_rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Picks and wins of each hero, a column per window."""
+    counted = []
+    for label in settings.labels:
+        here = F.col("recency_window") == label
+        counted.append(F.sum(flag(here)).alias(f"picks {label}"))
+        counted.append(F.sum(flag(here & (F.col("win") == 1))).alias(f"wins {label}"))
+    return player_rows.groupBy("hero_id").agg(*counted)
+
+
 def _hero_rates(player_rows: DataFrame, settings: Settings) -> DataFrame:
+    return _rates_of(hero_counts(player_rows, settings), settings)
+
+
+def _rates_of(counts: DataFrame, settings: Settings) -> DataFrame:
     """One row per hero: struct column per window with picks, win rate, total and pick rate.
 
     The struct is null for a window without picks. The totals are a scalar subquery over the
     same shuffled counts: one pass over the player rows, and nothing depends on how many heroes
     there are.
     """
-    counted = []
-    for label in settings.labels:
-        here = F.col("recency_window") == label
-        counted.append(F.sum(flag(here)).alias(f"picks {label}"))
-        counted.append(F.sum(flag(here & (F.col("win") == 1))).alias(f"wins {label}"))
-    counts = player_rows.groupBy("hero_id").agg(*counted)
     # The filter is always true. It keeps the columns of both uses equal, which lets Spark reuse
     # the exchange.
     used = F.greatest(*[F.col(f"`wins {label}`") for label in settings.labels]) >= 0
@@ -198,7 +206,12 @@ def mart_hero_meta_shift(
     Heroes of one window only have null pivot and delta columns, heroes outside the dimension
     null attributes.
     """
-    pivot = _with_pivot(_hero_rates(player_rows, settings), settings)
+    return meta_shift_of(hero_counts(player_rows, settings), dim_heroes, settings)
+
+
+def meta_shift_of(counts: DataFrame, dim_heroes: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The hero mart from the counts of ``hero_counts``."""
+    pivot = _with_pivot(_rates_of(counts, settings), settings)
     moved = with_deltas(pivot, settings).withColumns(
         {name: F.when(_in_both_windows(), F.col(name)) for name in PIVOT_COLUMNS}
     )
@@ -238,13 +251,24 @@ def match_metrics(matches: DataFrame) -> DataFrame:
     Matches are summed per patch and league first, so the distinct counts expand a few groups
     and not every match.
     """
+    return match_metrics_of(match_groups(matches))
+
+
+MATCH_GROUP = ("recency_window", "patch", "league_id")
+
+
+def match_groups(matches: DataFrame) -> DataFrame:
+    """Sums of the matches of each window, patch and league."""
     duration = F.col("duration_seconds")
-    groups = matches.groupBy("recency_window", "patch", "league_id").agg(
+    return matches.groupBy(*MATCH_GROUP).agg(
         F.count("*").alias("matches"),
         F.sum(duration).alias("seconds"),
         F.count(duration).alias("timed"),
         F.sum(flag(F.col("radiant_win"))).alias("radiant"),
     )
+
+
+def match_metrics_of(groups: DataFrame) -> DataFrame:
     mean_seconds = ratio(F.sum("seconds"), F.sum("timed"))
     return groups.groupBy("recency_window").agg(
         F.sum("matches").alias("match_count"),
@@ -262,9 +286,12 @@ def mart_liveops_summary(
 
     The player rows must have a target label on their own raw row, too.
     """
-    players = distinct_counts(player_rows)
-    # At most one row per target window.
-    matches = F.broadcast(match_metrics(in_target_windows(fct_match, settings)))
+    return summary_of(distinct_counts(player_rows), match_metrics(in_target_windows(fct_match, settings)))
+
+
+def summary_of(players: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The activity mart from the counts of players and of matches per window."""
+    matches = F.broadcast(metrics)  # at most one row per target window
     return players.join(matches, "recency_window").select(
         "recency_window",
         "match_count",
@@ -294,7 +321,11 @@ def account_window_status(player_rows: DataFrame, settings: Settings = DEFAULTS)
         F.max(flag(F.col("recency_window") == label)).alias(f"seen {label}")
         for label in settings.labels
     ]
-    accounts = known.groupBy("account_id").agg(F.min("start_time").alias("first_seen"), *seen)
+    return status_of(known.groupBy("account_id").agg(F.min("start_time").alias("first_seen"), *seen), settings)
+
+
+def status_of(accounts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The status rows from a row per account: ``first_seen`` and a flag for each window."""
     present = [F.when(F.col(f"`seen {label}`") == 1, label) for label in settings.labels]
     status = accounts.select(
         "account_id", "first_seen", F.explode(F.array(*present)).alias("recency_window")
@@ -310,7 +341,12 @@ def mart_returning_player_proxy(
 
     A status row is already unique per window and account, so plain counts are distinct counts.
     """
-    counts = account_window_status(player_rows, settings).groupBy("recency_window").agg(
+    return returning_of(account_window_status(player_rows, settings))
+
+
+def returning_of(status: DataFrame) -> DataFrame:
+    """The returning-player mart from its status rows."""
+    counts = status.groupBy("recency_window").agg(
         F.count("*").alias("known_account_count"),
         F.sum("is_returning_account").alias("returning_account_count"),
     )
