@@ -6,6 +6,10 @@ with a softmax follows.
 Embeddings and layer are trained together in numpy on at most ``sample_rows`` labelled documents,
 half of them of each class where there are as many. Unseen spellings share n-grams with known ones.
 
+With few labels, thousands of words that a document has by chance would explain its label. So a second table of
+embeddings learns from words alone whose share of documents differs between the classes beyond chance, while the
+scores of single other words are held at zero, so that shared n-grams mean nothing. The evidence of both adds up.
+
 The fitted model is linear in the buckets, so a score needs one number per bucket: that table goes
 to the tasks (its size is a parameter), which score whole texts.
 
@@ -17,6 +21,7 @@ alone, so repeated rows get equal scores. Other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,24 +88,41 @@ class Model:
         return np.add.reduceat(self.weights[found], begin[:-1]) / np.diff(begin)
 
 
-class Vocabulary(dict):
-    """Numbers words as they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = len(self)
-        return self[word]
-
-    def bag(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the distinct words, and each one's share of all words."""
-        numbers, counts = np.unique(np.fromiter(map(self.__getitem__, words), np.int32, len(words)), return_counts=True)
-        return numbers, (counts / (len(words) + NEUTRAL)).astype(np.float32)
+@dataclass(frozen=True)
+class Counts:
+    """The words of a labelled document, how often it has each, and its label."""
+
+    words: list[bytes]
+    counts: list[int]
+    toxic: bool
+
+    def shares(self, numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words that have one, and each one's share of all words."""
+        own = [(numbers[w], c) for w, c in zip(self.words, self.counts) if w in numbers] or [(0, 0)]
+        found, counts = zip(*own)
+        return np.array(found, np.int32), (np.array(counts) / (sum(self.counts) + NEUTRAL)).astype(np.float32)
+
+
+def telling_words(docs: list[Counts], least: float, rows: int = 3) -> set[bytes]:
+    """Words of at least ``rows`` documents whose share differs between the classes by ``least`` standard errors."""
+    size = [sum(d.toxic == c for d in docs) for c in (False, True)]
+    have = [Counter(w for d in docs if d.toxic == c for w in d.words) for c in (False, True)]
+    found = set()
+    for w in have[0].keys() | have[1].keys():
+        both = have[0][w] + have[1][w]
+        if rows <= both < len(docs):
+            p = both / len(docs)
+            error = np.sqrt(p * (1 - p) * (1 / size[0] + 1 / size[1]))
+            if abs(have[1][w] / size[1] - have[0][w] / size[0]) >= least * error:
+                found.add(w)
+    return found
 
 
 def bucket_shares(
-    vocabulary: Vocabulary, bags: list[tuple[np.ndarray, np.ndarray]], buckets: int, shortest: int, longest: int
+    vocabulary: list[bytes], bags: list[tuple[np.ndarray, np.ndarray]], buckets: int, shortest: int, longest: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """How many buckets each document has, these buckets, and their weights in its vector."""
-    subs, begin = subwords(list(vocabulary), buckets, shortest, longest)
+    subs, begin = subwords(vocabulary, buckets, shortest, longest)
     subs, many = subs.astype(np.int32), np.diff(begin)
     columns, parts = [], []
     for words, shares in bags:
@@ -111,24 +133,37 @@ def bucket_shares(
 
 
 def train(
-    vocabulary: Vocabulary,
-    bags: list[tuple[np.ndarray, np.ndarray]],
-    toxic: np.ndarray,
+    docs: list[Counts],
     share: float,
+    telling: float | None = None,
     buckets: int = 1 << 17,
     size: int = 4,
     shortest: int = 3,
     longest: int = 5,
     epochs: int = 12,
+    least_steps: int = 600,
     batch: int = 64,
     rate: float = 0.05,
     decay: float = 3e-4,
+    held: float = 0.01,
+    held_words: int = 512,
     seed: int = 7,
-) -> Model:
-    """Adam over minibatches. ``share`` is the share of toxic documents outside the balanced sample."""
+) -> Model | None:
+    """Adam over minibatches, at least ``least_steps`` of them. ``share`` is that of toxic documents outside the sample.
+
+    With ``telling``, only such words tell documents apart, and ``held_words`` others a step are held at zero.
+    """
     random = np.random.default_rng(seed)
-    sizes, columns, parts = bucket_shares(vocabulary, bags, buckets, shortest, longest)
+    every = sorted({w for d in docs for w in d.words})
+    kept = every if telling is None else sorted(telling_words(docs, telling))
+    if not kept:
+        return None
+    numbers = {w: k for k, w in enumerate(kept)}
+    others = [] if telling is None else [w for w in every if w not in numbers]
+    sizes, columns, parts = bucket_shares(kept, [d.shares(numbers) for d in docs], buckets, shortest, longest)
     begin = np.concatenate([[0], np.cumsum(sizes)])
+    other_subs, other_begin = subwords(others, buckets, shortest, longest) if others else (None, None)
+    toxic = np.array([d.toxic for d in docs])
     params = {
         "e": random.normal(0, 0.1, (buckets, size)).astype(np.float32),
         "w": random.normal(0, 0.5, (size, 2)).astype(np.float32),
@@ -136,24 +171,38 @@ def train(
     }
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
     target = np.eye(2, dtype=np.float32)[toxic.astype(int)]
+    in_epoch = -(-len(docs) // batch)
+    epochs = max(epochs, -(-least_steps // in_epoch)) if telling is not None else epochs
     steps = 0
     for epoch in range(epochs):
         pace = rate * (1 - epoch / epochs)
-        order = random.permutation(len(bags))
+        order = random.permutation(len(docs))
         for at in range(0, len(order), batch):
-            docs = order[at : at + batch]
-            many = sizes[docs]
-            inner = _ranges(begin[docs], many)
+            rows = order[at : at + batch]
+            many = sizes[rows]
+            inner = _ranges(begin[rows], many)
             hit, part = columns[inner], parts[inner]
             vectors = np.add.reduceat(params["e"][hit] * part[:, None], np.cumsum(many) - many)
             logits = vectors @ params["w"] + params["b"]
             p = np.exp(logits - logits.max(1, keepdims=True))
-            off = (p / p.sum(1, keepdims=True) - target[docs]) / len(docs)
+            off = (p / p.sum(1, keepdims=True) - target[rows]) / len(rows)
             back = np.repeat(off @ params["w"].T, many, axis=0) * part[:, None]
+            layer_grad = vectors.T @ off
+            if others:
+                words = random.integers(0, len(others), held_words)
+                subs = np.diff(other_begin)[words]
+                hit_too = other_subs[_ranges(other_begin[words], subs)]
+                inverse = np.repeat(1 / subs, subs).astype(np.float32)[:, None]
+                found = np.add.reduceat(params["e"][hit_too] * inverse, np.cumsum(subs) - subs)
+                layer = params["w"][:, 1] - params["w"][:, 0]
+                pull = (2 * held / held_words) * (found @ layer)
+                back = np.concatenate([back, np.repeat(pull[:, None] * layer, subs, axis=0) * inverse])
+                hit = np.concatenate([hit, hit_too])
+                layer_grad = layer_grad + np.outer(pull @ found, [-1, 1])
             of_each = [np.bincount(hit, back[:, d], buckets) for d in range(size)]
             grads = {
-                "e": np.stack(of_each, 1).astype(np.float32) + np.float32(decay / len(docs)) * params["e"],
-                "w": vectors.T @ off,
+                "e": np.stack(of_each, 1).astype(np.float32) + np.float32(decay / len(rows)) * params["e"],
+                "w": layer_grad,
                 "b": off.sum(0),
             }
             steps += 1
@@ -169,6 +218,15 @@ def train(
     return Model(params["e"] @ layer, float(params["b"][1] - params["b"][0] + shift), shortest, longest)
 
 
+def train_both(docs: list[Counts], share: float, telling: float, **options) -> Model:
+    """Two tables of embeddings under one softmax: the evidence of all words and that of telling ones add up."""
+    every, some = train(docs, share, **options), train(docs, share, telling, **options)
+    if some is None:
+        return every
+    prior = float(np.log(share / (1 - share)))
+    return Model(every.weights + some.weights, every.bias + some.bias - prior, every.shortest, every.longest)
+
+
 def sample_labels(labels: DataFrame, sample_rows: int) -> tuple[DataFrame, float]:
     """At most ``sample_rows`` labelled ids, half of each class, by a hash of the id; and the toxic share."""
     known = (
@@ -184,21 +242,25 @@ def sample_labels(labels: DataFrame, sample_rows: int) -> tuple[DataFrame, float
     return halves[0].unionByName(halves[1]), float(share or 0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6_000, **options) -> Model:
-    """Train on a bounded sample; texts come to the driver one partition at a time, as word counts."""
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6_000, telling: float = 4.0, **options) -> Model:
+    """Train on a bounded sample, of which the driver gets word counts."""
     sample, share = sample_labels(labels, sample_rows)
     # At most sample_rows pairs of numbers: a bounded broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found, vocabulary = [], Vocabulary()
-    for row in rows.sortWithinPartitions("doc_id", F.xxhash64("text")).toLocalIterator():
-        if words := words_of(row["text"]):
-            found.append((row["doc_id"], vocabulary.bag(words), row["toxic"]))
-    found.sort(key=lambda x: x[0])
-    toxic = np.array([x[2] for x in found], bool)
-    if len(set(toxic.tolist())) < 2:
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("of_text")).join(F.broadcast(sample), "doc_id")
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            counted = [Counter(words_of(t)) for t in frame["text"]]
+            columns = {"words": [list(c) for c in counted], "counts": [list(c.values()) for c in counted]}
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "of_text": frame["of_text"], "toxic": frame["toxic"], **columns})
+
+    counts = rows.mapInPandas(count, "doc_id long, of_text long, toxic int, words array<binary>, counts array<long>")
+    read = sorted(counts.toLocalIterator(), key=lambda r: (r["doc_id"], r["of_text"]))
+    found = [Counts([bytes(w) for w in r["words"]], r["counts"], r["toxic"] == 1) for r in read if r["words"]]
+    if len({d.toxic for d in found}) < 2:
         odds = np.log(share / (1 - share)) if 0 < share < 1 else 50.0 if share else -800.0
         return Model(np.zeros(1), float(odds), 3, 3)
-    return train(vocabulary, [x[1] for x in found], toxic, share, **options)
+    return train_both(found, share, telling, **options)
 
 
 def score(docs: DataFrame, model: Model, kept: int = 200_000, column: str = "score") -> DataFrame:

@@ -47,8 +47,9 @@ def test_learns_words_and_their_misspellings(spark):
     assert np.mean([found[k] for k in range(1, 60, 2)]) > np.mean([found[k] for k in range(0, 60, 2)]) + 0.2
 
 
-def test_held_out_labels(spark):
-    docs, labels = (read_table(spark, "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
+def held_out(spark, folder):
+    """Scores of held-out toxic documents and of the others."""
+    docs, labels = (read_table(spark, folder, n) for n in ("documents", "labels"))
     fold = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     model = toxicity.fit(docs, labels.where(~fold))
     rows = toxicity.score(docs.join(labels.where(fold), "doc_id", "left_semi"), model).join(labels, "doc_id").collect()
@@ -56,7 +57,23 @@ def test_held_out_labels(spark):
     score = np.array([r["score"] for r in rows])
     ranks = score.argsort().argsort()
     area = (ranks[bad].mean() - (bad.sum() - 1) / 2) / (~bad).sum()
-    assert area > 0.9 and (score[~bad] >= 0.3).mean() < 0.06 and (score[bad] >= 0.3).mean() > 0.6
+    return area, (score[bad] >= 0.3).mean(), (score[~bad] >= 0.3).mean()
+
+
+def test_held_out_labels(spark):
+    area, found, wrong = held_out(spark, "/root/testdata/sf0.1")
+    assert area > 0.9 and wrong < 0.06 and found > 0.6
+
+
+def test_held_out_labels_after_a_few_hundred(spark):
+    area, found, wrong = held_out(spark, "/root/testdata/sf0.01")
+    assert found > 0.6 and wrong < 0.03, (area, found, wrong)
+
+
+def test_telling_words():
+    docs = [toxicity.Counts([b"the", b"bad" if k % 4 == 0 else b"good", b"w%d" % k], [2, 1, 1], k % 4 == 0) for k in range(40)]
+    assert toxicity.telling_words(docs, 4.0) == {b"bad", b"good"}
+    assert docs[0].shares({b"bad": 5})[0].tolist() == [5] and docs[0].shares({})[1].tolist() == [0]
 
 
 def test_awkward_rows_and_labels(spark):
