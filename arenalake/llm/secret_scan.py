@@ -60,20 +60,33 @@ CLASS = 8  # classes of probability to a factor of e
 LONGEST = 256  # longer runs weigh as much as these
 
 
+SPAN = "struct<start:int,end:int,text:string>"
+PLACES = 512  # matches that are gathered at a time, and
+STRETCH = 4096  # code points of a stretch of text: both keep the work a match the same in texts of any length
+
+
 def matches(text: Column, pattern: str, group: int, least: int) -> Column:
-    """Spans (start, end) of the leftmost matches whose group is long enough."""
+    """Spans (start, end, text) of the leftmost matches whose group is long enough."""
     def spans(known: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
             start = state["at"] + F.length(F.get(known["gaps"], i))
             end = start + F.length(F.get(known["found"], i))
-            own = F.when(
-                F.length(F.get(known["inner"], i)) >= least, F.array(F.struct(start.alias("start"), end.alias("end")))
-            ).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+            span = F.struct(start.alias("start"), end.alias("end"), F.get(known["found"], i).alias("text"))
+            own = F.when(F.length(F.get(known["inner"], i)) >= least, F.array(span)).otherwise(none_of(f"array<{SPAN}>"))
             return F.struct(end.alias("at"), F.concat(state["out"], own).alias("out"))
 
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-        places = F.filter(F.sequence(F.lit(0), F.size(known["found"])), lambda i: i < F.size(known["found"]))
-        return F.aggregate(places, zero, step)["out"]
+        def some(state: Column, first: Column) -> Column:
+            """The spans of the next places, added as one array."""
+            last = F.least(first + PLACES, F.size(known["found"])) - 1
+            zero = F.struct(state["at"].alias("at"), none_of(f"array<{SPAN}>").alias("out"))
+            return let(
+                F.aggregate(F.sequence(first, last), zero, step),
+                lambda d: F.struct(d["at"].alias("at"), F.concat(state["out"], F.array(d["out"])).alias("out")),
+            )
+
+        firsts = F.sequence(F.lit(0), F.size(known["found"]) - 1, F.lit(PLACES))
+        zero = F.struct(F.lit(0).alias("at"), none_of(f"array<array<{SPAN}>>").alias("out"))
+        return F.when(F.size(known["found"]) > 0, F.flatten(F.aggregate(firsts, zero, some)["out"])).otherwise(none_of(f"array<{SPAN}>"))
 
     found = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
@@ -83,6 +96,24 @@ def matches(text: Column, pattern: str, group: int, least: int) -> Column:
     return let(found, spans)
 
 
+def apart_from(spans: Column, others: Column, size: Column) -> Column:
+    """The spans that no other one overlaps: others are first dealt to the stretches of the text they touch."""
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.floor(size / STRETCH).cast("int")),
+        lambda k: F.filter(others, lambda o: (o["start"] < (k + 1) * STRETCH) & (o["end"] > k * STRETCH)),
+    )
+
+    def free(by_stretch: Column) -> Column:
+        def overlapped(s: Column) -> Column:
+            first = F.floor(s["start"] / STRETCH).cast("int")
+            touched = F.slice(by_stretch, first + 1, F.floor(s["end"] / STRETCH).cast("int") - first + 1)
+            return F.exists(touched, lambda part: F.exists(part, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+
+        return F.filter(spans, lambda s: ~overlapped(s))
+
+    return F.when(F.size(others) > 0, let(stretches, free)).otherwise(spans)
+
+
 def _of_kind(place: int):
     return lambda s: F.struct(s["start"].alias("start"), F.lit(place).alias("kind"), s["end"].alias("end"))
 
@@ -190,10 +221,7 @@ def run_spans(text: Column) -> Column:
     full = F.coalesce(text, F.lit(""))
     spans = F.transform(
         matches(full, RUN, 0, LEAST),
-        lambda s: let(
-            F.substr(full, s["start"] + 1, s["end"] - s["start"]),
-            lambda run: F.struct(s["start"].alias("start"), s["end"].alias("end"), run_tests(run).alias("test")),
-        ),
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), run_tests(s["text"]).alias("test")),
     )
     kind = "array<struct<start:int,end:int,test:struct<n:int,random:boolean,p:double>>>"
     return F.when(full.rlike(RUN), spans).otherwise(none_of(kind))
@@ -235,12 +263,11 @@ def scan(docs: DataFrame, mean_length: float, least_class: int | None, prefix: s
     if least_class is None:
         return known.withColumn(prefix + "all", F.col(prefix + "base"))
     base = F.col(prefix + "base")
-    random = F.filter(
+    likely = F.filter(
         run_spans(F.col("text")),
-        lambda r: r["test"]["random"]
-        & (weighted_class(r["test"], mean_length) >= least_class)
-        & ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
+        lambda r: r["test"]["random"] & (weighted_class(r["test"], mean_length) >= least_class),
     )
+    random = let(likely, lambda runs: apart_from(runs, base, F.length("text")))
     return known.withColumn(prefix + "all", F.array_sort(F.concat(base, F.transform(random, _of_kind(len(FORMS))))))
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import string
@@ -75,3 +76,67 @@ def test_empty_table(spark):
     docs = documents(spark, [])
     mean, least = secret_scan.fit_threshold(docs)
     assert least is None and secret_scan.scan(docs, mean, least).count() == 0
+
+
+def plain_battery(run):
+    """n, whether no test rejects randomness, and the chance that words look as uniform."""
+    signs, distance = next((s, d) for _, s, d in secret_scan.ALPHABETS if set(run) <= set(s))
+    v, n, k = [signs.index(c) for c in run], len(run), len(signs)
+
+    def tail(z):
+        return math.erfc(z / math.sqrt(2)) / 2
+
+    chi = sum(v.count(i) ** 2 for i in range(k)) * k / n - n
+    z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    side = [x >= k / 2 for x in v]
+    runs, high = 1 + sum(a != b for a, b in zip(side, side[1:])), sum(side)
+    expected = 2 * high * (n - high) / n
+    spread = expected * n * (expected * n - n) / (n * n * (n - 1))
+    z_runs = (runs - 1 - expected) / math.sqrt(spread) if spread > 0 else 99
+    moment = n * sum(x * x for x in v) - sum(v) ** 2
+    around = n * sum(a * b for a, b in zip(v, v[1:] + v[:1])) - sum(v) ** 2
+    z_serial = (around / moment + 1 / (n - 1)) * math.sqrt(n) if moment > 0 else 99
+    sound = tail(z_chi) >= 0.001 and 2 * tail(abs(z_runs)) >= 0.001 and 2 * tail(abs(z_serial)) >= 0.001
+    if not sound or distance is None:
+        return n, sound, 1.0
+    shift = n * distance
+    return n, sound, tail((k - 1 + shift - chi) / math.sqrt(2 * (k - 1) + 4 * shift))
+
+
+def test_battery_equals_a_plain_one_over_each_alphabet(spark):
+    r = random.Random(8)
+    runs = [[r.choice(signs) for _ in range(n)] for _, signs, _ in secret_scan.ALPHABETS for n in (20, 41, 200)]
+    runs += [sorted(x) for x in runs[:9]] + [list("ab" * 20), ["7"] * 30, ["z"] * 25]
+    rows = ["".join(x) for x in runs]
+    frame = spark.createDataFrame([(k, x) for k, x in enumerate(rows)], "k long, run string")
+    for row in frame.select("k", secret_scan.run_tests(F.col("run")).alias("t")).collect():
+        n, sound, p = plain_battery(rows[row["k"]])
+        assert (row["t"]["n"], row["t"]["random"]) == (n, sound), rows[row["k"]]
+        assert math.isclose(row["t"]["p"], max(p, 1e-300), rel_tol=1e-3, abs_tol=1e-6)
+
+
+def test_added_spans_equal_plain_ones(spark):
+    """All runs outside known forms whose weighted class reaches the threshold, from code points alone."""
+    rows = [(i, t, None, None, None) for i, t in enumerate(TRICKY + [f"é {b64encode(random.Random(k).randbytes(33)).decode()} x" for k in range(9)])]
+    mean, least = 60.0, 40
+    done = secret_scan.scan(documents(spark, rows), mean, least).select("text", "base", "all").collect()
+    added = 0
+    for row in done:
+        base = [(s["start"], s["end"]) for s in row["base"]]
+        expected = []
+        for m in re.finditer(secret_scan.RUN, row["text"]):
+            n, sound, p = plain_battery(m[0])
+            weighted = -math.log(min(max(p, 1e-300) / (min(n, secret_scan.LONGEST) / mean), 1.0))
+            if sound and math.floor(weighted * secret_scan.CLASS) >= least and not any(a < m.end() and m.start() < b for a, b in base):
+                expected.append((m.start(), m.end()))
+        assert [(s["start"], s["end"]) for s in row["all"] if s["kind"] == len(secret_scan.FORMS)] == expected
+        added += len(expected)
+    assert added >= 5
+
+
+def test_work_follows_the_length_of_a_text(spark):
+    r = random.Random(5)
+    runs = [r.randbytes(10).hex() if k % 2 else b64encode(r.randbytes(24)).decode() for k in range(60_000)]
+    docs = documents(spark, [(1, " ".join(runs), None, None, None)])
+    row = secret_scan.scan(docs, 30.0, 1).select(F.size("base").alias("b"), F.size("all").alias("a")).first()
+    assert row["b"] == 30_000 and row["a"] > 45_000
