@@ -638,6 +638,13 @@ WHERE recency_window IN {TARGETS}""",
         "dq_unique": _sql(ALL, _unique()),
         "dq_relationships": _sql(ALL, _relationships()),
         "dq_accepted_values": _sql(ALL, _accepted()),
+        "dq_suite": _sql(
+            ALL,
+            f"""SELECT * FROM ({_not_null()})
+UNION ALL SELECT * FROM ({_unique()}) WHERE model NOT LIKE 'stg_%'
+UNION ALL SELECT * FROM ({_relationships()})
+UNION ALL SELECT * FROM ({_accepted()}) WHERE model <> 'fct_match'""",
+        ),
         "validate_columns": _sql(
             ALL,
             """SELECT 'mart_liveops_summary' AS mart,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arenalake.operators import envelopes
+from arenalake.operators import envelopes, quality
 from arenalake.registry import queries as q
 from arenalake.registry.landing import landed
 from arenalake.sources import csv_files, feed, json_files, sinks
@@ -67,7 +67,7 @@ def sink_hero_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "hero-records")
     records = json_files.read_json_array(spark, q._hero_records(spark, sf_dir), one_array_per_line=True)
     sinks.write_records(records, path)
-    return envelopes.hero_rows(json_files.read_json_lines(spark, path))
+    return envelopes.hero_rows(json_files.read_snapshot(spark, path))
 
 
 def sink_raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,27 @@ def sink_raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(q._loaded(spark.table(f"{schema}.raw_matches")), schema)
 
 
+def sink_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "progress")
+    rows = q.backfill_progress(spark, sf_dir)
+    sinks.write_progress(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+def sink_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "report")
+    rows = q.validation_report(spark, sf_dir)
+    sinks.write_report(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All data checks, as the step of a run stores them."""
+    path = fresh_path(spark, "checks")
+    quality.run_checks(q.stored_models(spark, sf_dir)).write.json(path)
+    return spark.read.schema("check_name string, model string, column_name string, failures bigint").json(path)
+
+
 def model_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.models(spark, sf_dir).register_views()
     return spark.table("stg_matches")
@@ -135,6 +156,9 @@ ROUND_TRIPS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "sink_manifest_json": (sink_manifest_json, "scan_manifest"),
     "sink_hero_records": (sink_hero_records, "hero_rows"),
     "sink_raw_tables": (sink_raw_tables, "load_raw_matches"),
+    "dq_suite": (dq_suite, "dq_suite"),
+    "sink_progress": (sink_progress, "backfill_progress"),
+    "sink_report": (sink_report, "validation_report"),
     "model_views": (model_views, "stg_matches"),
     "core_tables": (core_tables, "fct_match"),
     "incremental_fct_match": (incremental_fct_match, "fct_match"),

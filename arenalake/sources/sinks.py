@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from arenalake.sources.schemas import MANIFEST_COLUMNS, RAW_TABLES
 
@@ -82,9 +82,16 @@ def ensure_raw_tables(spark: SparkSession, schema: str) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({columns}) USING parquet")
 
 
-def append_raw(rows: DataFrame, schema: str, name: str, *, replace: bool = False) -> None:
-    """Add rows to a raw table, or replace its content, in one distributed write."""
-    rows.write.insertInto(f"{schema}.{name}", overwrite=replace)
+def append_raw(rows: DataFrame, schema: str, name: str, *, replace: bool = False) -> dict[str, int]:
+    """Add rows to a raw table, or replace its content, in one distributed write.
+
+    Returns what the write itself has counted: its ``rows``, and for each column its nulls.
+    """
+    counted = Observation()
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in rows.columns]
+    seen = rows.observe(counted, F.count(F.lit(1)).alias("rows"), *nulls)
+    seen.write.insertInto(f"{schema}.{name}", overwrite=replace)
+    return counted.get
 
 
 def truncate_raw_tables(spark: SparkSession, schema: str) -> None:

@@ -12,13 +12,16 @@ from arenalake.operators.backfill import backfill_order, page_bounds, plan_backf
 from arenalake.operators.contracts import validation_report
 from arenalake.operators.envelopes import (
     build_envelopes,
+    hero_rows,
     match_snapshot,
     normalize_envelopes,
     player_snapshot,
 )
 from arenalake.operators.manifest import merge_manifests, newest_manifest, public_manifest
+from arenalake.operators.quality import run_checks
 from arenalake.plans.models import Models
 from arenalake.sources.csv_files import read_manifests
+from arenalake.sources.json_arrays import read_split_arrays
 from arenalake.sources.json_files import (
     explode_pages,
     load_raw_hero_stats,
@@ -27,6 +30,7 @@ from arenalake.sources.json_files import (
     read_cursor,
     read_json_lines,
     read_pages,
+    read_snapshot,
     utc_now,
 )
 from arenalake.sources.schemas import MANIFEST
@@ -38,6 +42,7 @@ from arenalake.sources.sinks import (
     write_json_lines,
     write_manifest,
     write_progress,
+    write_records,
     write_report,
     write_snapshot_csv,
 )
@@ -131,10 +136,11 @@ def load_raw(
     replace: bool = False,
     loaded_at: datetime | str | None = None,
     settings: Settings = DEFAULTS,
-) -> None:
+) -> dict[str, dict[str, int]]:
     """Append the landed files to the raw tables, or replace their content.
 
-    Missing files count as empty.
+    Missing files count as empty; array files may have any size. Returns for each table the number of rows
+    written and of nulls by column, counted by the write.
     """
     ensure_raw_tables(spark, schema)
     loads = {
@@ -142,8 +148,20 @@ def load_raw(
         "raw_hero_stats": load_raw_hero_stats(spark, hero_stats, loaded_at),
         "raw_pro_matches": load_raw_pro_matches(spark, pro_matches, loaded_at, settings=settings),
     }
-    for name, rows in loads.items():
-        append_raw(rows, schema, name, replace=replace)
+    return {name: append_raw(rows, schema, name, replace=replace) for name, rows in loads.items()}
+
+
+def hero_snapshot(spark: SparkSession, source: str, snapshot: str) -> DataFrame:
+    """Store the hero records as they came, and return the checked rows of those with id and name."""
+    write_records(read_split_arrays(spark, source), snapshot)
+    return hero_rows(read_snapshot(spark, snapshot))
+
+
+def check_models(models: Models, path: str) -> bool:
+    """Run all data checks, store their failure counts, and tell whether there are none."""
+    run_checks(models.named()).write.mode("overwrite").json(path)
+    spark = models.raw_matches.sparkSession
+    return spark.read.schema("failures bigint").json(path).where("failures > 0").isEmpty()
 
 
 def models_of(spark: SparkSession, schema: str, settings: Settings = DEFAULTS) -> Models:

@@ -26,7 +26,7 @@ def test_whole_run(spark, tmp_path):
     feed.hero_array_lines(spark, SMALL).write.text(heroes)
     schema = "workflow_test"
     for _ in range(2):
-        workflow.load_raw(
+        counts = workflow.load_raw(
             spark,
             schema,
             match_details=details,
@@ -39,6 +39,14 @@ def test_whole_run(spark, tmp_path):
     merged = merge_manifests(concat_manifests(manifests))
     expected = merged.count() - missing_payloads(merged, payloads).count()
     assert models.raw_matches.count() == expected
+    # The write has counted its rows and nulls.
+    assert counts["raw_matches"]["rows"] == expected and counts["raw_pro_matches"]["rows"] == 0
+    assert counts["raw_hero_stats"]["rows"] == models.raw_hero_stats.count() > 0
+    assert counts["raw_matches"]["null match_id"] == 0
+    labels = models.raw_matches.where("recency_window IS NULL").count()
+    assert counts["raw_matches"]["null recency_window"] == labels
+    checked = workflow.hero_snapshot(spark, heroes, str(tmp_path / "hero_snapshot"))
+    assert 0 < checked.count() <= spark.read.text(str(tmp_path / "hero_snapshot")).count()
 
     models = models.materialize_core("workflow_core", buckets=4)
     models.register_views()
@@ -49,6 +57,9 @@ def test_whole_run(spark, tmp_path):
     valid = workflow.export_and_validate(models, str(tmp_path / "out"), str(tmp_path / "report"))
     assert valid
     assert spark.read.json(str(tmp_path / "report")).first().is_valid
+    assert not workflow.check_models(models, str(tmp_path / "checks"))  # players without a known match or hero
+    failed = spark.read.json(str(tmp_path / "checks")).where("failures > 0").collect()
+    assert {r.check_name.split("_")[0] for r in failed} <= {"relationships", "not"}
     truncate_raw_tables(spark, schema)
     assert models.raw_matches.count() == 0
     assert not workflow.export_and_validate(
