@@ -336,13 +336,24 @@ def block_links(rows: DataFrame, keys: list[str], rule: Rule, parts: int) -> Dat
 
 def document_components(docs: DataFrame, rule: Rule = Rule(), **options) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each document: the least id of the documents linked with it."""
-    groups = document_groups(docs, rule, **options)
-    ids = groups.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return groups.join(ids, "root", "left").select(
+    nodes, joined = linked_nodes(docs, rule, **options)
+    of_node = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
+    rooted = of_node.join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_each = rooted.join(ids, "root").select("node", "component_id")
+    return nodes.join(of_each, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def document_groups(docs: DataFrame, rule: Rule = Rule(), **options) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, root`` for each document; the root names its group, null without words."""
+    nodes, joined = linked_nodes(docs, rule, **options)
+    return nodes.join(joined, "node", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("root", "node").alias("root")
+    )
+
+
 def representatives(groups: DataFrame) -> DataFrame:
     """``doc_id, text_hash, n``: one text of each group, of the lowest id and hash, and how many rows have it.
 
@@ -353,10 +364,10 @@ def representatives(groups: DataFrame) -> DataFrame:
     return rows.groupBy("root").agg(least).select("d.doc_id", "d.text_hash", "d.n")
 
 
-def document_groups(
-    docs: DataFrame, rule: Rule = Rule(), block: int = 2_048, most_broadcast: int = 1_000_000
-) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, root`` for each document; the root names its group, null without words."""
+def linked_nodes(
+    docs: DataFrame, rule: Rule, block: int = 2_048, most_broadcast: int = 1_000_000
+) -> tuple[DataFrame, DataFrame]:
+    """The node of each document, and the roots of the nodes that are linked with others."""
     parts = default_blocks(docs)
     nodes = written(document_nodes(docs, rule), "join_nodes", NODE)
     families = written(components(family_edges(docs, rule), "families"), "families", "node long, root long")
@@ -386,10 +397,7 @@ def document_groups(
     links = written(block_links(first, ["family", "at"], rule, parts), "links", EDGE)
     if not placed.where("blocks > 1").isEmpty():
         links = links.unionByName(between_blocks(texts, placed, links, rule, parts))
-    joined = components(links, "linked")
-    return nodes.join(joined, "node", "left").select(
-        "doc_id", "text_hash", "n_shingles", F.coalesce("root", "node").alias("root")
-    )
+    return nodes, components(links, "linked")
 
 
 def member_texts(docs: DataFrame, nodes: DataFrame, placed: DataFrame, most_broadcast: int, rule: Rule) -> DataFrame:
