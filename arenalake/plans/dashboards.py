@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from arenalake.functions.rules import action_focus, recommended_action
+from arenalake.operators.ranking import global_rank
 
 
 def _only(rows: DataFrame, column: str, values: Sequence[str] | None) -> DataFrame:
@@ -63,6 +64,13 @@ def volatility_ranked(hero_mart: DataFrame, **filters) -> DataFrame:
     ).orderBy(F.col("volatility_score").desc_nulls_last(), "hero_id", "recency_window")
 
 
+def volatility_ranks(hero_mart: DataFrame, **filters) -> DataFrame:
+    """The rows of ``volatility_ranked`` with their rank and dense rank; ties share a rank, no score is last."""
+    order = {"volatility_score": F.col("volatility_score").desc_nulls_last()}
+    rows = volatility_ranked(hero_mart, **filters)
+    return global_rank(rows, order, rank="volatility_rank", dense="volatility_dense_rank")
+
+
 def segment_topk(hero_mart: DataFrame, k: int, **filters) -> DataFrame:
     """The ``k`` most volatile heroes of each segment; each task keeps its own k first."""
     order = Window.partitionBy("stability_segment").orderBy(

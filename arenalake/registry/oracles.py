@@ -287,6 +287,8 @@ CORE = (_DOCS, _SEATS, _PLAYERS)
 ALL = (*CORE, _HEROES, _MARTS)
 FEED_PAGES = (_PAGES,)
 FILL = (_PAGES, _MANIFESTS, _BACKFILL)
+#: A first run: nothing has been selected before.
+FIRST_FILL = (_PAGES, _MANIFESTS, _BACKFILL.replace("WHERE source_stream = 'pro_matches'", "WHERE false", 1))
 
 
 def _sql(blocks: tuple[str, ...], select: str) -> str:
@@ -571,6 +573,15 @@ UNION ALL SELECT '2025_2026', n25 FROM chosen_counts""",
        (SELECT min_by(newest_start_time, page_no) FROM bounds
         WHERE page_no <= until AND newest_start_time IS NOT NULL) AS newest_page_start_time,
        done AS completed_all_targets
+FROM ends""",
+        ),
+        "stream_backfill_progress": _sql(
+            FIRST_FILL,
+            """SELECT CASE WHEN done OR NOT EXISTS (SELECT 1 FROM bounds WHERE next_less_than_match_id IS NULL)
+            THEN (SELECT max_by(next_less_than_match_id, page_no) FROM bounds
+                  WHERE page_no < until OR (NOT done AND page_no = until)) END AS next_less_than_match_id,
+       (SELECT count(*) FROM bounds WHERE page_no <= until) AS request_count,
+       done AS completed_all_targets
 FROM ends""",
         ),
         "stg_matches": _sql(RAW, f"SELECT {_STAGED} FROM docs WHERE payload_id IS NOT NULL"),
@@ -740,6 +751,12 @@ FROM shift WHERE recency_window = '2025_2026' AND primary_attribute IN ('str', '
             ALL,
             f"""SELECT hero_id, hero_name, recency_window, {rate("score")} AS volatility_score,
        segment AS stability_segment FROM shift""",
+        ),
+        "volatility_ranks": _sql(
+            ALL,
+            f"""SELECT hero_id, hero_name, recency_window, {rate("score")} AS volatility_score,
+       segment AS stability_segment, rank() OVER (ORDER BY score DESC NULLS LAST) AS volatility_rank,
+       dense_rank() OVER (ORDER BY score DESC NULLS LAST) AS volatility_dense_rank FROM shift""",
         ),
         "segment_topk": _sql(
             ALL,

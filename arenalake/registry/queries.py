@@ -570,6 +570,10 @@ def volatility_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.volatility_ranked(_heroes(spark, sf_dir))
 
 
+def volatility_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboards.volatility_ranks(_heroes(spark, sf_dir))
+
+
 def segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.segment_topk(_heroes(spark, sf_dir), TOP_HEROES, windows=["2025_2026"])
 
@@ -644,6 +648,7 @@ _QUERIES: dict[str, Query] = {
     "window_summary": window_summary,
     "delta_scatter": delta_scatter,
     "volatility_ranked": volatility_ranked,
+    "volatility_ranks": volatility_ranks,
     "segment_topk": segment_topk,
     "action_quadrant": action_quadrant,
     "recommended_action": recommended_action,
