@@ -13,6 +13,7 @@ from arenalake.config import DEFAULTS, Settings
 from arenalake.functions.numeric import flag, mean, minutes, ratio
 from arenalake.functions.rules import stability_segment
 from arenalake.functions.windows import epoch_to_ntz, is_target_window, window_start
+from arenalake.operators.distinct import count_different, estimate, key_sketches, merge_sketches
 from arenalake.plans import core
 
 
@@ -236,12 +237,31 @@ def meta_shift_of(counts: DataFrame, dim_heroes: DataFrame, settings: Settings =
 # Activity summary
 
 
+DISTINCT_COUNTS = {"account_id": "known_account_count", "hero_id": "distinct_hero_count"}
+
+
 def distinct_counts(player_rows: DataFrame) -> DataFrame:
     """Player rows, known accounts and heroes per window; exact."""
-    return player_rows.groupBy("recency_window").agg(
-        F.count("*").alias("player_row_count"),
-        F.count_distinct("account_id").alias("known_account_count"),
-        F.count_distinct("hero_id").alias("distinct_hero_count"),
+    return count_different(player_rows, ("recency_window",), DISTINCT_COUNTS, "player_row_count")
+
+
+SKETCHED = ("account_id", "hero_id")
+
+
+def usage_sketches(player_rows: DataFrame, lg_size: int = 12) -> DataFrame:
+    """Sketches of accounts and heroes per window and day, to be stored and merged for any set of days."""
+    day = F.to_date(epoch_to_ntz(F.col("start_time"))).alias("match_date")
+    return key_sketches(player_rows.select("recency_window", day, *SKETCHED), ("recency_window", "match_date"), SKETCHED, lg_size)
+
+
+def approximate_counts(sketches: DataFrame, group: tuple[str, ...] = ("recency_window",)) -> DataFrame:
+    """Estimated accounts and heroes of each group of stored sketches, within ``sketch_error`` of the exact counts."""
+    merged = merge_sketches(sketches, group, SKETCHED)
+    return merged.select(
+        *group,
+        estimate("account_id").alias("known_account_estimate"),
+        estimate("hero_id").alias("hero_estimate"),
+        F.greatest(*(F.octet_length(c) for c in SKETCHED)).alias("sketch_bytes"),
     )
 
 

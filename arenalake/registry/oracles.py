@@ -611,6 +611,18 @@ WHERE recency_window IN {TARGETS}""",
             """SELECT recency_window, count(*) AS player_row_count,
        count(DISTINCT account_id) AS known_account_count,
        count(DISTINCT hero_id) AS distinct_hero_count FROM joined GROUP BY 1""",
+        ),
+        "merged_distinct_counts": _sql(
+            CORE,
+            """SELECT recency_window, count(*) AS player_row_count,
+       count(DISTINCT account_id) AS known_account_count,
+       count(DISTINCT hero_id) AS distinct_hero_count FROM joined GROUP BY 1""",
+        ),
+        "approximate_counts": _sql(
+            CORE,
+            """SELECT recency_window, count(DISTINCT account_id) AS known_account_count,
+       count(DISTINCT hero_id) AS distinct_hero_count, true AS accounts_within,
+       true AS heroes_within, true AS bytes_bounded FROM joined GROUP BY 1""",
         ),
         "hero_win_rate": _sql(
             ALL, f"SELECT recency_window, hero_id, picks AS hero_picks, {rate('wr')} AS win_rate FROM hero"

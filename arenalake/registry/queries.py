@@ -8,7 +8,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from arenalake.functions.payload import has_key, players
-from arenalake.operators import backfill, contracts, envelopes, manifest, quality
+from arenalake.functions.windows import epoch_to_ntz
+from arenalake.operators import backfill, contracts, distinct, envelopes, manifest, quality
 from arenalake.plans import core, dashboards, marts
 from arenalake.plans.models import Models
 from arenalake.registry.landing import landed_lines, landed_table
@@ -393,6 +394,43 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.distinct_counts(_player_rows(spark, sf_dir, "account_id", "hero_id"))
 
 
+def merged_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of whole windows from words that were stored per window and day."""
+    rows = _player_rows(spark, sf_dir, "account_id", "hero_id")
+    day = F.to_date(epoch_to_ntz(F.col("start_time"))).alias("match_date")
+    daily = rows.select("recency_window", day, *marts.DISTINCT_COUNTS)
+    stored = _written(distinct.key_words(daily, ("recency_window", "match_date"), list(marts.DISTINCT_COUNTS)), "words")
+    window = ("recency_window",)
+    merged = distinct.merge_words(stored, window)
+    return distinct.counts_of_words(merged, window, marts.DISTINCT_COUNTS, "player_row_count")
+
+
+def approximate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates from stored daily sketches beside the exact counts: are they within the stated error?"""
+    rows = _player_rows(spark, sf_dir, "account_id", "hero_id")
+    size = 12
+    stored = _written(marts.usage_sketches(rows, size), "sketches")
+    both = marts.distinct_counts(rows).join(marts.approximate_counts(stored), "recency_window")
+    bound = distinct.sketch_error(size)
+
+    def within(estimated: str, exact: str):
+        return F.abs(F.col(estimated) - F.col(exact)) <= F.col(exact) * bound
+
+    return both.select(
+        "recency_window",
+        *marts.DISTINCT_COUNTS.values(),
+        within("known_account_estimate", "known_account_count").alias("accounts_within"),
+        within("hero_estimate", "distinct_hero_count").alias("heroes_within"),
+        (F.col("sketch_bytes") <= 2**size + 64).alias("bytes_bounded"),
+    )
+
+
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    path = fresh_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def hero_win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.hero_window_metrics(_player_rows(spark, sf_dir, "hero_id", "win"))
 
@@ -624,6 +662,8 @@ _QUERIES: dict[str, Query] = {
     "target_window_filter": target_window_filter,
     "window_totals": window_totals,
     "distinct_counts": distinct_counts,
+    "merged_distinct_counts": merged_distinct_counts,
+    "approximate_counts": approximate_counts,
     "hero_win_rate": hero_win_rate,
     "hero_pick_rate": hero_pick_rate,
     "hero_window_pivot": hero_window_pivot,
