@@ -2,8 +2,9 @@
 
 The rule is sequential: entries are taken in page order, a match once, a window only while it is
 below its quota. Distributed, it needs just the entry at which each window fills up. That entry
-comes from a top-k per window (k is the open quota), in as many rounds as there are windows,
-because a match that is seen under two windows can move to the other once the first is full.
+is the k-th of a window (k is the open quota), found by refining histograms of places, in as many
+rounds as there are windows, because a match that is seen under two windows can move to the other
+once the first is full.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ def selected_index(manifest: DataFrame) -> DataFrame:
     return first_per_key(rows, ["match_id"], order).select(*MANIFEST_COLUMNS)
 
 
-def _window_counts(selected: DataFrame, settings: Settings) -> Column:
-    here = F.col("recency_window")
+def _window_counts(selected: DataFrame, settings: Settings, label: str = "recency_window") -> Column:
+    here = F.col(label)
     return F.struct(*[F.count_if(here == label).alias(label) for label in settings.labels])
 
 
@@ -113,6 +114,23 @@ def joined_sightings(parts: DataFrame, settings: Settings = DEFAULTS) -> DataFra
     return parts.groupBy("match_id").agg(*firsts)
 
 
+def candidates(seen: DataFrame, known: DataFrame, quotas: Mapping[str, int], settings: Settings = DEFAULTS) -> DataFrame:
+    """The sightings that can still be selected, whatever pages come later: a bounded number.
+
+    What a run takes under a window has only taken matches before it there, so its rank under the window is at most the sum
+    of all quotas. Places of the first so many free matches of each window are kept; more pages only add to the rows
+    before a place. Selecting out of what is kept gives the rows of selecting out of all.
+    """
+    most = sum(max(quotas.get(w, 0), 0) for w in settings.labels)
+    free = seen.join(known.select("match_id"), "match_id", "left_anti")
+    if most == 0:
+        return free.where(F.lit(False))
+    places = [F.struct(F.lit(w).alias("label"), F.col(f"`at {w}`").alias("at")) for w in settings.labels]
+    last = nth_places(free.select(F.inline(F.array(*places))).where("at IS NOT NULL"), dict.fromkeys(settings.labels, most))
+    early = [F.coalesce(F.col(f"`at {w}`") <= last.get(w, _NEVER), F.lit(False)) for w in settings.labels]
+    return free.where(reduce(lambda a, b: a | b, early))
+
+
 def _label_at(settings: Settings) -> Column:
     """The window whose first sighting is at ``at``; places are unique."""
     return F.coalesce(
@@ -120,6 +138,49 @@ def _label_at(settings: Settings) -> Column:
     )
 
 
+def nth_places(rows: DataFrame, ranks: Mapping[str, int], bins: int = 4096) -> dict[str, int]:
+    """For each label, the place ``at`` of its n-th row, counted from 1 in order of places; labels with fewer rows are left out.
+
+    Histograms of the places are refined around the n-th one until its bin holds a single place, so a rank of any size
+    needs no sort and no task that holds the rows before it. A round brings ``bins`` counts per label to the driver,
+    with the smallest and greatest place of each bin, between which the next round looks.
+    """
+    place, label = F.col("at"), F.col("label")
+    ends = rows.where(label.isin(list(ranks))).groupBy("label").agg(
+        F.min("at").alias("low"), F.max("at").alias("high"), F.count("at").alias("n")
+    )
+    # Where to look, from place to place, and which rank among the rows there.
+    spans = {
+        r["label"]: (r["low"], r["high"], ranks[r["label"]]) for r in ends.collect() if r["n"] >= ranks[r["label"]]
+    }
+    found: dict[str, int] = {}
+    while spans:
+        bin_of, inside = F.lit(None).cast("bigint"), F.lit(False)
+        for name, (low, high, _) in spans.items():
+            width = -(-(high - low + 1) // bins)
+            here = (label == name) & place.between(low, high)
+            bin_of = F.when(here, F.expr(f"(at - {low}L) div {width}L")).otherwise(bin_of)
+            inside = inside | here
+        counts = rows.where(inside).groupBy("label", bin_of.alias("bin")).agg(
+            F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")
+        )
+        by_label: dict[str, list] = {}
+        for r in counts.collect():
+            by_label.setdefault(r["label"], []).append(r)
+        finer = {}
+        for name, (_, _, n) in spans.items():
+            for r in sorted(by_label[name], key=lambda r: r["bin"]):
+                if n <= r["n"]:
+                    break
+                n -= r["n"]
+            if r["low"] == r["high"]:
+                found[name] = r["low"]
+            else:
+                finer[name] = (r["low"], r["high"], n)
+        spans = finer
+    return found
+
+
 def _take_round(free: DataFrame, left: dict[str, int], settings: Settings):
     """Free matches with the place ``at`` where an open window sees them first, up to the place
     where the next window fills up, and the quotas left after that place.
@@ -129,24 +190,13 @@ def _take_round(free: DataFrame, left: dict[str, int], settings: Settings):
     open_windows = [w for w in settings.labels if left[w] > 0]
     at = F.array_min(F.array(*[F.col(f"`at {w}`") for w in open_windows]))
     rows = free.withColumn("at", at).withColumn("label", _label_at(settings))
-    tops = [
-        rows.where(F.col("label") == w).orderBy("at").limit(left[w]).select("label", "at")
-        for w in open_windows
-    ]
-    top = reduce(DataFrame.unionByName, tops)
-    reached = {
-        row["label"]: row["last"]
-        for row in top.groupBy("label")
-        .agg(F.count("*").alias("n"), F.max("at").alias("last"))
-        .collect()
-        if row["n"] == left[row["label"]]
-    }
+    reached = nth_places(rows, {w: left[w] for w in open_windows})
     limit = min(reached.values(), default=_NEVER)
-    within = top.where(F.col("at") <= limit).groupBy("label").agg(F.count("*").alias("n"))
-    used = {row["label"]: row["n"] for row in within.collect()}
+    counts = rows.where(F.col("at") <= limit).agg(_window_counts(rows, settings, "label").alias("n"))
+    used = counts.first()["n"]
     taken = rows.where(F.col("at") <= limit)
     rest = free.where(~F.coalesce(at <= limit, F.lit(False)))
-    return taken, rest, {w: left[w] - used.get(w, 0) for w in settings.labels}
+    return taken, rest, {w: left[w] - used[w] for w in settings.labels}
 
 
 def _open_quotas(

@@ -6,6 +6,11 @@ so the rows do not depend on how many files a batch has or in which order they c
 checkpoint; the matches of other runs in the same manifest count as selected before. A batch
 whose pages all lie behind the page that met the last quota changes nothing and is skipped.
 Everything a batch writes is overwritten when it is replayed.
+
+The state is kept in parts that are merged by levels. A merged part of sightings holds what can
+still be selected, at most the sum of the quotas for each window. So a batch reads the last few batches
+and that many rows of each merged part, whose number grows with the logarithm of the batches. Bounds
+stay one short row a page. Runs into one manifest take turns.
 """
 
 from __future__ import annotations
@@ -13,12 +18,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from arenalake.config import DEFAULTS, Settings
 from arenalake.operators.backfill import (
+    candidates,
     choose,
     joined_sightings,
     page_bounds,
@@ -28,24 +33,15 @@ from arenalake.operators.backfill import (
 from arenalake.sources.json_files import explode_pages
 from arenalake.sources.schemas import MANIFEST, MANIFEST_COLUMNS
 from arenalake.sources.sinks import write_progress
+from arenalake.streaming.levels import Levels, read_if_there
 
 _PARTS = f"{MANIFEST}, run string"
 _REACHED = "until bigint, full boolean"
 
 
-def _read(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> DataFrame:
-    """The rows under a path; none if it is not there yet."""
-    try:
-        return spark.read.schema(schema).format(kind).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def read_backfill_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest so far, with the run that selected each row."""
-    return _read(spark, path, _PARTS)
+    return read_if_there(spark, path, _PARTS)
 
 
 def run_name(checkpoint: str) -> str:
@@ -64,35 +60,35 @@ def stream_backfill(
     quotas: Mapping[str, int] | None = None,
     settings: Settings = DEFAULTS,
     max_files_per_batch: int = 60,
+    fan_in: int = 8,
 ) -> StreamingQuery:
     """Take all pending page files (lines of ``{page_no, entries}``) in batches, then stop.
 
-    ``state`` is a folder for the runs' pages. ``cursor`` is where the run started.
+    ``state`` is a folder for the runs' pages. ``cursor`` is where the run started. ``fan_in`` parts
+    of the state are merged into one of the next level.
     """
     run = run_name(checkpoint)
     own = f"{state}/{run}"
 
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        reached = _read(session, f"{own}/reached", _REACHED, "json").first()
+        reached = read_if_there(session, f"{own}/reached", _REACHED, "json").first()
         if reached and reached["full"]:
             first_page = batch.agg(F.min("page_no")).first()[0]
             if first_page is None or first_page > reached["until"]:
                 return
-        parts = {"bounds": page_bounds(batch), "seen": sightings(explode_pages(batch), settings)}
-        stored = {}
-        for name, rows in parts.items():
-            rows.write.mode("overwrite").parquet(f"{own}/{name}/batch={batch_id}")
-            stored[name] = session.read.schema(rows.schema).parquet(f"{own}/{name}").drop("batch")
-        # Pages of a later batch may be there when an earlier one is replayed; they count as well.
         earlier = read_backfill_manifest(session, manifest).where(F.col("run") != run)
+        known = selected_index(earlier)
+        limits = settings.quotas if quotas is None else quotas
+
+        def first_seen(parts: DataFrame) -> DataFrame:
+            return candidates(joined_sightings(parts, settings), known, limits, settings)
+
+        seen = sightings(explode_pages(batch), settings)
+        bounds = Levels(session, f"{own}/bounds", lambda parts: parts, fan_in).add(page_bounds(batch), batch_id)
+        stored = Levels(session, f"{own}/seen", first_seen, fan_in).add(seen, batch_id)
         chosen = choose(
-            stored["bounds"],
-            joined_sightings(stored["seen"], settings),
-            selected_index(earlier),
-            quotas=quotas,
-            settings=settings,
-            cursor=cursor,
+            bounds, joined_sightings(stored, settings), known, quotas=quotas, settings=settings, cursor=cursor
         )
         rows = chosen.added.select(*MANIFEST_COLUMNS)
         rows.write.mode("overwrite").parquet(f"{manifest}/run={run}")
