@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from arenalake.registry import queries
 from arenalake.sources import feed
-from tests.conftest import SMALL
+from tests.conftest import SMALL, initial_plan
 
 
 @pytest.mark.parametrize("folder", [SMALL, SMALL.replace("0.001", "0.01")])
@@ -39,3 +40,50 @@ def test_one_order_with_most_lines(spark, tmp_path):
     plan = feed.numbered_lines(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     windows = [x for x in plan.splitlines() if "Window [" in x]
     assert all("part" in w for w in windows)  # each over the parts of an order, or within one
+
+
+def odd_tables(spark, folder):
+    """Orders of 1, 25 and no lines, one that comes twice, equal lines, lines without a part or an order."""
+    line = spark.read.parquet(f"{SMALL}/lineitem.parquet").limit(1).drop("l_orderkey", "l_partkey")
+    places = [(1, p % 9) for p in range(25)] + [(1, None)] * 12 + [(2, 7), (4, 3), (4, 3), (None, 1), (9, 1)] + [(5, None)] * 11
+    rows = spark.createDataFrame(places, "l_orderkey long, l_partkey long").crossJoin(F.broadcast(line))
+    rows.select("l_orderkey", "l_partkey", *line.columns).write.parquet(f"{folder}/lineitem.parquet")
+    order = spark.read.parquet(f"{SMALL}/orders.parquet").limit(1).drop("o_orderkey")
+    keys = spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 4, 5, None)], "o_orderkey long")
+    keys.crossJoin(order).select("o_orderkey", *order.columns).write.parquet(f"{folder}/orders.parquet")
+
+
+def test_large_orders_give_the_same_documents(spark, tmp_path, monkeypatch):
+    odd_tables(spark, tmp_path)
+
+    def documents(largest):
+        monkeypatch.setattr(feed, "LARGE_ORDER", largest)
+        rows = feed.match_documents(spark, str(tmp_path)).select("match_id", F.to_json("payload").alias("p"))
+        return sorted(map(tuple, rows.collect()))
+
+    at_once = documents(1000)
+    assert at_once == documents(10) == documents(0)
+    players = {}
+    for match, payload in at_once:
+        players.setdefault(match, []).append(payload.count('"kills"'))
+    step, copies = feed.DOCUMENT_STEP, len(players[2])
+    # Lines without a part come first and hold places, but are no players; document 0 is always there.
+    expected = {1: [0], 1 + step: [8], 1 + 2 * step: [10], 1 + 3 * step: [7], 2: [1], 3: [0], 4: [2, 2], 5: [0]}
+    assert players == {k: v * copies for k, v in expected.items()}
+
+
+def test_lines_are_shuffled_once(spark):
+    plan = initial_plan(feed._seats(feed._numbered(spark, SMALL, "left_anti")))
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+    # Lines by order, and the counts that tell large orders; documents of an order are built where its lines are.
+    assert len(shuffles) == 2 and all("hashpartitioning(l_orderkey, " in x for x in shuffles)
+
+
+def test_envelopes_land_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "LINES_PER_FILE", 100)
+    odd = tmp_path / "odd"
+    odd_tables(spark, odd)
+    path = queries._envelope_files(spark, str(odd))
+    names = spark.read.text(path).select(F.input_file_name()).distinct().collect()
+    assert names and all(r[0].endswith(".gz") for r in names)
+    assert spark.read.text(path).count() == feed.match_documents(spark, str(odd)).count()
