@@ -18,6 +18,7 @@ One writer at a time. ``vacuum`` deletes versions that no longer count.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -41,6 +42,13 @@ SUMS = {
     "match": (marts.MATCH_GROUP, ("matches", "seconds", "timed", "radiant")),
 }
 
+#: What the sums need of a match and of a player.
+MATCH_ATTRIBUTES = ("recency_window", "start_time", "patch", "league_id", "duration_seconds", "radiant_win")
+PLAYER_ATTRIBUTES = ("player_slot", "hero_id", "account_id", "win")
+
+#: An id with more rows in a load is ranked before its rows go to their bucket.
+CROWDED = 10_000
+
 
 @dataclass(frozen=True)
 class Store:
@@ -80,9 +88,9 @@ class Store:
             stored = stored.where(F.col("bucket").isin(touched))  # other folders are not listed
         return stored.join(self._versions(table), ["batch", "bucket"]).drop("batch", "bucket")
 
-    def _write(self, table: str, rows: DataFrame, bucket: Column, batch: int) -> None:
-        placed = rows.withColumn("bucket", bucket)
-        placed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/batch={batch}")
+    def _write(self, table: str, placed: DataFrame, batch: int) -> None:
+        """Write rows that lie together by bucket."""
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/batch={batch}")
 
     def _commit(self, touched: dict[str, list[int]], batch: int) -> None:
         """One small file; buckets that became empty are named as well."""
@@ -98,40 +106,77 @@ class Store:
             return False
         staged = staging.stg_matches(raw_matches)
         typed = core.typed_payloads(raw_matches)
-        ids = staged.select("match_id").union(typed.select("match_id")).distinct()
-        span_of = F.floor(F.col("match_id") / self.span)
         touched = {}
-        spans = [r[0] for r in ids.select(span_of).distinct().collect()]  # ranges of ids in the load
+        in_load = [rows.select(self._span()) for rows in (staged, typed)]
+        spans = [r[0] for r in in_load[0].union(in_load[1]).distinct().collect()]  # ranges of ids in the load
         known_matches = self.matches(spans)
         known_payloads = self.payloads(spans)
-        self._write("matches", core.fct_match(known_matches.unionByName(staged), self.settings), span_of, batch)
-        self._write("payloads", core.preferred_payloads(known_payloads.unionByName(typed), self.settings), span_of, batch)
+        self._write("matches", self._chosen(known_matches, staged, core.fct_match), batch)
+        self._write("payloads", self._chosen(known_payloads, typed, core.preferred_payloads), batch)
         touched["matches"] = touched["payloads"] = spans
         new_matches = self._version("matches", known_matches, batch)
         new_payloads = self._version("payloads", known_payloads, batch)
-        changes = self._changes(
-            [(known_matches, known_payloads, -1), (new_matches, new_payloads, 1)], ids
-        )
-        for table, delta in changes.items():
+        changed = self._changed((known_matches, known_payloads), (new_matches, new_payloads), batch)
+        for table, delta in self._changes(changed).items():
             touched[table] = self._add(table, delta, batch)
         self._commit(touched, batch)
         return True
 
+    def _span(self) -> Column:
+        return F.floor(F.col("match_id") / self.span)
+
+    def _chosen(self, known: DataFrame, load: DataFrame, choose: Callable[..., DataFrame]) -> DataFrame:
+        """The winners among stored rows and a load, ranked where their bucket is written: one shuffle.
+
+        Ids with very many rows in the load are ranked before that, so that no bucket has them all.
+        """
+        counts = load.groupBy("match_id").agg(F.count("*").alias("n"))
+        crowded = F.broadcast(counts.where(F.col("n") > CROWDED).select(F.col("match_id").alias("crowded")))
+        same = F.col("match_id") == F.col("crowded")
+        first = choose(load.join(crowded, same, "left_semi"), self.settings)
+        rows = known.unionByName(load.join(crowded, same, "left_anti")).unionByName(first)
+        placed = rows.withColumn("bucket", self._span()).repartition("bucket")
+        return choose(placed, self.settings, ("bucket", "match_id"))
+
     def _version(self, table: str, like: DataFrame, batch: int) -> DataFrame:
         path = f"{self.root}/{table}/batch={batch}"
         return self.spark.read.schema(like.schema).parquet(path)
 
-    def _changes(self, sides: list[tuple[DataFrame, DataFrame, int]], ids: DataFrame) -> dict[str, DataFrame]:
+    def _changed(
+        self, known: tuple[DataFrame, DataFrame], new: tuple[DataFrame, DataFrame], batch: int
+    ) -> DataFrame:
+        """Matches with their players as they were (-1) and are (1), where a load made a difference.
+
+        Stored once, as all sums read them, and with the attributes that sums need only.
+        """
+        def attributes(matches: DataFrame, payloads: DataFrame, name: str) -> DataFrame:
+            own = marts.in_target_windows(matches, self.settings)
+            narrow = F.transform("players", lambda p: F.struct(*(p[f].alias(f) for f in PLAYER_ATTRIBUTES)))
+            of_match = F.struct(F.col("recency_window").alias("own_window"), narrow.alias("players"))
+            with_players = own.select("match_id", F.struct(*MATCH_ATTRIBUTES).alias("match")).join(
+                payloads.select("match_id", of_match.alias("payload")).hint("merge"), "match_id", "left"
+            )
+            return with_players.select("match_id", F.struct("match", "payload").alias(name))
+
+        both = attributes(*known, "was").join(attributes(*new, "now").hint("merge"), "match_id", "full")
+        sides = F.array(*(F.struct(F.lit(k).alias("sign"), F.col(c).alias("row")) for k, c in ((-1, "was"), (1, "now"))))
+        rows = both.where(~F.col("was").eqNullSafe(F.col("now"))).select("match_id", F.explode(sides).alias("side"))
+        rows = rows.where("side.row IS NOT NULL").select("match_id", "side.sign", "side.row.*")
+        path = f"{self.root}/changed/batch={batch}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _changes(self, changed: DataFrame) -> dict[str, DataFrame]:
         """For each sum table, what to add to its keys."""
         deltas: dict[str, list[DataFrame]] = {name: [] for name in SUMS}
-        for matches, payloads, sign in sides:
-            own = marts.in_target_windows(matches.join(ids, "match_id", "left_semi"), self.settings)
-            of_ids = payloads.join(ids, "match_id", "left_semi").withColumnRenamed("recency_window", "own_window")
-            joined = of_ids.select("match_id", "own_window", "players").join(
-                own.select("match_id", "recency_window", "start_time"), "match_id"
+        for sign in (-1, 1):
+            side = changed.where(F.col("sign") == sign)
+            own = side.select("match_id", "match.*")
+            joined = side.where("payload IS NOT NULL").select(
+                "match.recency_window", "match.start_time", "payload.own_window", "payload.players"
             )
             carried = ("recency_window", "start_time", "own_window")
-            rows = core.explode_players(joined, carried, ("player_slot", "hero_id", "account_id", "win"))
+            rows = core.explode_players(joined, carried, PLAYER_ATTRIBUTES)
             in_own = F.col("own_window").isin(list(self.settings.labels))
             one = F.lit(sign).cast("bigint")
             known = rows.where("account_id IS NOT NULL")
@@ -145,9 +190,9 @@ class Store:
             )
         return {name: self._summed(name, old.unionByName(new)) for name, (old, new) in deltas.items()}
 
-    def _summed(self, table: str, rows: DataFrame) -> DataFrame:
+    def _summed(self, table: str, rows: DataFrame, *place: str) -> DataFrame:
         keys, sums = SUMS[table]
-        return rows.groupBy(*keys).agg(*(F.sum(c).cast("bigint").alias(c) for c in sums))
+        return rows.groupBy(*place, *keys).agg(*(F.sum(c).cast("bigint").alias(c) for c in sums))
 
     def _add(self, table: str, delta: DataFrame, batch: int) -> list[int]:
         """Add to the stored sums, and return the buckets that changed."""
@@ -159,8 +204,8 @@ class Store:
         bucket = F.pmod(F.xxhash64(keys[0]), F.lit(self.buckets))
         touched = [r[0] for r in delta.select(bucket).distinct().collect()]  # at most ``buckets``
         known = self.rows(table, self._columns(table), touched)
-        now = self._summed(table, known.unionByName(delta)).where(F.col(sums[0]) > 0)
-        self._write(table, now, bucket, batch)
+        placed = known.unionByName(delta).withColumn("bucket", bucket).repartition("bucket")
+        self._write(table, self._summed(table, placed, "bucket").where(F.col(sums[0]) > 0), batch)
         return touched
 
     @staticmethod

@@ -5,11 +5,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from arenalake.plans import core
 from arenalake.plans.models import Models
 from arenalake.registry import queries as q
 from arenalake.sources.schemas import RAW_TABLES
+from arenalake.streaming import incremental
 from arenalake.streaming.incremental import Store, stream_core
-from tests.conftest import SMALL
+from tests.conftest import SMALL, initial_plan
 
 
 def rows_of(df):
@@ -111,3 +113,21 @@ def test_stream_into_the_store(spark, tmp_path):
     land("more.json", rows[-1:])
     stream_core(store, str(landing), str(tmp_path / "checkpoint"), **options).awaitTermination()
     assert_equals_rebuild(store, raw_of(spark, rows), heroes)
+
+
+def test_a_load_ranks_in_one_shuffle_and_stores_what_changed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "CROWDED", 1)  # ids with two rows in a load are ranked first
+    store = Store(spark, str(tmp_path / "a"), span=10, buckets=2)
+    first = [match(k, 1, window="2025_2026") for k in range(5)] + [match(2, 2, window="2025_2026")]
+    second = [match(3, 1, window="2025_2026"), match(7, 1, window="2025_2026", players=[(1, 12, 1)])]
+    store.apply(raw_of(spark, first), 0)
+    store.apply(raw_of(spark, second), 1)
+    changed = spark.read.parquet(f"{store.root}/changed/batch=1")
+    assert [tuple(r) for r in changed.select("match_id", "sign").collect()] == [(7, 1)]
+    models = Models(raw_of(spark, first + second), spark.createDataFrame([], RAW_TABLES["raw_hero_stats"]))
+    assert rows_of(store.matches()) == rows_of(models.fct_match)
+    assert rows_of(store.players()) == rows_of(models.fct_player_match)
+    load = core.typed_payloads(raw_of(spark, first))
+    plan = initial_plan(store._chosen(store.payloads([0]), load, core.preferred_payloads))
+    before_write = plan[: plan.index("Union")]
+    assert before_write.count("Exchange") == 1 and "Exchange hashpartitioning(bucket" in before_write
