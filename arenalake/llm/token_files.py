@@ -24,6 +24,8 @@ from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,8 @@ from arenalake.llm.ordered import LOWEST, block_bounds, block_of, default_blocks
 
 # The pre-token pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts of about so many bytes have their words looked up together.
+TOGETHER = 1 << 24
 
 
 def byte_letters() -> str:
@@ -64,6 +68,7 @@ class WordEncoder(dict):
         self.spaced = regex.compile(r"^ |\s ").search
         self.marks = {c: self.ids_of_piece(c) for c in ".,;:!?"}
         self.breaks = regex.compile(r"(?<=\S) ").split
+        self.spaces = {"", *regex.findall(r"\s", "".join(map(chr, range(0xD800))))}
         added = {
             t.content: (k, t.normalized or t.single_word or t.lstrip or t.rstrip)
             for k, t in self.library.get_added_tokens_decoder().items()
@@ -76,7 +81,9 @@ class WordEncoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         """The key stands for the word with a space before it; a mark behind letters is a token of its own."""
-        if word[-1:] in self.marks and word[:-1].isalpha():
+        if word.isascii() and word.isalpha():
+            ids = self.ids_of_letters(self.letters[32] + word)
+        elif word[-1:] in self.marks and word[:-1].isalpha():
             ids = self[word[:-1]] + self.marks[word[-1]]
         else:
             ids = self.ids_of(" " + word)
@@ -94,6 +101,9 @@ class WordEncoder(dict):
             text = piece.replace(" ", self.letters[32])
         else:
             text = "".join(map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass")))
+        return self.ids_of_letters(text)
+
+    def ids_of_letters(self, text: str) -> bytes:
         return array(self.kind, [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def encode(self, text: str) -> bytes:
@@ -108,6 +118,28 @@ class WordEncoder(dict):
         words = self.breaks(text) if self.spaced(text) else text.split(" ")
         return self.ids_of(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of each text. Arrow splits the texts and joins the ids; a distinct word is looked up once.
+
+        Texts with an added token, or with a space behind white space or at the start, are encoded alone.
+        """
+        words = pc.split_pattern(texts, " ")
+        bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+        coded = words.flatten().dictionary_encode()
+        places, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        ids = pa.array(map(self.__getitem__, distinct), pa.large_binary(), size=len(distinct)).take(coded.indices)
+        ends, data = np.frombuffer(ids.buffers()[1], "<i8")[ids.offset :], memoryview(ids.buffers()[2] or b"")
+        before_space = np.fromiter((w[-1:] in self.spaces for w in distinct), bool, len(distinct))[places]
+        before_space[bounds[1:] - 1] = False
+        alone = set((np.searchsorted(bounds, np.flatnonzero(before_space), "right") - 1).tolist())
+        for token in self.added:
+            alone.update(np.flatnonzero(pc.match_substring(texts, token).to_numpy(zero_copy_only=False)).tolist())
+        for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            if k in alone:
+                yield self.encode(texts[k].as_py())
+            else:
+                yield self.ids_of(distinct[places[a]]) + data[ends[a + 1] : ends[b]]
+
 
 _encoders: dict[tuple, WordEncoder] = {}
 
@@ -134,6 +166,15 @@ def opened(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(folder)
 
 
+def slices(texts: pa.Array, most: int = TOGETHER) -> Iterator[pa.Array]:
+    """The texts in turn, in arrays of about ``most`` bytes or of one longer text."""
+    groups = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield texts.slice(a, b - a)
+
+
 class BlockWriter:
     """The files of one block, renamed into place when it is whole."""
 
@@ -175,24 +216,28 @@ def write_token_files(
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), order_key(F.col("doc_id")).alias("doc_id"))
     bounds = block_bounds(rows, blocks)
 
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer, dtype, encode_special_tokens).encode
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_all = encoder(tokenizer, dtype, encode_special_tokens).encode_all
         end = np.array([end_id], dtype).tobytes()
         writer, done = None, []
-        for frame in frames:
-            for doc_id, text, block in zip(frame["doc_id"], frame["text"], frame["block"]):
+        for batch in batches:
+            encoded = (ids for texts in slices(batch["text"]) for ids in encode_all(texts))
+            for doc_id, block, ids in zip(batch["doc_id"].to_pylist(), batch["block"].to_pylist(), encoded):
                 if writer is None or writer.block != block:
                     done += [writer.close()] if writer else []
                     writer = BlockWriter(folder, block, dtype)
-                writer.add(doc_id, encode(text) + end)
+                writer.add(doc_id, ids + end)
         done += [writer.close()] if writer else []
-        yield pd.DataFrame(done, columns=["block", "n_docs", "n_ids"])
+        columns = [[row[k] for row in done] for k in range(3)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()))], ["block", "n_docs", "n_ids"]
+        )
 
     written = (
         rows.withColumn("block", block_of(F.col("doc_id"), bounds))
         .repartition(blocks, "block")
         .sortWithinPartitions("block", "doc_id", F.xxhash64("text"), "text")
-        .mapInPandas(write, "block int, n_docs long, n_ids long")
+        .mapInArrow(write, "block int, n_docs long, n_ids long")
     )
     parts, base = [], 0
     for row in sorted(written.collect()):  # three numbers for each block

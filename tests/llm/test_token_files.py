@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import AddedToken, Tokenizer
 
@@ -111,3 +112,30 @@ def test_query_matches_added_tokens(spark, tmp_path):
         crc = zlib.crc32(np.array(ids, "<u4").tobytes())
         assert tuple(found[k]) == (k, start, len(ids), crc), text
         start += len(ids)
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_texts_together_equal_the_library(special):
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = special
+    texts = [*TEXTS, *MARKED, "", "a \n", "\n a", "a\u3000 b", "a\x1c b \x85", "a b\n", *TEXTS]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for kept in (2, 1000):
+        encoder = token_files.WordEncoder(PATH, "<u2", kept, encode_special_tokens=special)
+        for most in (1, 100, 1 << 24):
+            parts = list(token_files.slices(pa.array(texts), most))
+            assert [t for p in parts for t in p.to_pylist()] == texts and (len(parts) == 1) == (most == 1 << 24)
+            found = [ids for p in parts for ids in encoder.encode_all(p)]
+            assert [np.frombuffer(ids, "<u2").tolist() for ids in found] == expected
+    assert list(token_files.slices(pa.array([], pa.string()))) == [] == list(encoder.encode_all(pa.array([], pa.string())))
+
+
+def test_distinct_words_are_looked_up_once():
+    class Counting(token_files.WordEncoder):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    encoder, asked = Counting(PATH, "<u2"), []
+    list(encoder.encode_all(pa.array(["on and on and on", "and on", "and on\n"])))
+    assert sorted(asked) == ["and", "on", "on\n"]
