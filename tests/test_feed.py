@@ -87,3 +87,20 @@ def test_envelopes_land_compressed(spark, tmp_path, monkeypatch):
     names = spark.read.text(path).select(F.input_file_name()).distinct().collect()
     assert names and all(r[0].endswith(".gz") for r in names)
     assert spark.read.text(path).count() == feed.match_documents(spark, str(odd)).count()
+
+
+def test_many_lines_get_more_tasks_than_shuffle_partitions(spark, tmp_path, monkeypatch):
+    odd_tables(spark, tmp_path)
+
+    def documents(lines):
+        monkeypatch.setattr(feed, "TASK_LINES", lines)
+        return feed.match_documents(spark, str(tmp_path)).select("match_id", F.to_json("payload").alias("p"))
+
+    few = sorted(map(tuple, documents(10**9).collect()))
+    assert sorted(map(tuple, documents(1).collect())) == few
+    tasks = spark.read.parquet(f"{tmp_path}/lineitem.parquet").count()
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = initial_plan(feed._orders_with_seats(spark, str(tmp_path), "left_anti"))
+    # Lines by order, once, and the orders that join them.
+    assert plan.count(f"hashpartitioning(l_orderkey, {tasks})") + plan.count(f"hashpartitioning(o_orderkey, {tasks})") >= 1, plan
+    assert len([x for x in plan.splitlines() if f", {tasks})" in x and "Exchange" in x]) == 2, plan
