@@ -4,10 +4,13 @@ Documents are sets of hashed word shingles; equal sets are one node. The join ha
 
 1. Routing. A set is cut into segments by ranges of the hash. Two sets of similarity T percent
    differ in so few shingles that with one segment more than that some segment must be equal, so
-   nodes that share a segment's content form families, and every link lies within a family. The
-   number of segments depends on a class of sizes; a set also takes part in the class below if it
-   can have partners there. Empty segments don't route: there are some more segments than needed,
-   and a set with too many empty ones is routed under another seed as well.
+   two linked sets share the key of a segment's content. The number of segments depends on a class of
+   sizes; a set also takes part in the class below if it can have partners there. Empty segments
+   don't route: there are some more segments than needed, and a set with too many empty ones is
+   routed under another seed as well. A set's size and empty segments tell how many keys it shares
+   at least with any partner. Nodes, and pairs counted by key, that share fewer are left out, so
+   that what documents share by chance does not grow into one family; the others form families,
+   and every link lies within a family.
 2. Trees. The nodes of a family, in blocks of bounded size, form a signature tree: inner nodes hold
    the OR of their token bitmaps and their range of sizes. A dual traversal prunes pairs of tree
    nodes whose greatest possible overlap is too small, or whose documents are all linked already,
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -94,10 +98,11 @@ def size_class(n: int, percent: int) -> tuple[int, int, int]:
         k, low = k + 1, end
 
 
-def _segment_keys(found: np.ndarray, rule: Rule, k: int, end: int) -> list[np.ndarray]:
+def _segment_keys(found: np.ndarray, rule: Rule, k: int, end: int) -> tuple[list[np.ndarray], int]:
+    """Keys of the class, and how many of them a linked set that takes part in the class has at least."""
     most = rule.most_different(end - 1)
     if not most:
-        return []  # only equal sets are linked, and those are one node
+        return [], 0  # only equal sets are linked, and those are one node
     spare = 1 + most // 12
     segments = most + 1 + spare
     out = []
@@ -110,20 +115,30 @@ def _segment_keys(found: np.ndarray, rule: Rule, k: int, end: int) -> list[np.nd
         out.append(mix(content + mix(of[first] + tag)))
         empty = segments - len(first)
         if empty <= spare:
-            return out
+            # All sets of the class have keys of seed 0; of a later seed a linked set may have none.
+            own = rule.most_different(min(len(found), end - 1))
+            return out, 1 if seed else segments - own - empty
     gone = np.setdiff1d(np.arange(segments, dtype=np.uint64), of[first])
-    return [*out, mix(mix(gone + tag))]
+    return [*out, mix(mix(gone + tag))], 1
 
 
-def routing_keys(found: np.ndarray, rule: Rule) -> np.ndarray:
+def routing(found: np.ndarray, rule: Rule) -> tuple[np.ndarray, int]:
+    """The keys of a set, and how many of them any set linked with it has at least."""
     n = len(found)
     if not n:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), 0
     k, low, end = size_class(n, rule.percent)
-    out = _segment_keys(found, rule, k, end)
+    classes = [_segment_keys(found, rule, k, end)]
     if k and n * rule.percent <= 100 * (low - 1):
-        out += _segment_keys(found, rule, k - 1, low)
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        classes.append(_segment_keys(found, rule, k - 1, low))
+    classes = [c for c in classes if c[0]]
+    if not classes:
+        return np.empty(0, np.uint64), 0
+    return np.concatenate([x for keys, _ in classes for x in keys]), min(need for _, need in classes)
+
+
+def routing_keys(found: np.ndarray, rule: Rule) -> np.ndarray:
+    return routing(found, rule)[0]
 
 
 def document_nodes(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -146,13 +161,69 @@ def document_nodes(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 NODE = "doc_id long, text_hash long, n_shingles long, node long"
+#: ``key`` has 48 bits of a routing key, then a bit for a node on which others hang, then the node's need of keys.
 PAIR = np.dtype([("key", "<u8"), ("node", "<i8")])
+KEY_SHIFT, HUB, NEED = np.uint64(16), np.uint64(0x8000), np.uint64(0x7FFF)
+HUNG = np.dtype([("a", "<i8"), ("b", "<i8"), ("n", "<i8"), ("need", "<i8")])
+#: A key that more nodes have is hot: all of them hang on the least one.
+HOT = 64
+SHARED = "bucket long, a long, b long, n long, need long"
 
 
 def family_edges(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Edges ``a, b`` from the least node of each shared segment to the others.
+    """Edges ``a, b`` that connect all nodes that may be linked.
+
+    Many sets share a key or two by chance, the more the larger the table; linked sets share more. A node that
+    shares fewer keys than it would with a partner is left out, and so is a pair that shares fewer. Pairs are
+    counted per key, as long as they are at most twice the rows. The nodes of all other keys hang on the least one.
+    """
+    shared = written(shared_keys(docs, rule), "shared_keys", SHARED)
+    single, hung = shared.where("bucket >= 0"), shared.where("bucket < 0")
+    counts = (
+        single.select("a", "n", "need")
+        .unionByName(hung.select(F.col("b").alias("a"), "n", "need"))
+        .unionByName(hung.select("a", "n", F.lit(0).cast("long").alias("need")))
+    )
+    enough = counts.groupBy("a").agg(F.sum("n").alias("n"), F.max("need").alias("need")).where("n >= need")
+    enough = written(enough.select("a"), "enough", "a long")
+    members = F.array_sort(F.collect_list(F.struct(F.col("a").alias("node"), "need")))
+    left = single.select("bucket", "a", "need").join(enough, "a", "left_semi")
+    buckets = written(
+        left.groupBy("bucket").agg(members.alias("m")).where(F.size("m") > 1).select("m"),
+        "buckets",
+        "m array<struct<node: long, need: long>>",
+    )
+    sizes = buckets.groupBy(F.size("m").alias("size")).agg(F.count("*").alias("n")).collect()  # HOT rows at most
+    most = counted_size([(r["size"], r["n"]) for r in sizes])
+    small, large = buckets.where(F.size("m") <= most), buckets.where(F.size("m") > most)
+    rest = lambda k: F.explode(F.slice("m", k, HOT)).alias("y")
+    pairs = small.select("m", F.posexplode("m").alias("i", "x")).select("x", rest(F.col("i") + 2))
+    counted = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
+        F.count("*").alias("n"), F.max(F.greatest("x.need", "y.need")).alias("need")
+    )
+    stars = large.select(F.col("m")[0]["node"].alias("a"), rest(2)).select("a", F.col("y.node").alias("b"))
+    kept = hung.where("need > 0").join(enough.withColumnRenamed("a", "b"), "b", "left_semi")
+    hubs = hung.where("need = 0")
+    edges = [counted.where("n >= need"), stars, kept, hubs]
+    return reduce(DataFrame.unionByName, [e.select("a", "b") for e in edges]).distinct()
+
+
+def counted_size(sizes: list[tuple[int, int]]) -> int:
+    """The size up to which the pairs of all buckets are at most twice the rows of the table; of (size, buckets)."""
+    room, most = 2 * sum(size * n for size, n in sizes), 1
+    for size, n in sorted(sizes):
+        room -= size * (size - 1) // 2 * n
+        if room < 0:
+            break
+        most = size
+    return most
+
+
+def shared_keys(docs: DataFrame, rule: Rule) -> DataFrame:
+    """The keys of several nodes: ``bucket, a, need`` for each node of a key, and for those of hot keys, with
+    bucket -1, the node ``a`` on which ``b`` hangs, by ``n`` keys; ``need`` is 0 where others hang on ``b``.
 
-    Each batch of a task links its own nodes per key and sends on one node per key, so a key that very
+    Each batch of a task hangs the nodes of its own hot keys and sends on one node of these, so a key that very
     many nodes have costs little. Keys and edges travel packed: one array of each for each partition.
     """
     parts = default_blocks(docs)
@@ -167,47 +238,68 @@ def family_edges(docs: DataFrame, rule: Rule) -> DataFrame:
             keys, nodes = [], []
             for text in frame["text"]:
                 found = shingles(text, rule)
-                own = routing_keys(found, rule)
+                own, need = routing(found, rule)
                 if len(own):
-                    keys.append(own)
+                    keys.append((own >> KEY_SHIFT << KEY_SHIFT) | np.uint64(min(need, int(NEED))))
                     nodes.append(np.full(len(own), identity(found), np.int64))
             if not keys:
                 continue
             rows = np.empty(sum(map(len, keys)), PAIR)
             rows["key"], rows["node"] = np.concatenate(keys), np.concatenate(nodes)
-            least, edges = stars(rows)
-            yield pd.DataFrame(
-                {"part": range(parts), "pairs": dealt(least, least["key"]), "edges": dealt(edges, edges["b"])}
-            )
+            left, hung = stars(rows)
+            pairs = dealt(left, left["key"] >> KEY_SHIFT)
+            yield pd.DataFrame({"part": range(parts), "pairs": pairs, "edges": dealt(hung, hung["b"])})
 
     def share(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs, edges = [], []
         for frame in frames:
             pairs.extend(frame["pairs"])
             edges.extend(frame["edges"])
-        _, own = stars(np.frombuffer(b"".join(pairs), PAIR))
-        every = np.unique(np.concatenate([own, np.frombuffer(b"".join(edges), EDGES)]))
-        if len(every):
-            yield pd.DataFrame({"a": every["a"], "b": every["b"]})
+        left, own = stars(np.frombuffer(b"".join(pairs), PAIR))
+        hung = counted_edges(np.concatenate([own, np.frombuffer(b"".join(edges), HUNG)]))
+        key = left["key"] >> KEY_SHIFT
+        same = np.concatenate([[False], key[1:] == key[:-1], [False]])
+        left = left[same[1:] | same[:-1]] if len(left) else left
+        if len(left):
+            key, need = left["key"] >> KEY_SHIFT, left["key"] & NEED
+            yield pd.DataFrame({"bucket": key.astype("i8"), "a": left["node"], "b": 0, "n": 1, "need": need.astype("i8")})
+        if len(hung):
+            yield pd.DataFrame({"bucket": -1, **{c: hung[c] for c in HUNG.names}})
 
     packed = docs.select("text").mapInPandas(pack, "part int, pairs binary, edges binary")
-    return packed.repartition(parts, "part").mapInPandas(share, EDGE).distinct()
-
-
-EDGES = np.dtype([("a", "<i8"), ("b", "<i8")])
+    return packed.repartition(parts, "part").mapInPandas(share, SHARED)
 
 
 def stars(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of (key, node) rows: the least node of each key, and distinct edges from it to the key's others."""
-    rows = rows[np.lexsort((rows["node"], rows["key"]))]
-    first = np.ones(len(rows), bool)
-    first[1:] = rows["key"][1:] != rows["key"][:-1]
-    least = rows[first]
-    of_each = np.repeat(least["node"], np.diff(np.append(np.flatnonzero(first), len(rows))))
-    other = of_each != rows["node"]
-    edges = np.empty(int(other.sum()), EDGES)
-    edges["a"], edges["b"] = of_each[other], rows["node"][other]
-    return least, np.unique(edges)
+    """Of (key, node) rows: distinct ones sorted by key, hot keys with the least node only; and what hangs on these."""
+    rows = rows[np.lexsort((rows["key"] & HUB, rows["node"], rows["key"] >> KEY_SHIFT))]
+    key = rows["key"] >> KEY_SHIFT
+    rows = rows[np.append((key[1:] != key[:-1]) | (rows["node"][1:] != rows["node"][:-1]), len(rows) > 0)[: len(rows)]]
+    if not len(rows):
+        return rows, np.empty(0, HUNG)
+    key, hub = rows["key"] >> KEY_SHIFT, (rows["key"] & HUB) > 0
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    start = np.flatnonzero(first)
+    size = np.diff(np.append(start, len(rows)))
+    hot = np.repeat((size > HOT) | np.logical_or.reduceat(hub, start), size)
+    others = hot & ~first
+    hung = np.empty(int(others.sum()), HUNG)
+    hung["a"], hung["b"], hung["n"] = np.repeat(rows["node"][start], size)[others], rows["node"][others], 1
+    hung["need"] = np.where(hub[others], 0, rows["key"][others] & NEED)
+    rows["key"][hot & first] |= HUB
+    return rows[~others], counted_edges(hung)
+
+
+def counted_edges(hung: np.ndarray) -> np.ndarray:
+    """One row for each edge: the sum of its keys, the least need."""
+    if not len(hung):
+        return hung
+    hung = hung[np.lexsort((hung["b"], hung["a"]))]
+    first = np.concatenate([[True], (hung["a"][1:] != hung["a"][:-1]) | (hung["b"][1:] != hung["b"][:-1])])
+    out = hung[first]
+    out["n"] = np.add.reduceat(hung["n"], np.flatnonzero(first))
+    out["need"] = np.minimum.reduceat(hung["need"], np.flatnonzero(first))
+    return out
 
 
 class Members:

@@ -130,3 +130,47 @@ def test_percents_without_a_meaning_are_rejected():
     for percent in (-1, 0, 101):
         with pytest.raises(ValueError):
             sj.Rule(4, percent)
+
+
+def test_keys_shared_by_chance_make_no_family(spark):
+    text = [words(5000 + k, 60) for k in range(60)]
+    shared = [words(6000 + k, 40) for k in range(60)]
+    rows = [(k, f"{shared[k - 1]} {text[k]} {shared[k]}", None, None, None) for k in range(1, 60)]
+    rows += [(100 + k, edited(text[k], k, 1) + " " + words(7000 + k, 10), None, None, None) for k in range(8)]
+    rows += [(200 + k, text[k] + " " + words(7000 + k, 10), None, None, None) for k in range(8)]
+    rule = sj.Rule(4, 85)
+    docs = documents(spark, rows)
+    own = {sj.identity(sj.shingles(r[1], rule)): r[0] for r in rows}
+    found = {frozenset((own[e["a"]], own[e["b"]])) for e in sj.family_edges(docs, rule).collect()}
+    assert found == {frozenset((100 + k, 200 + k)) for k in range(8)}
+    assert joined(spark, rows, rule) == keys_of(plain_components([r[:2] for r in rows], 4, 85))
+
+
+def test_linked_sets_share_as_many_keys_as_they_need():
+    r = np.random.default_rng(4)
+    for percent in (50, 70, 80, 85, 95):
+        rule = sj.Rule(4, percent)
+        for n in [*range(1, 60), 100, 333, 1000]:
+            for _ in range(5):
+                a = np.unique(r.integers(0, 2**64, n, np.uint64))
+                drop = int(r.integers(0, rule.most_different(n) + 1))
+                b = np.unique(np.concatenate([a[drop:], r.integers(0, 2**64, rule.most_different(n - drop), np.uint64)]))
+                if len(b) and rule.links(len(np.intersect1d(a, b)), len(a), len(b)) and sj.identity(a) != sj.identity(b):
+                    (of_a, need_a), (of_b, need_b) = sj.routing(a, rule), sj.routing(b, rule)
+                    assert len(np.intersect1d(of_a, of_b)) >= max(need_a, need_b) >= 1, (percent, n, drop)
+
+
+def test_hot_keys_hang_on_one_node():
+    def rows(pairs):
+        out = np.empty(len(pairs), sj.PAIR)
+        out["key"], out["node"] = [k << 16 | need for k, _, need in pairs], [n for _, n, _ in pairs]
+        return out
+
+    many = range(10, 10 + sj.HOT + 1)
+    left, hung = sj.stars(rows([(1, n, 3) for n in many] * 2 + [(2, n, 3) for n in many] + [(3, 5, 2), (3, 4, 1), (3, 4, 1)]))
+    assert [(int(k) >> 16, int(k) & 0x7FFF, int(n)) for k, n in left.tolist()] == [(1, 3, 10), (2, 3, 10), (3, 1, 4), (3, 2, 5)]
+    assert hung.tolist() == [(10, n, 2, 3) for n in many[1:]]
+    # What others hang on is kept whatever it shares, and makes a key hot.
+    left, hung = sj.stars(np.concatenate([left, rows([(1, 2, 9), (2, 99, 9)])]))
+    assert hung.tolist() == [(2, 10, 1, 0), (10, 99, 1, 9)]
+    assert sj.counted_size([]) == 1 and sj.counted_size([(2, 10), (3, 5), (40, 1)]) == 3
