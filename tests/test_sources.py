@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from arenalake.operators import envelopes
+from arenalake.registry import round_trips
 from arenalake.sources import csv_files, json_files, sinks
 from arenalake.sources.schemas import MANIFEST, MANIFEST_COLUMNS
+from tests.conftest import SMALL
 
 ENVELOPE = {
     "match_id": 1,
@@ -241,3 +243,17 @@ def test_one_envelope_per_manifest_row(spark):
     built = envelopes.build_envelopes(manifest, payloads, F.lit("now"), order=[F.col("at")])
     found = built.select("match_id", F.variant_get("payload", "$.d", "int").alias("d")).collect()
     assert [tuple(r) for r in found] == [(1, 1)]
+
+
+def test_envelope_lines_land_compressed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    rows = spark.range(250).select(F.col("id").alias("match_id"), F.lit("w").alias("recency_window"))
+    sinks.write_json_lines(rows.coalesce(1), str(tmp_path / "lines"), 100)
+    files = list((tmp_path / "lines").glob("part-*"))
+    assert len(files) == 3 and all(f.name.endswith(".json.gz") for f in files)
+    back = json_files.read_json_lines(spark, str(tmp_path / "lines"))
+    found = back.select(F.variant_get("record", "$.match_id", "long"), F.variant_get("record", "$.recency_window", "string"))
+    assert sorted(map(tuple, found.collect())) == [(k, "w") for k in range(250)]
+    monkeypatch.setattr(round_trips, "fresh_path", lambda spark, label: str(tmp_path / label))
+    assert round_trips.sink_envelopes(spark, SMALL).count() > 0
+    files = list((tmp_path / "envelopes").glob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
